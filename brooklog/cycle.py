@@ -30,6 +30,7 @@ from brooklog.observe import (
 )
 from brooklog.plans import ranges as plans
 from brooklog.plans.checkpoint import Ledger, disconnected, merge_checkpoint
+from brooklog.schemas import TOPIC_PARTITION
 from brooklog.scratch import write_out
 from brooklog.sources.log_table import select_topics
 
@@ -108,34 +109,47 @@ class LogCycle:
 
         self._module = READER
         catalog = self.topics(self.source.catalog())
-        for gap in plans.find_gaps(catalog, checkpoint).collect():  # one row per partition
-            self.events.error(
-                cycle_id,
-                READER,
-                f"Missing messages: {gap.topic}-{gap.partition}, "
-                f"from {gap.missing_from} to {gap.missing_to}",
-            )
         # the log may grow while the cycle runs, so the plan is fixed here
-        ranges = write_out(
-            plans.plan_ranges(catalog, checkpoint, self.max_records, self.on_gap), "plan"
+        plan = write_out(
+            plans.plan_with_context(catalog, checkpoint, self.max_records, self.on_gap), "plan"
         )
-        now_ms = int(time.time() * 1000)
-        decision = plans.flush_decision(
-            ranges, self.last_flush_ms, now_ms, self.flush_interval_ms, self.min_total_records
+        ranges = plan.where("until_offset > from_offset")
+        # offsets a gap made the plan skip count as passed
+        delta = ranges.select(
+            *TOPIC_PARTITION,
+            F.coalesce("committed", "from_offset").alias("from_offset"),
+            "until_offset",
+        )
+        total = plan.agg(
+            F.coalesce(F.sum(F.expr("greatest(until_offset - from_offset, 0)")), F.lit(0)),
+            F.count_if(F.col("committed") < F.col("earliest")),
         ).first()
-        outcome.planned = decision.planned
-        self.events.metrics(cycle_id, READER, {IN_RECORDS: decision.planned, IN_BYTES: 0})
-        if not decision.flush:
+        outcome.planned, lost = total
+        if lost:
+            # at most one row per topic partition
+            for gap in plan.where("committed < earliest").collect():
+                self.events.error(
+                    cycle_id,
+                    READER,
+                    f"Missing messages: {gap.topic}-{gap.partition}, "
+                    f"from {gap.committed} to {gap.earliest}",
+                )
+        self.events.metrics(cycle_id, READER, {IN_RECORDS: outcome.planned, IN_BYTES: 0})
+        now_ms = int(time.time() * 1000)
+        if not plans.flush_due(
+            outcome.planned,
+            self.last_flush_ms,
+            now_ms,
+            self.flush_interval_ms,
+            self.min_total_records,
+        ):
             self.events.status(cycle_id, READER, "not enough to flush")
             return
         outcome.flushed = True
         self.last_flush_ms = now_ms
         self.events.status(cycle_id, READER, "ready to flush")
-        if decision.planned == 0:
+        if outcome.planned == 0:
             return
-        loose = disconnected(checkpoint, ranges).first()
-        if loose is not None:
-            raise ValueError(f"offset ranges not connected: {loose}")
 
         self._module = TRANSFORMER
         read, written = Observation(), Observation()
@@ -150,11 +164,11 @@ class LogCycle:
         self.events.status(cycle_id, WRITER, "ready to checkpoint")
 
         self._module = CHECKPOINT
-        delta = ranges if partial is None else partial
         if partial is not None:
+            delta = partial
             loose = disconnected(checkpoint, delta).first()
             if loose is not None:
-                raise ValueError(f"written ranges not connected: {loose}")
+                raise ValueError(f"offset ranges not connected: {loose}")
         self.ledger.commit(cycle_id, merge_checkpoint(checkpoint, delta))
         self.events.status(cycle_id, CHECKPOINT, "checkpoint success")
         outcome.committed = True

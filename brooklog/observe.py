@@ -5,6 +5,7 @@ from __future__ import annotations
 import traceback
 from datetime import datetime, timezone
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +24,16 @@ CORE, READER, TRANSFORMER, WRITER, CHECKPOINT = (
 IN_RECORDS, IN_BYTES, OUT_RECORDS, OUT_BYTES = "InRecords", "InBytes", "OutRecords", "OutBytes"
 
 
+# status and metric rows share one table, so that a cycle ends with one append
+EVENTS = (
+    "pipeline STRING, cycle_id BIGINT, module STRING, name STRING, message STRING, "
+    "value BIGINT, at TIMESTAMP"
+)
+EVENT_COLUMNS = [c.split()[0] for c in EVENTS.split(", ")]
+STATUS_COLUMNS = [c.split()[0] for c in schemas.STATUS.split(", ")]
+METRIC_COLUMNS = [c.split()[0] for c in schemas.METRIC.split(", ")]
+
+
 class EventTables:
     """Collects a cycle's events and appends them when the cycle ends."""
 
@@ -47,20 +58,26 @@ class EventTables:
             self._metrics.append(row)
 
     def flush(self) -> None:
-        for name, layout, rows in (
-            ("status", schemas.STATUS, self._status),
-            ("metrics", schemas.METRIC, self._metrics),
-        ):
-            if rows:
-                events = self.spark.createDataFrame(rows, layout).coalesce(1)
-                events.write.mode("append").parquet(f"{self.path}/{name}")
-                rows.clear()
+        """Append the collected events: a handful of rows, in one small file."""
+        rows = [(*head, None, at) for *head, at in self._status]
+        rows += [(*head, None, value, at) for *head, value, at in self._metrics]
+        if rows:
+            table = pa.Table.from_pylist([dict(zip(EVENT_COLUMNS, row)) for row in rows])
+            events = self.spark.createDataFrame(table, EVENTS).coalesce(1)
+            events.write.mode("append").parquet(self.path)
+            self._status.clear()
+            self._metrics.clear()
+
+    def _events(self) -> DataFrame:
+        return read_if_there(self.spark, self.path, EVENTS)
 
     def status_table(self) -> DataFrame:
-        return read_if_there(self.spark, f"{self.path}/status", schemas.STATUS)
+        rows = self._events().where("value IS NULL")
+        return rows.drop("value").withColumnRenamed("name", "status").select(*STATUS_COLUMNS)
 
     def metric_table(self) -> DataFrame:
-        return read_if_there(self.spark, f"{self.path}/metrics", schemas.METRIC)
+        rows = self._events().where("value IS NOT NULL")
+        return rows.withColumnRenamed("name", "metric").select(*METRIC_COLUMNS)
 
 
 def _now() -> datetime:

@@ -47,6 +47,18 @@ def plan_ranges(
     ``on_gap``: ``report`` starts at the checkpoint all the same, ``skip`` at
     the earliest record, ``fail`` raises when the plan is used.
     """
+    return plan_with_context(catalog, checkpoint, max_records, on_gap).select(
+        *TOPIC_PARTITION, "from_offset", "until_offset"
+    ).where("until_offset > from_offset")
+
+
+def plan_with_context(
+    catalog: DataFrame,
+    checkpoint: DataFrame,
+    max_records: int = DEFAULT_MAX_RECORDS,
+    on_gap: str = "report",
+) -> DataFrame:
+    """The plan of every listed partition, next to what it was made from."""
     starts = resolve_starts(catalog, checkpoint)
     lost = F.col("committed") < F.col("earliest")
     if on_gap == "skip":
@@ -60,8 +72,13 @@ def plan_ranges(
         raise ValueError(f"unknown on_gap: {on_gap}")
     until = F.least(F.col("start") + max(1, int(max_records)), F.col("latest"))
     return starts.select(
-        *TOPIC_PARTITION, F.col("start").alias("from_offset"), until.alias("until_offset")
-    ).where("until_offset > from_offset")
+        *TOPIC_PARTITION,
+        "committed",
+        "earliest",
+        "latest",
+        F.col("start").alias("from_offset"),
+        until.alias("until_offset"),
+    )
 
 
 def plan_backfill(catalog: DataFrame, previous: DataFrame | None = None) -> DataFrame:
@@ -100,14 +117,17 @@ def partition_lag(catalog: DataFrame, checkpoint: DataFrame) -> DataFrame:
     )
 
 
-def flush_rule(
-    planned: Column,
-    last_flush_ms: Column,
-    now_ms: Column,
+def flush_due(
+    planned,
+    last_flush_ms,
+    now_ms,
     interval_ms: int = DEFAULT_FLUSH_INTERVAL_MS,
     min_total_records: int = DEFAULT_MAX_RECORDS,
-) -> Column:
-    """True when enough time has passed or enough records are waiting."""
+):
+    """True when enough time has passed or enough records are waiting.
+
+    Takes columns or plain numbers.
+    """
     return (now_ms - last_flush_ms >= interval_ms) | (planned >= min_total_records)
 
 
@@ -120,7 +140,7 @@ def flush_decision(
     keys: tuple[str, ...] = (),
 ) -> DataFrame:
     """Planned records and the flush decision, in total or per key."""
-    rule = flush_rule(
+    rule = flush_due(
         F.col("planned"), F.lit(last_flush_ms), F.lit(now_ms), interval_ms, min_total_records
     )
     return ranges.groupBy(*keys).agg(_total().alias("planned")).withColumn("flush", rule)

@@ -11,6 +11,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _local_roots: dict[str, str] = {}
 
@@ -45,7 +46,8 @@ def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
         return spark.read.schema(schema).parquet(path)
-    return spark.createDataFrame([], schema)
+    nothing = F.from_json(F.lit("{}"), schema).alias("row")
+    return spark.range(0).select(nothing).select("row.*")
 
 
 def drop_path(spark: SparkSession, path: str) -> None:

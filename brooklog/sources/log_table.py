@@ -31,9 +31,13 @@ class LogTable:
     def records_path(self) -> str:
         return f"{self.root}/records"
 
+    @property
+    def catalog_path(self) -> str:
+        return f"{self.root}/catalog"
+
     def _segments(self) -> DataFrame:
         layout = f"batch BIGINT, {schemas.CATALOG}"
-        return read_if_there(self.spark, f"{self.root}/catalog", layout)
+        return read_if_there(self.spark, self.catalog_path, layout)
 
     def catalog(self) -> DataFrame:
         """Earliest and latest (exclusive) offset per topic partition."""
@@ -46,15 +50,8 @@ class LogTable:
     def records(self) -> DataFrame:
         """All published records."""
         last = self._segments().agg(F.max("batch")).first()[0]
-        layout = f"batch BIGINT, {schemas.LOG}"
-        if last is None:
-            return self.spark.createDataFrame([], schemas.LOG)
-        return (
-            self.spark.read.schema(layout)
-            .parquet(self.records_path)
-            .where(F.col("batch") <= last)
-            .drop("batch")
-        )
+        records = read_if_there(self.spark, self.records_path, f"batch BIGINT, {schemas.LOG}")
+        return records.where(F.col("batch") <= (last or 0)).drop("batch")
 
     def publish(
         self,
@@ -92,12 +89,13 @@ class LogTable:
             partition_catalog(written)
             .coalesce(1)  # one row per topic partition
             .write.mode("overwrite")
-            .parquet(f"{self.root}/catalog/batch={batch}")
+            .parquet(f"{self.catalog_path}/batch={batch}")
         )
         return batch
 
     def scan(self, ranges: DataFrame) -> DataFrame:
-        return scan_ranges(self.records(), ranges)
+        """Records of the planned ranges, which should be a written table."""
+        return scan_ranges(self.records(), ranges, written=True)
 
 
 def partition_catalog(log: DataFrame) -> DataFrame:
@@ -131,15 +129,17 @@ def select_topics(
     return df
 
 
-def scan_ranges(log: DataFrame, ranges: DataFrame) -> DataFrame:
+def scan_ranges(log: DataFrame, ranges: DataFrame, written: bool = False) -> DataFrame:
     """The records whose offset lies in the range of their topic partition.
 
-    The ranges are written out first: Catalyst then knows their size, joins
-    them without moving the log when they are small, and prunes the log's
-    topic and partition directories by them. The outermost offsets become
-    plain bounds that reach the parquet reader.
+    The ranges are written out first, unless they are ``written`` already:
+    Catalyst then knows their size, joins them without moving the log when they
+    are small, and prunes the log's topic and partition directories by them.
+    The outermost offsets become plain bounds that reach the parquet reader.
     """
-    fixed = write_out(ranges.select(*TOPIC_PARTITION, "from_offset", "until_offset"), "ranges")
+    fixed = ranges.select(*TOPIC_PARTITION, "from_offset", "until_offset")
+    if not written:
+        fixed = write_out(fixed, "ranges")
     low, high = fixed.agg(F.min("from_offset"), F.max("until_offset")).first()
     if low is None:
         return log.where(F.lit(False))

@@ -16,6 +16,7 @@ from brooklog.plans.checkpoint import Ledger
 from brooklog.schemas import TAGGED
 from brooklog.scratch import fresh_path
 from brooklog.sinks.files import BatchFolders
+from brooklog.sources.offset_ranges import capped_batches, stream_ranges
 from brooklog.streaming.runner import (
     ChangedRows,
     WithLedger,
@@ -25,7 +26,7 @@ from brooklog.streaming.runner import (
 )
 from brooklog.workloads import analytics
 from brooklog.workloads.records import _branches
-from brooklog.workloads.tables import LOG_SQL, log_stream, table, table_stream
+from brooklog.workloads.tables import LOG_SQL, log_stream, log_table, table, table_stream
 
 SUMS_SCHEMA = "n BIGINT, cents BIGINT"
 
@@ -179,6 +180,21 @@ def stream_metrics(spark, sf_dir):
     return rows.groupBy("stage", "metric").agg(F.sum("value").alias("total"))
 
 
+def stream_capped(spark, sf_dir):
+    """The log in batches that take at most half of the longest partition each."""
+    log = log_table(spark, sf_dir)
+    cap = log.catalog().agg(F.expr("max(latest) div 2 + 1")).first()[0]
+    home = fresh_path(spark, "stream")
+    sink = BatchFolders(f"{home}/out")
+    while True:  # each run takes one batch
+        ranges = stream_ranges(spark, log, cap)
+        query = run_available(ranges, capped_batches(log, sink), f"{home}/state")
+        if not any(p["numInputRows"] for p in query.recentProgress):
+            break
+    out = sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
+    return partition_summary(out)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -194,6 +210,7 @@ QUERIES = {
         stream_deduplicate,
         stream_ledger,
         stream_metrics,
+        stream_capped,
     )
 }
 
@@ -215,6 +232,7 @@ def _oracles() -> dict[str, str]:
         "stream_ledger": f"""WITH {LOG_SQL}
 SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset
 FROM log GROUP BY topic, "partition" """,
+        "stream_capped": log.ORACLES["backfill_scan"],
         "stream_metrics": """
 SELECT 'read' AS stage, 'records' AS metric, count(*) AS total FROM events
 UNION ALL SELECT 'read', 'bytes', CAST(sum(strlen(props)) AS BIGINT) FROM events""",
