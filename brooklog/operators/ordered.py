@@ -40,7 +40,11 @@ def ordered_slices(
 
 
 def slice_bases(slices: DataFrame, keys: Sequence[str], measure: Column) -> DataFrame:
-    """Per (key, slice): the measure summed over the key's earlier slices."""
+    """Per (key, slice): the measure summed over the key's earlier slices.
+
+    ``_base`` is null where nothing came before; ``_first`` is the key's first
+    place in the slice.
+    """
     per_slice = slices.groupBy(*keys, "_slice").agg(
         measure.alias("_sum"), F.min("_place").alias("_first")
     )
@@ -49,12 +53,7 @@ def slice_bases(slices: DataFrame, keys: Sequence[str], measure: Column) -> Data
         .orderBy("_slice")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return per_slice.select(
-        *keys,
-        "_slice",
-        "_first",
-        F.coalesce(F.sum("_sum").over(earlier), F.lit(0)).alias("_base"),
-    )
+    return per_slice.select(*keys, "_slice", "_first", F.sum("_sum").over(earlier).alias("_base"))
 
 
 def number_rows(
@@ -68,10 +67,14 @@ def number_rows(
     slices = ordered_slices(df, keys, order, partitions)
     # at most one row per (key, slice); written out so that its size is known
     bases = write_out(slice_bases(slices, keys, F.count(F.lit(1))), "bases")
-    return (
-        slices.join(bases, [*keys, "_slice"])
-        .withColumn(name, F.col("_base") + F.col("_place") - F.col("_first"))
-        .drop("_slice", "_place", "_first", "_base")
+    for key in keys:
+        bases = bases.withColumnRenamed(key, f"_b_{key}")
+    same = slices["_slice"] == bases["_slice"]
+    for key in keys:
+        same = same & slices[key].eqNullSafe(bases[f"_b_{key}"])
+    return slices.join(bases, same).select(
+        *df.columns,
+        (F.coalesce("_base", F.lit(0)) + F.col("_place") - F.col("_first")).alias(name),
     )
 
 
@@ -85,15 +88,18 @@ def running_sum(
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the key's rows so far."""
     slices = ordered_slices(df, keys, order, partitions)
-    bases = slice_bases(slices, keys, F.sum(value))
+    # each slice is opened by a row that carries the sum of the slices before
+    openers = slice_bases(slices, keys, F.sum(value)).select(
+        *keys, "_slice", F.lit(-1).cast("bigint").alias("_place"), F.col("_base").alias("_add")
+    )
     so_far = (
         Window.partitionBy(*keys, "_slice")
         .orderBy("_place")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    # join and window use the same keys, so the rows are shuffled once for both
+    rows = slices.withColumn("_add", F.col(value)).unionByName(openers, allowMissingColumns=True)
     return (
-        slices.join(bases.drop("_first"), [*keys, "_slice"])
-        .withColumn(name, F.col("_base") + F.sum(value).over(so_far))
-        .drop("_slice", "_place", "_base")
+        rows.withColumn(name, F.sum("_add").over(so_far))
+        .where("_place >= 0")
+        .select(*df.columns, name)
     )

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklog import schemas
 from brooklog.schemas import TOPIC_PARTITION
-from brooklog.scratch import read_if_there
+from brooklog.scratch import has_data, numbered_folders, read_if_there
 
 RANGE_COLUMNS = [*TOPIC_PARTITION, "from_offset", "until_offset"]
 
@@ -101,17 +101,27 @@ class Ledger:
         rows = read_if_there(self.spark, self.path, schemas.LEDGER)
         return rows.where(F.col("pipeline") == self.pipeline)
 
+    @property
+    def _cycles(self) -> str:
+        return f"{self.path}/pipeline={self.pipeline}"
+
     def last_cycle(self) -> int:
-        return self.rows().agg(F.max("cycle_id")).first()[0] or 0
+        """The newest committed cycle, 0 if there is none."""
+        for cycle in numbered_folders(self.spark, self._cycles, "cycle_id="):
+            if has_data(self.spark, f"{self._cycles}/cycle_id={cycle}"):
+                return cycle
+        return 0
 
     def load(self, cycle_id: int | None = None) -> DataFrame:
         """The checkpoint after ``cycle_id`` (default: the newest cycle)."""
         last = self.last_cycle() if cycle_id is None else cycle_id
-        return self.rows().where(F.col("cycle_id") == last).select(*RANGE_COLUMNS)
+        return read_if_there(
+            self.spark, f"{self._cycles}/cycle_id={last}", schemas.RANGES
+        ).select(*RANGE_COLUMNS)
 
     def commit(self, cycle_id: int, checkpoint: DataFrame) -> None:
         """Store a checkpoint. An empty one is not stored."""
         rows = checkpoint.select(*RANGE_COLUMNS).withColumn("committed_at", F.current_timestamp())
-        target = f"{self.path}/pipeline={self.pipeline}/cycle_id={cycle_id}"
+        target = f"{self._cycles}/cycle_id={cycle_id}"
         # one row per topic partition; one file, so that it appears at once
         rows.coalesce(1).write.mode("overwrite").parquet(target)

@@ -41,10 +41,32 @@ def write_out(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _hadoop(spark: SparkSession, path: str):
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def numbered_folders(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Numbers of the folders ``prefix`` + number at ``path``, newest first."""
+    files, target = _hadoop(spark, path)
+    if not files.exists(target):
+        return []
+    names = [entry.getPath().getName() for entry in files.listStatus(target)]
+    numbers = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+    return sorted((int(n) for n in numbers if n.isdigit()), reverse=True)
+
+
+def has_data(spark: SparkSession, folder: str) -> bool:
+    """Whether a finished write put a file into the folder."""
+    files, target = _hadoop(spark, folder)
+    names = [entry.getPath().getName() for entry in files.listStatus(target)]
+    return any(n.startswith("part-") for n in names)
+
+
 def read_if_there(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The parquet table at ``path``, or no rows if nothing was written yet."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    if target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+    files, target = _hadoop(spark, path)
+    if files.exists(target):
         return spark.read.schema(schema).parquet(path)
     nothing = F.from_json(F.lit("{}"), schema).alias("row")
     return spark.range(0).select(nothing).select("row.*")
@@ -54,5 +76,5 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a working table this library wrote."""
     if not path.startswith(scratch_root(spark) + "/"):
         raise ValueError(f"not a working table: {path}")
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+    files, target = _hadoop(spark, path)
+    files.delete(target, True)

@@ -125,3 +125,13 @@ def test_pandas_agrees_on_running_sum_with_gaps(spark):
     )
     got = {(r.k, r.t): r.s for r in running_sum(df, ["k"], ["t"], "v", "s").collect()}
     assert got == {(1, 1): 1, (1, 3): 11, (2, 7): 7, (2, 8): 13, (2, 9): 18}
+
+
+def test_rows_without_a_key_are_kept(spark):
+    df = spark.createDataFrame(
+        [(None, 1, 5), (None, 2, None), (1, 1, None), (1, 2, 3)], "k INT, t INT, v BIGINT"
+    )
+    sums = {(r.k, r.t): r.s for r in running_sum(df, ["k"], ["t"], "v", "s", 4).collect()}
+    assert sums == {(None, 1): 5, (None, 2): 5, (1, 1): None, (1, 2): 3}
+    numbers = {(r.k, r.t): r.n for r in number_rows(df, ["k"], ["t"], "n", 4).collect()}
+    assert numbers == {(None, 1): 0, (None, 2): 1, (1, 1): 0, (1, 2): 1}
