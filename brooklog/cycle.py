@@ -25,6 +25,7 @@ from brooklog.observe import (
     OUT_RECORDS,
     READER,
     TRANSFORMER,
+    WRITE_MILLIS,
     WRITER,
     EventTables,
 )
@@ -159,8 +160,10 @@ class LogCycle:
         out = out.observe(written, *observe.record_metrics(observe.text_column(out)))
 
         self._module = WRITER
+        begin = time.monotonic()
         partial = self.sink(out, cycle_id)
-        self._report(cycle_id, read.get, written.get)
+        spent = int((time.monotonic() - begin) * 1000)
+        self._report(cycle_id, read.get, written.get, spent)
         self.events.status(cycle_id, WRITER, "ready to checkpoint")
 
         self._module = CHECKPOINT
@@ -173,7 +176,7 @@ class LogCycle:
         self.events.status(cycle_id, CHECKPOINT, "checkpoint success")
         outcome.committed = True
 
-    def _report(self, cycle_id: int, read: dict, written: dict) -> None:
+    def _report(self, cycle_id: int, read: dict, written: dict, write_millis: int) -> None:
         self.events.metrics(
             cycle_id,
             TRANSFORMER,
@@ -187,6 +190,7 @@ class LogCycle:
                 IN_BYTES: written.get("bytes", 0),
                 OUT_RECORDS: written.get("records", 0),
                 OUT_BYTES: written.get("bytes", 0),
+                WRITE_MILLIS: write_millis,
             },
         )
 

@@ -22,6 +22,7 @@ CORE, READER, TRANSFORMER, WRITER, CHECKPOINT = (
     "CheckpointService",
 )
 IN_RECORDS, IN_BYTES, OUT_RECORDS, OUT_BYTES = "InRecords", "InBytes", "OutRecords", "OutBytes"
+WRITE_MILLIS = "WriteMillis"
 
 
 # status and metric rows share one table, so that a cycle ends with one append

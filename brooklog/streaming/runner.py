@@ -12,6 +12,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brooklog.observe import (
+    CORE,
+    IN_RECORDS,
+    READER,
+    WRITE_MILLIS,
+    WRITER,
+    EventTables,
+    progress_metrics,
+)
 from brooklog.plans.checkpoint import Ledger, delta_of, merge_checkpoint
 
 
@@ -46,13 +55,39 @@ def run_available(
     write_batch: Callable[[DataFrame, int], object],
     checkpoint: str,
     output_mode: str = "append",
+    events: EventTables | None = None,
 ) -> StreamingQuery:
-    """Process everything there is now, then stop."""
+    """Process everything there is now, then stop.
+
+    With ``events``, batches and failures are noted there (``report``).
+    """
     query = start(stream, write_batch, checkpoint, output_mode)
-    query.awaitTermination()
+    try:
+        query.awaitTermination()
+    finally:
+        if events is not None:
+            report(query, events)
     return query
 
 
+def report(query: StreamingQuery, events: EventTables) -> None:
+    """Note a query's batches, what they observed, and its failure if it failed."""
+    for progress in query.recentProgress:
+        batch_id, spent = progress["batchId"], progress["durationMs"]
+        if not progress["numInputRows"]:
+            continue
+        events.status(batch_id, CORE, f"batch of {progress['numInputRows']} rows done")
+        events.metrics(batch_id, READER, {IN_RECORDS: progress["numInputRows"]})
+        events.metrics(batch_id, WRITER, {WRITE_MILLIS: spent.get("addBatch", 0)})
+    for batch_id, name, metric, value in progress_metrics(query):
+        events.metrics(batch_id, name, {metric: value})
+    failure = query.exception()
+    if failure is not None:
+        last = query.lastProgress
+        events.error(last["batchId"] + 1 if last else 0, CORE, failure)
+    events.flush()
+
+
 class ChangedRows:
     """Sink for update mode: each batch appends the rows whose state changed.
 

@@ -231,7 +231,7 @@ def cycle_ledger(spark, sf_dir):
 
 
 def cycle_metrics(spark, sf_dir):
-    metrics = drained_cycle(spark, sf_dir).events.metric_table()
+    metrics = drained_cycle(spark, sf_dir).events.metric_table().where("metric <> 'WriteMillis'")
     return metrics.groupBy("module", "metric").agg(F.sum("value").alias("total"))
 
 

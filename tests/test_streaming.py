@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from brooklog.observe import partition_summary, progress_metrics, record_metrics
+from brooklog.observe import EventTables, partition_summary, progress_metrics, record_metrics
 from brooklog.operators import aggregates as agg
 from brooklog.operators.joins import enrich, interval_join
 from brooklog.operators.records import merge, route
@@ -173,10 +173,15 @@ def test_restart_after_a_failed_write_leaves_one_copy(spark, slices, home, after
             raise OSError("sink is down")
 
     events = stream(spark, slices["in time"]).select("event_id")
+    notes = EventTables(spark, f"{home}/events", "p")
     with pytest.raises(Exception, match="sink is down"):
-        run_available(events, sink, f"{home}/state")
-    run_available(events, sink, f"{home}/state")
+        run_available(events, sink, f"{home}/state", events=notes)
+    run_available(events, sink, f"{home}/state", events=notes)
     assert calls == [0, 1, 1, 2, 3]
+    seen = sorted((r.cycle_id, r.status) for r in notes.status_table().collect())
+    assert seen == [(0, "OK"), (1, "ERROR"), (1, "OK"), (2, "OK"), (3, "OK")]
+    read = notes.metric_table().where("metric = 'InRecords'").agg(F.sum("value")).first()[0]
+    assert read == table(spark, SF_DIR, "events").count()
     got = folders.read(spark, "event_id BIGINT").drop("cycle_id")
     assert reconcile(table(spark, SF_DIR, "events").select("event_id"), got).count() == 0
 
