@@ -78,6 +78,16 @@ def last_checkpoint(ledger: DataFrame) -> DataFrame:
     )
 
 
+def of_topic(checkpoint: DataFrame, topic: str, partitions: int) -> DataFrame:
+    """The checkpoint of one topic's partitions 0 to ``partitions`` - 1.
+
+    Partitions that were never committed have no row and start at their
+    earliest offset.
+    """
+    wanted = (F.col("topic") == topic) & F.col("partition").between(0, partitions - 1)
+    return checkpoint.where(wanted)
+
+
 def delta_of(records: DataFrame) -> DataFrame:
     """The ranges a set of records covers, for sinks that wrote only part."""
     return records.groupBy(*TOPIC_PARTITION).agg(

@@ -110,3 +110,8 @@ def test_topic_and_partition_do_not_run_together(spark, home):
     stored = [("t", 12, 0, 5), ("t1", 2, 0, 6)]
     cp.Ledger(spark, home, "p").commit(1, frame(spark, stored))
     assert rows(cp.Ledger(spark, home, "p").load()) == stored
+
+
+def test_checkpoint_of_one_topic(spark):
+    stored = frame(spark, [("t", 0, 0, 5), ("t", 1, 0, 6), ("t", 2, 0, 7), ("u", 0, 0, 8)])
+    assert rows(cp.of_topic(stored, "t", 2)) == [("t", 0, 0, 5), ("t", 1, 0, 6)]
