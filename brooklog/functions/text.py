@@ -16,6 +16,7 @@ def quote_number(text: Column, field: str, blank: str = "", closers: str = ",")
     Lines that do not mention the field are not searched.
     """
     ends = "".join(re.escape(c) for c in closers)
+    # fixed value: the shape of the pattern decides which numbers match
     pattern = f'("{re.escape(field)}":{re.escape(blank)})([0-9.]+)([{ends}])'
     return F.when(
         text.contains(field), F.regexp_replace(text, pattern, '$1"$2"$3')

@@ -13,6 +13,7 @@ from brooklog import schemas
 from brooklog.schemas import TOPIC_PARTITION
 from brooklog.scratch import read_if_there
 
+# fixed values: status codes, module types and metric names
 OK, ERROR = "OK", "ERROR"
 CORE, READER, TRANSFORMER, WRITER, CHECKPOINT = (
     "Core",

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklog import schemas
 from brooklog.schemas import TOPIC_PARTITION
-from brooklog.scratch import has_data, numbered_folders, read_if_there
+from brooklog.scratch import delete_folder, has_data, numbered_folders, read_if_there
 
 RANGE_COLUMNS = [*TOPIC_PARTITION, "from_offset", "until_offset"]
 
@@ -135,3 +135,10 @@ class Ledger:
         target = f"{self._cycles}/cycle_id={cycle_id}"
         # one row per topic partition; one file, so that it appears at once
         rows.coalesce(1).write.mode("overwrite").parquet(target)
+
+    def expire(self, keep: int = 1000) -> None:
+        """Forget all but the newest cycles; the newest alone holds the checkpoint."""
+        last = self.last_cycle()
+        for cycle in numbered_folders(self.spark, self._cycles, "cycle_id="):
+            if cycle <= last - max(1, keep):
+                delete_folder(self.spark, f"{self._cycles}/cycle_id={cycle}")

@@ -76,5 +76,9 @@ def drop_path(spark: SparkSession, path: str) -> None:
     """Remove a working table this library wrote."""
     if not path.startswith(scratch_root(spark) + "/"):
         raise ValueError(f"not a working table: {path}")
+    delete_folder(spark, path)
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
     files, target = _hadoop(spark, path)
     files.delete(target, True)

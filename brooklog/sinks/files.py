@@ -75,15 +75,25 @@ class BatchFolders:
     """Each cycle's records in a folder of its own, replaced when redelivered.
 
     Writing a cycle twice therefore leaves one copy: delivery is at least once,
-    the result is exactly once.
+    the result is exactly once. ``regroup`` shuffles the rows by ``partition_by``
+    first, for fewer and larger files.
     """
 
-    def __init__(self, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"):
+    def __init__(
+        self,
+        path: str,
+        partition_by: Sequence[str] = (),
+        fmt: str = "parquet",
+        regroup: bool = False,
+    ):
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)
         self.fmt = fmt
+        self.regroup = regroup and bool(partition_by)
 
     def __call__(self, df: DataFrame, cycle_id: int) -> DataFrame | None:
+        if self.regroup:
+            df = rebalance(df, self.partition_by)
         writer = df.write.mode("overwrite").format(self.fmt)
         if self.partition_by:
             writer = writer.partitionBy(*self.partition_by)

@@ -17,6 +17,7 @@ from brooklog.operators.ordered import number_rows
 from brooklog.schemas import TOPIC_PARTITION
 from brooklog.scratch import read_if_there, write_out
 
+# fixed value: the broker's own topic
 INTERNAL_TOPICS = ("__consumer_offsets",)
 
 

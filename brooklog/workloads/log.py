@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from brooklog.cycle import LogCycle, resume_from
-from brooklog.observe import partition_summary
-from brooklog.operators.records import tag_time_partition
 from brooklog.functions.time_partition import column_time
+from brooklog.observe import partition_summary
+from brooklog.operators.records import tag_time_partition, with_topic_partition
 from brooklog.plans import checkpoint as cp
 from brooklog.plans import ranges as plans
+from brooklog.schemas import TAGGED
 from brooklog.scratch import fresh_path, write_out
 from brooklog.sinks.files import BatchFolders
 from brooklog.sources import log_table as logs
@@ -30,6 +32,7 @@ from brooklog.workloads.tables import (
     table,
 )
 
+SUMMED = "topic STRING, partition INT, offset BIGINT, value STRING"
 LOG_COLUMNS = ["topic", "partition", "offset", "timestamp", "key", "value"]
 
 
@@ -161,10 +164,6 @@ def partition_write_summary(spark, sf_dir):
 
 
 def index_lookup(spark, sf_dir):
-    from pyspark.sql import Window
-
-    from brooklog.operators.records import with_topic_partition
-
     # one row per topic partition
     places = Window.partitionBy(F.lit(0)).orderBy("topic", "partition")
     index_map = write_out(
@@ -214,8 +213,6 @@ def drained_cycle(spark, sf_dir) -> LogCycle:
 
 
 def cycle_output(spark, sf_dir):
-    from brooklog.schemas import TAGGED
-
     out = drained_cycle(spark, sf_dir).sink.read(spark, TAGGED)
     return out.groupBy("topic", "partition", "time_partition").agg(
         F.count(F.lit(1)).alias("records"),
@@ -247,7 +244,7 @@ def resume_external(spark, sf_dir):
     outcome = cycle.run_once()
     if not outcome.committed:
         raise RuntimeError(f"cycle failed at {outcome.failed_at}")
-    return partition_summary(sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING"))
+    return partition_summary(sink.read(spark, SUMMED))
 
 
 def redelivery(spark, sf_dir):
@@ -255,9 +252,7 @@ def redelivery(spark, sf_dir):
     records = log_records(spark, sf_dir)
     for _ in range(2):
         sink(records, 1)
-    return partition_summary(
-        sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
-    )
+    return partition_summary(sink.read(spark, SUMMED))
 
 
 QUERIES = {

@@ -115,3 +115,14 @@ def test_topic_and_partition_do_not_run_together(spark, home):
 def test_checkpoint_of_one_topic(spark):
     stored = frame(spark, [("t", 0, 0, 5), ("t", 1, 0, 6), ("t", 2, 0, 7), ("u", 0, 0, 8)])
     assert rows(cp.of_topic(stored, "t", 2)) == [("t", 0, 0, 5), ("t", 1, 0, 6)]
+
+
+def test_old_cycles_can_be_forgotten(spark, home):
+    ledger = cp.Ledger(spark, home, "p")
+    for cycle in (1, 2, 3):
+        ledger.commit(cycle, frame(spark, [("t", 0, 0, cycle)]))
+    ledger.expire(keep=2)
+    assert {r.cycle_id for r in ledger.rows().collect()} == {2, 3}
+    assert rows(ledger.load()) == [("t", 0, 0, 3)]
+    ledger.expire(keep=0)
+    assert rows(ledger.load()) == [("t", 0, 0, 3)]

@@ -6,7 +6,15 @@ from pathlib import Path
 import pytest
 
 from brooklog import schemas
-from brooklog.scratch import drop_path, fresh_path, scratch_root, write_out
+from brooklog.operators.reconcile import reconcile
+from brooklog.scratch import (
+    drop_path,
+    fresh_path,
+    has_data,
+    numbered_folders,
+    scratch_root,
+    write_out,
+)
 from brooklog.sinks import files
 from brooklog.sources import kafka
 from brooklog.sources.log_table import select_topics
@@ -75,6 +83,25 @@ def test_repeated_cycle_replaces_its_folder(spark, log, home):
     assert sink.read(spark, schemas.LOG).count() == 420
 
 
+def test_regrouped_cycles_have_fewer_files(spark, log, home):
+    counts = {}
+    for regroup in (False, True):
+        sink = files.BatchFolders(f"{home}/{regroup}", ["partition"], regroup=regroup)
+        sink(log, 1)
+        assert reconcile(log, sink.read(spark, schemas.LOG).drop("cycle_id")).count() == 0
+        counts[regroup] = len(list(Path(home, str(regroup)).rglob("*.parquet")))
+    assert counts == {False: 12, True: 2}
+
+
+def test_numbered_folders(spark, home):
+    for name in ("n=2", "n=10", "n=x", "m=11", "n=3"):
+        Path(home, name).mkdir()
+    Path(home, "n=10", "part-0").touch()
+    assert numbered_folders(spark, home, "n=") == [10, 3, 2]
+    assert numbered_folders(spark, f"{home}/none", "n=") == []
+    assert has_data(spark, f"{home}/n=10") and not has_data(spark, f"{home}/n=3")
+
+
 def test_replay_lays_messages_round_robin(spark):
     lines = spark.createDataFrame([(n,) for n in range(14)], "n INT")
     fed = replay(lines, ["n"], step_of([6, 4]), 5, topic="t").orderBy("n").collect()
