@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,6 +54,8 @@ def sliding_sums(
     windows that hold them, so the copies do not grow with size / slide times
     the input. ``size`` must be a multiple of ``slide``.
     """
+    if pd.Timedelta(size) % pd.Timedelta(slide) != pd.Timedelta(0):
+        raise ValueError(f"{size} is not a multiple of {slide}")
     panes = df.groupBy(F.window(ts, slide).alias("pane"), *keys).agg(
         *[F.sum(expr).alias(name) for name, expr in sums.items()]
     )

@@ -30,12 +30,17 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
 
 
 def ordered_slices(
-    df: DataFrame, keys: Sequence[str], order: Sequence[str], partitions: int | None = None
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    partitions: int | None = None,
+    staging: str | None = None,
 ) -> DataFrame:
     """``df`` sorted by (keys, order), with ``_slice`` (which task) and ``_place``.
 
     Written out, because slice borders come from sampling and must not change
     between the pass that sums the slices and the pass that uses the sums.
+    ``staging`` names the folder, for callers that drop it afterwards.
     """
     by = [*keys, *order]
     spread = df.repartitionByRange(partitions, *by) if partitions else df.repartitionByRange(*by)
@@ -46,6 +51,7 @@ def ordered_slices(
             F.monotonically_increasing_id().bitwiseAND(F.lit(_PLACE_BITS)).alias("_place"),
         ),
         "slices",
+        staging,
     )
 
 
@@ -73,12 +79,13 @@ def number_rows(
     name: str,
     partitions: int | None = None,
     window_limit: int = WINDOW_LIMIT,
+    staging: str | None = None,
 ) -> DataFrame:
     """Add ``name``: 0, 1, 2, … per key in the given order (order must be unique)."""
     if largest_group(df, keys) <= window_limit:
         in_order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
         return df.withColumn(name, (F.row_number().over(in_order) - 1).cast("bigint"))
-    slices = ordered_slices(df, keys, order, partitions)
+    slices = ordered_slices(df, keys, order, partitions, staging)
     # at most one row per (key, slice); written out so that its size is known
     bases = write_out(slice_bases(slices, keys, F.count(F.lit(1))), "bases")
     for key in keys:

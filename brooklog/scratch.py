@@ -33,10 +33,10 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def write_out(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to a fresh working table and return the table."""
+def write_out(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
+    """Write ``df`` to a fresh working table (or to ``path``) and return the table."""
     spark = df.sparkSession
-    path = fresh_path(spark, label)
+    path = path or fresh_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

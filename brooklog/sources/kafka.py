@@ -12,6 +12,8 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from brooklog import schemas
+
 
 def range_options(ranges: Iterable) -> dict[str, str]:
     """Reader options that read exactly the given offset ranges.
@@ -37,7 +39,7 @@ def topic_options(
 ) -> dict[str, str]:
     if include:
         return {"subscribe": ",".join(include)}
-    return {"subscribePattern": pattern or "(?!__consumer_offsets).*"}
+    return {"subscribePattern": pattern or "(?!.*__consumer_offsets).*"}
 
 
 def flush_options(
@@ -83,6 +85,8 @@ class KafkaLog:
     def scan(self, ranges: DataFrame) -> DataFrame:
         # one row per topic partition: metadata, needed as text options
         rows = ranges.select("topic", "partition", "from_offset", "until_offset").collect()
+        if not rows:
+            return self.spark.createDataFrame([], schemas.LOG)
         reader = self.spark.read.format("kafka").options(**self.options)
         return as_log(reader.options(**range_options(rows)).load())
 

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from brooklog import schemas
 from brooklog.operators.ordered import number_rows
 from brooklog.schemas import TOPIC_PARTITION
-from brooklog.scratch import read_if_there, write_out
+from brooklog.scratch import drop_path, fresh_path, read_if_there, write_out
 
 # fixed value: the broker's own topic
 INTERNAL_TOPICS = ("__consumer_offsets",)
@@ -68,7 +68,10 @@ class LogTable:
         segments = self._segments()
         batch = (segments.agg(F.max("batch")).first()[0] or 0) + 1
         ends = self.catalog().select(*TOPIC_PARTITION, F.col("latest").alias("_end"))
-        numbered = number_rows(records, TOPIC_PARTITION, order, "_nth", partitions)
+        staging = fresh_path(self.spark, "slices")
+        numbered = number_rows(
+            records, TOPIC_PARTITION, order, "_nth", partitions, staging=staging
+        )
         placed = numbered.join(ends, TOPIC_PARTITION, "left").select(
             "topic",
             "partition",
@@ -92,6 +95,7 @@ class LogTable:
             .write.mode("overwrite")
             .parquet(f"{self.catalog_path}/batch={batch}")
         )
+        drop_path(self.spark, staging)
         return batch
 
     def scan(self, ranges: DataFrame) -> DataFrame:

@@ -25,7 +25,10 @@ from brooklog.plans.checkpoint import Ledger, delta_of, merge_checkpoint
 
 
 def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
-    """Zoned event time with a watermark; zone-free input is read as session time."""
+    """Zoned event time with a watermark; zone-free input is read as session time.
+
+    The session's zone should be UTC, where every day has 24 hours.
+    """
     return stream.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
 
 

@@ -1,15 +1,18 @@
 from __future__ import annotations
 
+from functools import partial
+
 import pytest
-from pyspark.sql import functions as F
 
 from brooklog import schemas
 from brooklog.cycle import LogCycle
 from brooklog.observe import partition_summary
+from brooklog.operators.ordered import number_rows
 from brooklog.operators.records import tag_time_partition
 from brooklog.functions.time_partition import json_time
 from brooklog.plans.checkpoint import delta_of
 from brooklog.sinks.files import BatchFolders
+from brooklog.sources import log_table
 from brooklog.sources.log_table import LogTable
 from brooklog.sources.text import replay, step_of
 
@@ -260,7 +263,11 @@ def test_polling_stops_when_told(spark, log, home):
     assert len(collected(spark, home)) == 10
 
 
-def test_log_table_appends_behind_its_end(spark, home):
+@pytest.mark.parametrize("window_limit", [0, 1000])
+def test_log_table_appends_behind_its_end(spark, home, monkeypatch, window_limit):
+    monkeypatch.setattr(
+        log_table, "number_rows", partial(number_rows, window_limit=window_limit)
+    )
     log = LogTable(spark, f"{home}/log")
     assert log.catalog().count() == 0 and log.records().count() == 0
     records = spark.range(100).selectExpr(

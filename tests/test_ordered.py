@@ -105,6 +105,11 @@ def test_sliding_sums_match_the_built_in_window(spark):
     assert sorted(map(tuple, panes.collect())) == sorted(map(tuple, direct.collect()))
 
 
+def test_panes_must_fill_the_window(spark):
+    with pytest.raises(ValueError, match="multiple"):
+        sliding_sums(timed(spark, [(1, 1)]), "ts", "3 hours", "2 hours", {"n": F.lit(1)}, ["k"])
+
+
 def test_interval_join_against_brute_force(spark):
     left = [(i % 3 if i % 4 == 0 else 0, (i * 53) % 3000) for i in range(120)] + [(7, 60)]
     right = [(i % 3 if i % 4 == 0 else 0, (i * 97) % 3000) for i in range(120)] + [(7, 60), (7, 120)]

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 import pytest
@@ -133,12 +134,22 @@ def test_kafka_options():
     assert json.loads(options["endingOffsets"]) == {"a": {"0": 2}, "b": {"0": 8, "1": 9}}
     assert kafka.topic_options(["a", "b"]) == {"subscribe": "a,b"}
     assert kafka.topic_options(pattern="a.*") == {"subscribePattern": "a.*"}
+    default = kafka.topic_options()["subscribePattern"]
+    assert [t for t in ("orders", "__consumer_offsets", "x__consumer_offsets") if
+            re.fullmatch(default, t)] == ["orders"]
     assert kafka.flush_options(500, 10) == {
         "minOffsetsPerTrigger": "10",
         "maxTriggerDelay": "500ms",
     }
 
 
+def test_kafka_scan_of_no_ranges(spark):
+    listed = spark.createDataFrame([], schemas.CATALOG)
+    log = kafka.KafkaLog(spark, "nowhere:9092", lambda: listed)
+    assert log.catalog().count() == 0
+    assert log.scan(spark.createDataFrame([], schemas.RANGES)).count() == 0
+
+
 def test_kafka_columns_become_log_columns(spark):
     raw = spark.createDataFrame(
         [(bytearray(b"k"), bytearray(b"v"), "t", 3, 9, None)],
