@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklog.llm import substring_dedup
+from brooklog.llm import substring_dedup, suffix_dedup
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -18,6 +18,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return suffix_dedup.drop_repeats(docs, texts=False)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return substring_dedup.drop_repeats(docs, texts=False)
@@ -26,6 +31,7 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op3_suffix_dedup,
         op8_substring_dedup,
     )
 }
