@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklog.llm import substring_dedup, suffix_dedup
+from brooklog.llm import quality, substring_dedup, suffix_dedup
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -23,6 +23,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.drop_repeats(docs, texts=False)
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return substring_dedup.drop_repeats(docs, texts=False)
@@ -32,8 +36,11 @@ QUERIES = {
     f.__name__: f
     for f in (
         op3_suffix_dedup,
+        op5_quality_rules,
         op8_substring_dedup,
     )
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_quality_rules": quality.REPORT_SQL,
+}
