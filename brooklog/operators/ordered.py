@@ -1,10 +1,8 @@
 """Row numbers and running sums over ordered groups of any size.
 
-A plain window puts each group into one task. That is the cheapest plan while
-the largest group, which is counted first, fits a task with ease. Beyond that,
-rows are range-partitioned on (keys, order), so one group may span many tasks;
-each task's slice is summed on its own, and the sums of the slices before it
-are added as a base.
+A plain window puts each group into one task. Here rows are range-partitioned on
+(keys, order), so one group may span many tasks; each task's slice is summed on
+its own, and the sums of the slices before it are added as a base.
 """
 
 from __future__ import annotations
@@ -19,16 +17,6 @@ from brooklog.scratch import write_out
 # monotonically_increasing_id keeps the row's place in its task in 33 low bits
 _PLACE_BITS = (1 << 33) - 1
 
-# rows of one group that a single task may sort
-WINDOW_LIMIT = 1_000_000
-
-
-def largest_group(df: DataFrame, keys: Sequence[str]) -> int:
-    """Rows of the largest group; counted before the shuffle, so skew does not matter."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
-    return counts.agg(F.max("n")).first()[0] or 0
-
-
 def ordered_slices(
     df: DataFrame,
     keys: Sequence[str],
@@ -78,13 +66,9 @@ def number_rows(
     order: Sequence[str],
     name: str,
     partitions: int | None = None,
-    window_limit: int = WINDOW_LIMIT,
     staging: str | None = None,
 ) -> DataFrame:
     """Add ``name``: 0, 1, 2, … per key in the given order (order must be unique)."""
-    if largest_group(df, keys) <= window_limit:
-        in_order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-        return df.withColumn(name, (F.row_number().over(in_order) - 1).cast("bigint"))
     slices = ordered_slices(df, keys, order, partitions, staging)
     # at most one row per (key, slice); written out so that its size is known
     bases = write_out(slice_bases(slices, keys, F.count(F.lit(1))), "bases")
@@ -106,13 +90,8 @@ def running_sum(
     value: str,
     name: str,
     partitions: int | None = None,
-    window_limit: int = WINDOW_LIMIT,
 ) -> DataFrame:
     """Add ``name``: the sum of ``value`` over the key's rows so far."""
-    if largest_group(df, keys) <= window_limit:
-        in_order = Window.partitionBy(*(keys or [F.lit(0)])).orderBy(*order)
-        up_to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumn(name, F.sum(value).over(up_to_here))
     slices = ordered_slices(df, keys, order, partitions)
     # each slice is opened by a row that carries the sum of the slices before
     openers = slice_bases(slices, keys, F.sum(value)).select(

@@ -23,13 +23,8 @@ def skewed(spark, n=3000):
     )
 
 
-# 0 forces the way for large groups, None takes the default
-either_way = pytest.mark.parametrize("limit", [{"window_limit": 0}, {}])
-
-
-@either_way
-def test_numbers_are_dense_per_key_and_in_order(spark, limit):
-    numbered = number_rows(skewed(spark), ["k"], ["t", "id"], "nth", partitions=16, **limit)
+def test_numbers_are_dense_per_key_and_in_order(spark):
+    numbered = number_rows(skewed(spark), ["k"], ["t", "id"], "nth", partitions=16)
     assert numbered.schema["nth"].dataType.simpleString() == "bigint"
     got = numbered.toPandas()
     want = got.sort_values(["k", "t", "id"])
@@ -37,9 +32,8 @@ def test_numbers_are_dense_per_key_and_in_order(spark, limit):
     assert len(got) == 3000
 
 
-@either_way
-def test_numbers_over_everything(spark, limit):
-    got = number_rows(skewed(spark), [], ["t", "id"], "nth", partitions=8, **limit).toPandas()
+def test_numbers_over_everything(spark):
+    got = number_rows(skewed(spark), [], ["t", "id"], "nth", partitions=8).toPandas()
     assert got.sort_values(["t", "id"])["nth"].tolist() == list(range(3000))
 
 
@@ -50,10 +44,9 @@ def test_a_hot_key_is_spread_over_tasks(spark):
     assert per_slice < 20000 / 8
 
 
-@either_way
-def test_running_sum(spark, limit):
+def test_running_sum(spark):
     rows = skewed(spark)
-    got = running_sum(rows, ["k"], ["t", "id"], "v", "so_far", partitions=16, **limit).toPandas()
+    got = running_sum(rows, ["k"], ["t", "id"], "v", "so_far", partitions=16).toPandas()
     want = got.sort_values(["k", "t", "id"])
     assert (want.groupby("k")["v"].cumsum() == want["so_far"]).all()
 
@@ -139,17 +132,16 @@ def test_pandas_agrees_on_running_sum_with_gaps(spark):
     df = spark.createDataFrame(
         pd.DataFrame({"k": [1, 1, 2, 2, 2], "t": [3, 1, 9, 8, 7], "v": [10, 1, 5, 6, 7]})
     )
-    summed = running_sum(df, ["k"], ["t"], "v", "s", window_limit=2)
+    summed = running_sum(df, ["k"], ["t"], "v", "s")
     got = {(r.k, r.t): r.s for r in summed.collect()}
     assert got == {(1, 1): 1, (1, 3): 11, (2, 7): 7, (2, 8): 13, (2, 9): 18}
 
 
-@either_way
-def test_rows_without_a_key_are_kept(spark, limit):
+def test_rows_without_a_key_are_kept(spark):
     df = spark.createDataFrame(
         [(None, 1, 5), (None, 2, None), (1, 1, None), (1, 2, 3)], "k INT, t INT, v BIGINT"
     )
-    sums = {(r.k, r.t): r.s for r in running_sum(df, ["k"], ["t"], "v", "s", 4, **limit).collect()}
+    sums = {(r.k, r.t): r.s for r in running_sum(df, ["k"], ["t"], "v", "s", 4).collect()}
     assert sums == {(None, 1): 5, (None, 2): 5, (1, 1): None, (1, 2): 3}
-    numbers = {(r.k, r.t): r.n for r in number_rows(df, ["k"], ["t"], "n", 4, **limit).collect()}
+    numbers = {(r.k, r.t): r.n for r in number_rows(df, ["k"], ["t"], "n", 4).collect()}
     assert numbers == {(None, 1): 0, (None, 2): 1, (1, 1): 0, (1, 2): 1}
