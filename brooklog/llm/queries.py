@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklog.llm import quality, substring_dedup, suffix_dedup
+from brooklog.llm import quality, sharding, substring_dedup, suffix_dedup
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -23,6 +23,14 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.drop_repeats(docs, texts=False)
 
 
+#: Shards of op4.
+SHARDS = 24
+
+
+def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.plan(_table(spark, sf_dir, "documents"), SHARDS)
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"))
 
@@ -36,11 +44,13 @@ QUERIES = {
     f.__name__: f
     for f in (
         op3_suffix_dedup,
+        op4_sharding,
         op5_quality_rules,
         op8_substring_dedup,
     )
 }
 
 ORACLES: dict[str, str] = {
+    "op4_sharding": sharding.plan_sql(SHARDS),
     "op5_quality_rules": quality.REPORT_SQL,
 }
