@@ -6,7 +6,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklog.llm import quality, sharding, substring_dedup, suffix_dedup
+from brooklog.llm import decontaminate, quality, sharding, substring_dedup, suffix_dedup
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -40,6 +40,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.drop_repeats(docs, texts=False)
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return decontaminate.contained_items(docs, items)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -47,10 +52,14 @@ QUERIES = {
         op4_sharding,
         op5_quality_rules,
         op8_substring_dedup,
+        op9_benchmark_decontamination,
     )
 }
 
 ORACLES: dict[str, str] = {
     "op4_sharding": sharding.plan_sql(SHARDS),
     "op5_quality_rules": quality.REPORT_SQL,
+    "op9_benchmark_decontamination": decontaminate.CONTAINED_SQL.format(
+        docs="documents", items="benchmark", threshold=decontaminate.THRESHOLD
+    ),
 }
