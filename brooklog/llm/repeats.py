@@ -177,7 +177,9 @@ def repeated_segments(docs: DataFrame, shape: Shape) -> DataFrame:
     """
     found = segments(docs, shape)
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return write_out(found.join(again.select("anchor"), "anchor", "left_semi"), "segments")
+    # a written table: a join straight behind an aggregation could not be split
+    again = write_out(again.select("anchor"), "again")
+    return write_out(found.join(again, "anchor", "left_semi"), "segments")
 
 
 def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -197,8 +199,9 @@ def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
         position() > F.col("source")
     )
     mixed = earliest.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    mixed = write_out(mixed.select("anchor"), "mixed")
     leaders = rows.drop("content").join(
-        earliest.join(mixed.select("anchor"), "anchor", "left_semi").select(
+        earliest.join(mixed, "anchor", "left_semi").select(
             "anchor", "source.doc", "source.tag", "source.at"
         ),
         ["anchor", "doc", "tag", "at"],

@@ -301,11 +301,12 @@ def repeats(
     open_texts = with_text(docs, leaders, ["at", "windows", "lead"])
     pieces = write_out(_pieces(open_texts, shape, min(STEP, shape.span)), "pieces")
     again = pieces.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    pieces = write_out(pieces.join(again.select("anchor"), "anchor", "left_semi"), "pieces")
+    again = write_out(again.select("anchor"), "again")
+    pieces = write_out(pieces.join(again, "anchor", "left_semi"), "pieces")
     piece_copies, mixed = settle(pieces)
     mixed = write_out(mixed, "mixed")
     sizes = mixed.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"))
-    hot = sizes.where(F.col("n") > core_limit).select("anchor")
+    hot = write_out(sizes.where(F.col("n") > core_limit).select("anchor"), "hot")
     return (
         copies.selectExpr("doc", "tag", *whole)
         .unionByName(piece_copies.selectExpr("doc", "tag", *whole))
