@@ -6,7 +6,14 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from brooklog.llm import decontaminate, quality, sharding, substring_dedup, suffix_dedup
+from brooklog.llm import (
+    decontaminate,
+    jaccard_join,
+    quality,
+    sharding,
+    substring_dedup,
+    suffix_dedup,
+)
 
 
 ROOT = str(Path(__file__).resolve().parents[2])
@@ -35,6 +42,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.report(_table(spark, sf_dir, "documents"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return substring_dedup.drop_repeats(docs, texts=False)
@@ -51,6 +62,7 @@ QUERIES = {
         op3_suffix_dedup,
         op4_sharding,
         op5_quality_rules,
+        op6_ngram_jaccard_join,
         op8_substring_dedup,
         op9_benchmark_decontamination,
     )
