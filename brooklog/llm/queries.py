@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from brooklog.llm import (
     decontaminate,
     jaccard_join,
+    line_dedup,
     quality,
     sharding,
     substring_dedup,
@@ -46,6 +47,10 @@ def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.report(_table(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(_table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return substring_dedup.drop_repeats(docs, texts=False)
@@ -63,6 +68,7 @@ QUERIES = {
         op4_sharding,
         op5_quality_rules,
         op6_ngram_jaccard_join,
+        op7_line_dedup,
         op8_substring_dedup,
         op9_benchmark_decontamination,
     )
@@ -71,6 +77,7 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op4_sharding": sharding.plan_sql(SHARDS),
     "op5_quality_rules": quality.REPORT_SQL,
+    "op7_line_dedup": line_dedup.REPORT_SQL,
     "op9_benchmark_decontamination": decontaminate.CONTAINED_SQL.format(
         docs="documents", items="benchmark", threshold=decontaminate.THRESHOLD
     ),
