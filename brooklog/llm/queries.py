@@ -11,12 +11,20 @@ from brooklog.llm import (
     jaccard_join,
     line_dedup,
     quality,
+    sentencepiece_scan,
     sharding,
     substring_dedup,
     suffix_dedup,
+    token_counts,
 )
 
 
+#: Vocabulary files of public tokenizers.
+TOKENIZERS = "/opt/tokenizers"
+#: Fixed value: the split pattern that goes with ``byte_bpe_50k.tiktoken``.
+PATTERN = (
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+)
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
@@ -26,6 +34,12 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    vocabulary = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
+    return token_counts.count_tokens(docs, vocabulary, PATTERN, rule="most")
+
+
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return suffix_dedup.drop_repeats(docs, texts=False)
@@ -61,9 +75,15 @@ def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontaminate.contained_items(docs, items)
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return sentencepiece_scan.report(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        op2_token_counts,
         op3_suffix_dedup,
         op4_sharding,
         op5_quality_rules,
@@ -71,6 +91,7 @@ QUERIES = {
         op7_line_dedup,
         op8_substring_dedup,
         op9_benchmark_decontamination,
+        op10_sentencepiece,
     )
 }
 
