@@ -50,7 +50,7 @@ STEP = 26
 #: Pieces that one collection holds, if a core has no more.
 COLLECTION = 8192
 #: Cores with more pieces than this are compared string by string.
-CORE_LIMIT = 4 * COLLECTION
+CORE_LIMIT = COLLECTION // 2
 
 
 def collection_bwt(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
