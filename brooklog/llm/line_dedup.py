@@ -232,6 +232,19 @@ def dedup(
     )
 
 
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the text that is left, without documents that lost all their words.
+
+    A column ``n_chars`` is set to the new text's characters.
+    """
+    rows = dedup(docs).where((F.col("_n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
+    columns = [F.col(f"`{c}`") for c in docs.columns if c != "n_chars"]
+    if "n_chars" in docs.columns:
+        kind = docs.schema["n_chars"].dataType
+        columns.append(F.length("text").cast(kind).alias("n_chars"))
+    return rows.select(*columns)
+
+
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, n_lines, n_removed, kept_sha256)."""
     return dedup(docs.select("doc_id", "text")).select(

@@ -28,9 +28,13 @@ PATTERN = (
 ROOT = str(Path(__file__).resolve().parents[2])
 
 
-def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    # where the package is not installed, Python workers find it beside the driver's
+def workers_find_package(spark: SparkSession) -> None:
+    """Where the package is not installed, Python workers look beside the driver's."""
     spark.sparkContext.environment.setdefault("PYTHONPATH", ROOT)
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    workers_find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
