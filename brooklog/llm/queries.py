@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from brooklog.llm import (
     decontaminate,
     jaccard_join,
+    licenses,
     line_dedup,
     quality,
     sentencepiece_scan,
@@ -38,6 +39,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return licenses.scan(docs, licenses.notices(spark))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     vocabulary = f"{TOKENIZERS}/byte_bpe_50k.tiktoken"
@@ -87,6 +93,7 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
+        op1_license_scan,
         op2_token_counts,
         op3_suffix_dedup,
         op4_sharding,
