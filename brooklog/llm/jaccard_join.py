@@ -48,6 +48,7 @@ from brooklog.llm.blocks import (
 )
 from brooklog.llm.graph import components
 from brooklog.llm.repeats import LAST, keyed, shuffles_dropped
+from brooklog.llm.rows import packed, unpacked
 from brooklog.scratch import write_out
 
 SHINGLE = 4
@@ -302,15 +303,13 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
     stay = heads.withColumn("empty", F.lit(False)).unionByName(
         found.where("n = 0").select("doc", "tag", F.lit(True).alias("empty")).distinct()
     )
-    stay = write_out(stay, "stay").selectExpr("doc AS _doc", "tag AS _tag", "empty AS _empty")
+    stay = write_out(stay, "stay")
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = docs.withColumns(
-        {"_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "_tag": F.crc32(text)}
-    ).join(stay, ["_doc", "_tag"])
+    rows = packed(docs).withColumns(
+        {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.crc32(text)}
+    ).join(stay, ["doc", "tag"])
     # of rows that repeat doc_id and text one stays, unless they have no shingles
     rows = rows.withColumn(
-        "_row", F.when(F.col("_empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
-    )
-    return rows.dropDuplicates(["_doc", "_tag", "_row"]).select(
-        *[F.col(f"`{c}`") for c in docs.columns]
+        "row", F.when(F.col("empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))
     )
+    return unpacked(rows.dropDuplicates(["doc", "tag", "row"]), docs)

@@ -25,6 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from brooklog.llm.repeats import LAST, shuffles_dropped
+from brooklog.llm.rows import only, packed, unpacked
 from brooklog.scratch import write_out
 
 MIN_WORDS = 5
@@ -65,7 +66,7 @@ def hashed_lines(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
     """A row without text for each line that may go: place, hash of its words, half keys."""
     lines = _keyed(docs).select("doc", "tag", F.posexplode("lines").alias("line", "text"))
     lines = lines.select("doc", "tag", "line", _words(F.col("text")).alias("w"))
-    lines = lines.withColumn("n", F.size("w")).where(F.col("n") >= min_words)
+    lines = only(lines.withColumn("n", F.size("w")), F.col("n") >= min_words)
     return lines.select(
         "doc", "tag", "line", "n",
         F.xxhash64("w").alias("h1"),
@@ -138,7 +139,8 @@ def _near(docs: DataFrame, distinct: DataFrame, min_edit: int) -> DataFrame:
         "c.h1", "c.h2",
         _words(F.get("lines", F.col("c.line"))).alias("w"),
     )
-    words = write_out(words.withColumn("n", F.size("w")).where(F.col("n") >= min_edit), "words")
+    words = only(words.withColumn("n", F.size("w")), F.col("n") >= min_edit)
+    words = write_out(words, "words")
     variants = write_out(_neighbourhood(words, min_edit), "variants")
     variants = variants.where(F.col("size") >= min_edit - 1)
     by_place = variants.groupBy("k1", "k2", "size", "gone").agg(F.min("at").alias("first"))
@@ -198,60 +200,57 @@ def _left(lines: Column, removed: Column) -> Column:
     return F.transform(kept, lambda i: F.get(lines, i))
 
 
-def dedup(
-    docs: DataFrame, min_words: int = MIN_WORDS, min_edit: int = MIN_EDIT_WORDS
-) -> DataFrame:
-    """``docs`` with the text that is left, and ``_n_lines`` and ``_n_removed`` (longs).
-
-    A text without removed lines stays as it is, null too.
-    """
+def _with_left(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
+    """``packed`` documents with ``left`` (the text), ``n_lines`` and ``n_removed``."""
     with shuffles_dropped(docs.sparkSession):
         removed = removed_lines(docs, min_words, min_edit)
-    removed = removed.selectExpr("doc AS _doc", "tag AS _tag", "removed AS _removed")
     text = F.coalesce(F.col("text"), F.lit(""))
-    rows = docs.withColumns(
+    rows = packed(docs).withColumns(
         {
-            "_doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
-            "_tag": F.crc32(text.cast("binary")),
+            "doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
+            "tag": F.crc32(text.cast("binary")),
         }
-    ).join(removed, ["_doc", "_tag"], "left")
-    rows = rows.withColumn("_lines", F.split(text, "\n"))
-    left = F.array_join(_left(F.col("_lines"), F.col("_removed")), "\n")
+    ).join(removed, ["doc", "tag"], "left")
+    rows = rows.withColumn("lines", F.split(text, "\n"))
+    some = F.col("removed").isNotNull()
     return rows.select(
-        *[
-            F.when(F.col("_removed").isNull(), F.col("text")).otherwise(left).alias("text")
-            if c == "text"
-            else F.col(f"`{c}`")
-            for c in docs.columns
-        ],
-        F.size("_lines").cast("long").alias("_n_lines"),
-        F.when(F.col("_removed").isNull(), 0)
-        .otherwise(F.size("_removed"))
-        .cast("long")
-        .alias("_n_removed"),
+        "_all",
+        "doc_id",
+        F.when(some, F.array_join(_left(F.col("lines"), F.col("removed")), "\n"))
+        .otherwise(F.col("text"))
+        .alias("left"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.when(some, F.size("removed")).otherwise(0).cast("long").alias("n_removed"),
     )
 
 
-def without_repeats(docs: DataFrame) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, min_words: int = MIN_WORDS, min_edit: int = MIN_EDIT_WORDS
+) -> DataFrame:
     """``docs`` with the text that is left, without documents that lost all their words.
 
-    A column ``n_chars`` is set to the new text's characters.
+    A text without removed lines stays as it is, null too. A column ``n_chars`` is
+    set to the characters of a changed text.
     """
-    rows = dedup(docs).where((F.col("_n_removed") == 0) | F.col("text").rlike(r"[^\x20\x09-\x0D]"))
-    columns = [F.col(f"`{c}`") for c in docs.columns if c != "n_chars"]
+    rows = _with_left(docs, min_words, min_edit)
+    some = (F.col("n_removed") == 0) | F.col("left").rlike(r"[^\x20\x09-\x0D]")
+    rows = only(rows, some)
+    new = {"text": F.col("left")}
     if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        columns.append(F.length("text").cast(kind).alias("n_chars"))
-    return rows.select(*columns)
+        own = F.col("_all").getField("n_chars")
+        new["n_chars"] = F.when(
+            F.col("n_removed") > 0, F.length("left").cast(docs.schema["n_chars"].dataType)
+        ).otherwise(own)
+    return unpacked(rows, docs, **new)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: (doc_id, n_lines, n_removed, kept_sha256)."""
-    return dedup(docs.select("doc_id", "text")).select(
+    return _with_left(docs.select("doc_id", "text"), MIN_WORDS, MIN_EDIT_WORDS).select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_removed").alias("n_removed"),
-        F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"),
+        "n_lines",
+        "n_removed",
+        F.sha2(F.coalesce(F.col("left"), F.lit("")), 256).alias("kept_sha256"),
     )
 
 

@@ -1,8 +1,8 @@
 """Quality rules: a threshold table compiled into one projection of built-in functions.
 
 Each rule bounds one ratio of a text's length, symbols, stop words or lines.
-``compile_rules`` turns a table of rules into Spark columns, ``assess`` adds
-them to documents, and ``keep`` filters by them. A row is judged by its own text
+``compile_rules`` turns a table of rules into Spark columns, ``keep`` filters
+documents by them, and ``report`` lists counts and verdicts. A row is judged by its own text
 alone, so there is no shuffle, and repeated rows get equal verdicts. Null and
 empty texts count 0 everywhere and fail the least number of words. Other columns
 of the input are not touched, whatever their names.
@@ -15,6 +15,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from brooklog.llm.rows import only, packed, unpacked
+
 #: Words are runs of other characters than these.
 SEPARATOR = r"[\x20\x09-\x0D]"
 SYMBOLS = "[#*$%&|<>]"
@@ -85,12 +87,12 @@ def repeated_words(grams: Column) -> Column:
     )
 
 
-def measures(docs: DataFrame, text: str = "text") -> DataFrame:
+def _measures(docs: DataFrame) -> DataFrame:
     """``docs`` with a struct ``_m`` of counts, each a long.
 
     Windows are compared within a text by 64-bit hashes.
     """
-    whole = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    whole = F.coalesce(F.col("text"), F.lit(""))
     words = F.filter(F.split(whole, SEPARATOR + "+"), lambda w: w != "")
     lines = F.filter(
         F.split(whole, "\n"), lambda x: x.rlike(SEPARATOR.replace("[", "[^", 1))
@@ -140,11 +142,11 @@ def compile_rules(rules: tuple[Rule, ...], struct: str = "_m") -> Column:
     return F.filter(F.array(*names), lambda x: x.isNotNull())
 
 
-def assess(
+def _assess(
     docs: DataFrame, base: tuple[Rule, ...] = BASE, rules: tuple[Rule, ...] = RULES
 ) -> DataFrame:
     """``docs`` with ``_m`` (all counts) and ``_failed`` / ``_base_failed`` (rule names)."""
-    counted = measures(docs)
+    counted = _measures(docs)
     return counted.withColumn("_base_failed", compile_rules(base)).withColumn(
         "_failed", F.concat("_base_failed", compile_rules(rules))
     )
@@ -152,16 +154,12 @@ def assess(
 
 def keep(docs: DataFrame, **tables) -> DataFrame:
     """The documents that pass all rules, with their columns as they were."""
-    return assess(docs, **tables).where(F.size("_failed") == 0).select(*_own(docs))
-
-
-def _own(docs: DataFrame) -> list[Column]:
-    return [F.col(f"`{c}`") for c in docs.columns]
+    return unpacked(only(_assess(packed(docs), **tables), F.size("_failed") == 0), docs)
 
 
 def report(docs: DataFrame) -> DataFrame:
     """One row per document: its id, counts and verdict."""
-    found = assess(docs.select("doc_id", "text"))
+    found = _assess(docs.select("doc_id", "text"))
     return found.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         *[F.col(f"_m.{c}").alias(c) for c in
@@ -187,9 +185,11 @@ _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 MEASURES_SQL = (
     r"""
 t AS (SELECT doc_id, coalesce(text, '') AS text, row_number() OVER () AS rid FROM {docs}),
-w AS (SELECT *, regexp_extract_all(text, '[^ 	-]+') AS words,
+w AS (SELECT *, regexp_extract_all(text, '[^ 	-
+]+') AS words,
              list_filter(string_split(text, chr(10)),
-                         lambda x: regexp_matches(x, '[^ 	-]')) AS lines FROM t),
+                         lambda x: regexp_matches(x, '[^ 	-
+]')) AS lines FROM t),
 grams AS (SELECT rid, i, words[i:i + 4] AS gram
           FROM (SELECT rid, words, unnest(range(1, len(words) - 3)) AS i FROM w)),
 again AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, gram) AS n FROM grams),
