@@ -13,10 +13,12 @@ A metric-space join, in three steps over the distinct sets of shingles:
    it is worked out exactly, and those within the radius are linked. Regions
    whose sets are by now connected are done, which are nearly all: a group of
    copies costs one comparison a member and region, not one a pair.
-3. *Recursion.* What is left joins inside bands of distance to the pivot. By the
-   triangle inequality, sets within the radius differ by no more than it in
-   that distance; sets are replicated over a band's border, and pairs that are
-   connected already, or outside the windows, are not compared.
+3. *Recursion.* What is left, sets of several components in one region, is
+   joined by how it differs from the pivot, which cuts these differences, a few
+   shingles each, into regions of their own: two sets are compared if they share a
+   shingle that the pivot lacks, or if the numbers of shingles by which they differ
+   from the pivot are within the window that the triangle inequality leaves for sets
+   without such a shingle. Pairs that are connected already are not compared.
 
 Distances come from whole sets of 64-bit shingle hashes. Words are runs of bytes
 other than [\\x20\\x09-\\x0D], with A-Z in lower case; a text of fewer than four
@@ -196,19 +198,112 @@ def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return found.select("a", "b", "shared", (F.col("both") - F.col("shared")).alias("joint"))
 
 
+def _late_pairs(
+    members: DataFrame,
+    spokes: DataFrame,
+    roots: DataFrame,
+    ends: DataFrame,
+    sets: DataFrame,
+    percent: int,
+) -> DataFrame:
+    """Pairs (a, b) in regions of several components that may still be linked.
+
+    Seen from the pivot a set has ``added`` shingles that the pivot lacks and misses
+    ``missing`` of the pivot's. Two sets differ in all of their added shingles but the
+    ones they share, and in at least as many missing ones as their numbers differ. So
+    a linked pair either shares an added shingle, or has sums that the radius allows.
+    At least one of the two is outside the pivot's component.
+    """
+    near, far = 100 - percent, 100 + percent  # linked: far * differing <= near * (sizes)
+    named = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
+        "region", "id", "pivot", F.coalesce("root", "id").alias("root")
+    )
+    named = write_out(named, "named")
+    open_ = (
+        named.groupBy("region")
+        .agg(F.min("root").alias("r"), F.max("root").alias("s"))
+        .where("r <> s")
+        .select("region")
+    )
+    open_ = write_out(open_, "open")
+    homes = named.where("id = pivot").select("region", F.col("root").alias("home"))
+    away = spokes.selectExpr("a AS pivot", "b AS id", "shared").join(ends, "id")
+    away = away.join(ends.selectExpr("id AS pivot", "n AS size"), "pivot").selectExpr(
+        "pivot", "id", "n", "size", "n - shared AS added", "size - shared AS missing"
+    )
+    away = write_out(away.distinct(), "away")
+    rest = (
+        named.where("id <> pivot")
+        .join(open_, "region", "left_semi")
+        .join(homes.join(open_, "region", "left_semi"), "region")
+        .join(away, ["pivot", "id"])
+    )
+    rest = write_out(rest, "rest")
+
+    # first kind: the sums allow it; the least sums of a region rule out most sets
+    bounds = rest.groupBy("region").agg(
+        F.min(F.expr("added - missing")).alias("fewer"),
+        F.min(F.expr(f"{far - near} * added + {far + near} * missing")).alias("more"),
+    )
+    bounds = write_out(bounds, "bounds")
+    apart = rest.where("root <> home").join(bounds, "region")
+    # with missing (m) and added (d) of both: far * (d + d' + |m - m'|) <= near * (n + n'),
+    # where n' is size - m' + d'
+    apart = apart.where(
+        f"({far - near} * fewer + {far} * (missing + added) <= {near} * (n + size))"
+        f" OR (more + {far} * (added - missing) <= {near} * (n + size))"
+    )
+    one = apart.selectExpr("region", "id AS a", "root AS p", "added AS d", "missing AS m", "n")
+    two = rest.selectExpr("region", "id AS b", "root AS q", "added AS e", "missing AS o", "n AS k")
+    by_sums = one.join(two, "region").where(
+        f"p <> q AND {far} * (d + e + abs(m - o)) <= {near} * (n + k)"
+    )
+
+    # second kind: they share a shingle that the pivot lacks
+    held = rest.select("pivot", "id", "root", "home", "n", "added", "missing").distinct()
+    own = sets.selectExpr("id", "shingles AS x")
+    others = sets.selectExpr("id AS pivot", "shingles AS y")
+    held = held.join(own, "id").join(others, "pivot")
+    held = held.select(
+        "pivot", "id", "root", "home", "n", "added", "missing",
+        F.explode(F.array_except("x", "y")).alias("shingle"),
+    )
+    held = write_out(held, "held")
+    one = held.where("root <> home").selectExpr(
+        "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "n"
+    )
+    two = held.selectExpr(
+        "pivot", "shingle", "id AS b", "root AS q", "added AS e", "missing AS o", "n AS k"
+    )
+    by_shingle = one.join(two, ["pivot", "shingle"]).where(
+        f"p <> q AND {far} * (abs(d - e) + abs(m - o)) <= {near} * (n + k)"
+    )
+    both = by_sums.select("a", "b").unionByName(by_shingle.select("a", "b"))
+    return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
+
+
 def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> DataFrame:
     """(node, root): components of the sets in ``found`` that are linked with another."""
     near = F.col("shared") * 100 >= F.col("joint") * percent
-    # regions of at least two sets; the least set hash, a random one, is the pivot
+    # regions of at least two sets
     rows = found.select("id", F.explode("signatures").alias("region"))
     regions = (
         rows.groupBy("region")
-        .agg(F.min("id").alias("pivot"), F.max("id").alias("last"))
-        .where("pivot <> last")
-        .drop("last")
+        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
+        .where("first <> last")
+        .select("region")
     )
     regions = write_out(regions, "regions")
-    members = write_out(rows.join(regions, "region").distinct(), "members")
+    members = write_out(rows.join(regions, "region", "left_semi").distinct(), "members")
+    # the set that shares most parts with others is the pivot: the least changed copy
+    sizes = write_out(members.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    shares = members.join(sizes, "region").groupBy("id").agg(F.sum("size").alias("shares"))
+    shares = write_out(shares, "shares")
+    pivots = members.join(shares, "id").groupBy("region").agg(
+        F.max(F.struct("shares", "id"))["id"].alias("pivot")
+    )
+    pivots = write_out(pivots, "pivots")
+    members = write_out(members.join(pivots, "region"), "members")
 
     spokes = members.where("id <> pivot").selectExpr("pivot AS a", "id AS b").distinct()
     spokes = write_out(spokes, "spokes")
@@ -225,41 +320,7 @@ def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> D
     links = spokes.where(near).select("a", "b")
     roots = components(links)
 
-    # regions that still hold several components
-    named = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
-        "region", "id", "pivot", F.coalesce("root", "id").alias("root")
-    )
-    named = write_out(named, "named")
-    open_ = (
-        named.groupBy("region")
-        .agg(F.min("root").alias("r"), F.max("root").alias("s"))
-        .where("r <> s")
-        .select("region")
-    )
-    open_ = write_out(open_, "open")
-    radius = (100 - percent) / 100
-    away = spokes.selectExpr("a AS pivot", "b AS id", "1 - shared / joint AS away")
-    rest = (
-        named.where("id <> pivot")
-        .join(open_, "region", "left_semi")
-        .join(away, ["pivot", "id"])
-        .join(ends.select("id", "n"), "id")
-        .withColumn("band", F.floor(F.col("away") / radius))
-    )
-    rest = write_out(rest, "rest")
-    one = rest.selectExpr("region", "band", "id AS a", "root AS p", "away AS u", "n AS k")
-    two = rest.selectExpr(
-        "region", "explode(array(band, band + 1)) AS band", "band AS home",
-        "id AS b", "root AS q", "away AS v", "n AS m",
-    )
-    pairs = (
-        one.join(two, ["region", "band"])
-        .where("p <> q AND (band <> home OR a < b)")
-        .where(f"abs(u - v) <= {radius} + 1e-9")
-        .where(f"least(k, m) * 100 >= greatest(k, m) * {percent}")
-        .selectExpr("least(a, b) AS a", "greatest(a, b) AS b")
-        .distinct()
-    )
+    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), sets, percent)
     pairs = write_out(pairs, "pairs")
     late = write_out(_distances(pairs, sets), "late").where(near).select("a", "b")
     if late.isEmpty():
