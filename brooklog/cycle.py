@@ -8,6 +8,7 @@ under the same cycle id and replaces what was written.
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 from dataclasses import dataclass
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 from brooklog import observe
 from brooklog.observe import (
     CHECKPOINT,
+    CORE,
     IN_BYTES,
     IN_RECORDS,
     OUT_BYTES,
@@ -99,7 +101,11 @@ class LogCycle:
         except Exception as failure:
             outcome.failed_at = self._module
             self.events.error(outcome.cycle_id, self._module, failure)
-        self.events.flush()
+        try:
+            self.events.flush()
+        except Exception:
+            # the events stay collected and go out with the next cycle's
+            outcome.failed_at = outcome.failed_at or CORE
         return outcome
 
     def _run(self, outcome: CycleOutcome) -> None:
@@ -135,7 +141,7 @@ class LogCycle:
                     f"Missing messages: {gap.topic}-{gap.partition}, "
                     f"from {gap.committed} to {gap.earliest}",
                 )
-        self.events.metrics(cycle_id, READER, {IN_RECORDS: outcome.planned, IN_BYTES: 0})
+        self.events.metrics(cycle_id, READER, {IN_RECORDS: outcome.planned})
         now_ms = int(time.time() * 1000)
         if not plans.flush_due(
             outcome.planned,
@@ -163,7 +169,7 @@ class LogCycle:
         begin = time.monotonic()
         partial = self.sink(out, cycle_id)
         spent = int((time.monotonic() - begin) * 1000)
-        self._report(cycle_id, read.get, written.get, spent)
+        self._report(cycle_id, observed(read), observed(written), partial, spent)
         self.events.status(cycle_id, WRITER, "ready to checkpoint")
 
         self._module = CHECKPOINT
@@ -176,7 +182,23 @@ class LogCycle:
         self.events.status(cycle_id, CHECKPOINT, "checkpoint success")
         outcome.committed = True
 
-    def _report(self, cycle_id: int, read: dict, written: dict, write_millis: int) -> None:
+    def _report(
+        self,
+        cycle_id: int,
+        read: dict,
+        written: dict,
+        partial: DataFrame | None,
+        write_millis: int,
+    ) -> None:
+        """What was read and written; a sink that returns ranges tells what it wrote itself."""
+        out = {OUT_RECORDS: written.get("records", 0), OUT_BYTES: written.get("bytes", 0)}
+        if partial is not None:
+            size = F.sum("bytes") if "bytes" in partial.columns else F.lit(None).cast("long")
+            records, size = partial.agg(F.sum(F.expr("until_offset - from_offset")), size).first()
+            out = {OUT_RECORDS: records or 0} | ({} if size is None else {OUT_BYTES: size})
+        if not written:
+            self.events.status(cycle_id, WRITER, "the sink did not read its records")
+        self.events.metrics(cycle_id, READER, {IN_BYTES: read.get("bytes", 0)})
         self.events.metrics(
             cycle_id,
             TRANSFORMER,
@@ -188,8 +210,7 @@ class LogCycle:
             {
                 IN_RECORDS: written.get("records", 0),
                 IN_BYTES: written.get("bytes", 0),
-                OUT_RECORDS: written.get("records", 0),
-                OUT_BYTES: written.get("bytes", 0),
+                **out,
                 WRITE_MILLIS: write_millis,
             },
         )
@@ -205,11 +226,17 @@ class LogCycle:
                 break
         return outcomes
 
-    def start(self, polling_interval_s: float = 1.0, until: Callable[[], bool] | None = None):
-        """Run cycles with a pause in between, until ``until()`` holds."""
-        while until is None or not until():
-            self.run_once()
-            time.sleep(polling_interval_s)
+
+def observed(observation: Observation, patience_s: float = 5.0) -> dict:
+    """What was observed, or nothing if no action has run on the observed frame.
+
+    Spark tells when an action ends, shortly after it does, and never otherwise.
+    """
+    found: list[dict] = []
+    waiting = threading.Thread(target=lambda: found.append(observation.get), daemon=True)
+    waiting.start()
+    waiting.join(patience_s)
+    return found[0] if found else {}
 
 
 def resume_from(ledger: Ledger, offsets: DataFrame, cycle_id: int = 1) -> None:

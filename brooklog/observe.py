@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import threading
 import traceback
 from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from brooklog import schemas
 from brooklog.schemas import TOPIC_PARTITION
@@ -106,11 +109,42 @@ def partition_summary(log: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
+class ProgressLog(StreamingQueryListener):
+    """Keeps the progress of every batch; a query itself forgets all but the last hundred."""
+
+    def __init__(self) -> None:
+        self.batches: dict[str, list[dict]] = {}
+        self.ended: dict[str, threading.Event] = {}
+
+    def of(self, run_id: str) -> list[dict]:
+        return self.batches.setdefault(run_id, [])
+
+    def end_of(self, run_id: str) -> threading.Event:
+        return self.ended.setdefault(run_id, threading.Event())
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self.of(str(event.progress.runId)).append(json.loads(event.progress.json))
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        self.end_of(str(event.runId)).set()
+
+
+def all_progress(query) -> list[dict]:
+    """Progress of all batches of a query that ``runner`` ran, else of the last ones."""
+    return getattr(query, "all_progress", None) or query.recentProgress
+
+
 def progress_metrics(query) -> list[tuple[int, str, str, int]]:
     """(batch, observation, metric, value) out of a streaming query's progress."""
     rows = []
-    for progress in query.recentProgress:
-        for name, row in (progress["observedMetrics"] or {}).items():
+    for progress in all_progress(query):
+        for name, row in (progress.get("observedMetrics") or {}).items():
             values = row.asDict() if hasattr(row, "asDict") else dict(row)
             rows += [(progress["batchId"], name, k, v) for k, v in values.items()]
     return rows

@@ -115,16 +115,21 @@ class Ledger:
     def _cycles(self) -> str:
         return f"{self.path}/pipeline={self.pipeline}"
 
-    def last_cycle(self) -> int:
-        """The newest committed cycle, 0 if there is none."""
+    def last_cycle(self, up_to: int | None = None) -> int:
+        """The newest committed cycle (up to ``up_to``), 0 if there is none."""
         for cycle in numbered_folders(self.spark, self._cycles, "cycle_id="):
+            if up_to is not None and cycle > up_to:
+                continue
             if has_data(self.spark, f"{self._cycles}/cycle_id={cycle}"):
                 return cycle
         return 0
 
     def load(self, cycle_id: int | None = None) -> DataFrame:
-        """The checkpoint after ``cycle_id`` (default: the newest cycle)."""
-        last = self.last_cycle() if cycle_id is None else cycle_id
+        """The checkpoint after ``cycle_id`` (default: the newest cycle).
+
+        A cycle that committed nothing leaves the checkpoint of the one before it.
+        """
+        last = self.last_cycle(cycle_id)
         return read_if_there(
             self.spark, f"{self._cycles}/cycle_id={last}", schemas.RANGES
         ).select(*RANGE_COLUMNS)
@@ -132,6 +137,8 @@ class Ledger:
     def commit(self, cycle_id: int, checkpoint: DataFrame) -> None:
         """Store a checkpoint. An empty one is not stored."""
         rows = checkpoint.select(*RANGE_COLUMNS).withColumn("committed_at", F.current_timestamp())
+        if checkpoint.isEmpty():
+            return
         target = f"{self._cycles}/cycle_id={cycle_id}"
         # one row per topic partition; one file, so that it appears at once
         rows.coalesce(1).write.mode("overwrite").parquet(target)

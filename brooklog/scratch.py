@@ -7,25 +7,18 @@ inputs, so that it broadcasts them only when they fit its own threshold.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_local_roots: dict[str, str] = {}
-
 
 def scratch_root(spark: SparkSession) -> str:
+    """The folder of working tables; where none is set, one in the shared warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="brooklog-")
-    return _local_roots[app]
+    return f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/brooklog-scratch"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -21,7 +23,12 @@ SETTINGS = {
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **extra) -> SparkSession:
-    """Session for tests and benchmarks on one machine."""
+    """Session for tests and benchmarks on one machine.
+
+    Working tables go to a new temporary folder unless ``extra`` names one.
+    """
+    if "spark.checkpoint.dir" not in extra:
+        extra["spark.checkpoint.dir"] = tempfile.mkdtemp(prefix="brooklog-")
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("brooklog")

@@ -44,13 +44,18 @@ def write_by_partition(
 def write_time_partitioned(
     tagged: DataFrame, path: str, fmt: str = "parquet", mode: str = "errorifexists"
 ) -> None:
-    """Tagged records, one folder per topic and time partition."""
+    """Tagged records, one folder per topic and time partition.
+
+    Rows are regrouped by folder first; a large folder is split into several files.
+    """
     rows = tagged.withColumn(
         "time_partition", F.coalesce("time_partition", F.lit(NO_TIME_PARTITION))
     )
     if fmt == "text":
         rows = rows.select("topic", "time_partition", F.col("message").alias("value"))
-    rows.write.mode(mode).format(fmt).partitionBy("topic", "time_partition").save(path)
+    folders = ["topic", "time_partition"]
+    rows = rebalance(rows, folders)
+    rows.write.mode(mode).format(fmt).partitionBy(*folders).save(path)
 
 
 def write_ordered_text(
@@ -76,7 +81,7 @@ class BatchFolders:
 
     Writing a cycle twice therefore leaves one copy: delivery is at least once,
     the result is exactly once. ``regroup`` shuffles the rows by ``partition_by``
-    first, for fewer and larger files.
+    first, for about one file per folder; large folders are split.
     """
 
     def __init__(
@@ -84,7 +89,7 @@ class BatchFolders:
         path: str,
         partition_by: Sequence[str] = (),
         fmt: str = "parquet",
-        regroup: bool = False,
+        regroup: bool = True,
     ):
         self.path = path.rstrip("/")
         self.partition_by = list(partition_by)

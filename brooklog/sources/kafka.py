@@ -7,6 +7,7 @@ tested without a broker.
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -37,8 +38,12 @@ def range_options(ranges: Iterable) -> dict[str, str]:
 def topic_options(
     include: list[str] | None = None, pattern: str | None = None
 ) -> dict[str, str]:
+    """Options for the topics in ``include`` that match ``pattern``, as far as given."""
     if include:
-        return {"subscribe": ",".join(include)}
+        chosen = [t for t in include if pattern is None or re.search(pattern, t)]
+        if not chosen:
+            raise ValueError("no topic is left to read")
+        return {"subscribe": ",".join(chosen)}
     return {"subscribePattern": pattern or "(?!.*__consumer_offsets).*"}
 
 
@@ -76,13 +81,14 @@ class KafkaLog:
 
     def __init__(self, spark: SparkSession, servers: str, catalog, **options: str):
         self.spark = spark
-        self.options = {"kafka.bootstrap.servers": servers, "failOnDataLoss": "false", **options}
+        self.options = {"kafka.bootstrap.servers": servers, "failOnDataLoss": "true", **options}
         self._catalog = catalog
 
     def catalog(self) -> DataFrame:
         return self._catalog() if callable(self._catalog) else self._catalog
 
     def scan(self, ranges: DataFrame) -> DataFrame:
+        """Records of planned ranges; records that are lost meanwhile fail the scan."""
         # one row per topic partition: metadata, needed as text options
         rows = ranges.select("topic", "partition", "from_offset", "until_offset").collect()
         if not rows:

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from brooklog import schemas
+from brooklog.plans.checkpoint import Ledger, merge_checkpoint
 from brooklog.sources.log_table import LogTable, scan_ranges
 
 
@@ -93,11 +94,20 @@ def stream_ranges(spark: SparkSession, log: LogTable, max_records: int = 1000) -
 
 
 def capped_batches(
-    log: LogTable, write_batch: Callable[[DataFrame, int], object]
+    log: LogTable,
+    write_batch: Callable[[DataFrame, int], object],
+    ledger: Ledger | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Batch function for a stream of ranges: scan their records and write them."""
+    """Batch function for a stream of ranges: scan their records and write them.
+
+    With a ledger the planned ranges are then committed; the batch id is the
+    cycle id less one, so a repeated batch replaces its own commit.
+    """
 
     def scan_and_write(ranges: DataFrame, batch_id: int) -> None:
         write_batch(scan_ranges(log.records(), ranges), batch_id)
+        if ledger is not None:
+            merged = merge_checkpoint(ledger.load(batch_id), ranges)
+            ledger.commit(batch_id + 1, merged)
 
     return scan_and_write

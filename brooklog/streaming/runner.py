@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from brooklog import schemas
 from brooklog.observe import (
     CORE,
     IN_RECORDS,
@@ -19,9 +20,14 @@ from brooklog.observe import (
     WRITE_MILLIS,
     WRITER,
     EventTables,
+    ProgressLog,
+    all_progress,
     progress_metrics,
 )
-from brooklog.plans.checkpoint import Ledger, delta_of, merge_checkpoint
+from brooklog.operators.ordered import number_rows
+from brooklog.plans.checkpoint import RANGE_COLUMNS
+from brooklog.schemas import TOPIC_PARTITION
+from brooklog.scratch import has_data, numbered_folders, read_if_there
 
 
 def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -59,29 +65,61 @@ def run_available(
     checkpoint: str,
     output_mode: str = "append",
     events: EventTables | None = None,
+    every: str | None = None,
+    late_rows: str = "report",
 ) -> StreamingQuery:
     """Process everything there is now, then stop.
 
-    With ``events``, batches and failures are noted there (``report``).
+    With ``events``, batches, late rows and failures are noted there (``report``). With
+    ``every`` the source is polled until it has no more, for sources that hand out
+    one batch at a time. ``late_rows="fail"`` raises an error if rows came behind the
+    watermark and were dropped.
     """
-    query = start(stream, write_batch, checkpoint, output_mode)
+    spark = stream.sparkSession
+    log = ProgressLog()
+    spark.streams.addListener(log)
     try:
-        query.awaitTermination()
+        query = start(stream, write_batch, checkpoint, output_mode, every)
+        try:
+            if every:
+                query.processAllAvailable()
+                query.stop()
+            else:
+                query.awaitTermination()
+        finally:
+            log.end_of(query.runId).wait(30)
+            query.all_progress = log.of(query.runId)
+            if events is not None:
+                report(query, events)
     finally:
-        if events is not None:
-            report(query, events)
+        spark.streams.removeListener(log)
+    lost = dropped_rows(query)
+    if late_rows == "fail" and lost:
+        raise RuntimeError(f"{lost} rows came behind the watermark and were dropped")
     return query
 
 
+def dropped_rows(query: StreamingQuery) -> int:
+    """Rows that came behind the watermark, in all batches."""
+    return sum(
+        state.get("numRowsDroppedByWatermark", 0)
+        for progress in all_progress(query)
+        for state in progress["stateOperators"]
+    )
+
+
 def report(query: StreamingQuery, events: EventTables) -> None:
     """Note a query's batches, what they observed, and its failure if it failed."""
-    for progress in query.recentProgress:
+    for progress in all_progress(query):
         batch_id, spent = progress["batchId"], progress["durationMs"]
         if not progress["numInputRows"]:
             continue
         events.status(batch_id, CORE, f"batch of {progress['numInputRows']} rows done")
         events.metrics(batch_id, READER, {IN_RECORDS: progress["numInputRows"]})
         events.metrics(batch_id, WRITER, {WRITE_MILLIS: spent.get("addBatch", 0)})
+        late = sum(s.get("numRowsDroppedByWatermark", 0) for s in progress["stateOperators"])
+        if late:
+            events.error(batch_id, CORE, f"{late} rows came behind the watermark")
     for batch_id, name, metric, value in progress_metrics(query):
         events.metrics(batch_id, name, {metric: value})
     failure = query.exception()
@@ -111,25 +149,65 @@ class ChangedRows:
         return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
 
 
-class WithLedger:
-    """Write a batch of log records, then note its offset ranges in a ledger.
+class KeepFirst:
+    """Sink that passes on each record once, however often and in whatever order it comes.
 
-    The batch id is the cycle id: a repeated batch replaces its ledger folder.
+    It remembers the offset ranges that were passed on, a few rows per topic
+    partition, one folder per batch; a repeated batch starts from the folder before it.
+    No event time is needed, so no record is ever too late.
     """
 
-    def __init__(self, sink: Callable[[DataFrame, int], object], ledger: Ledger):
+    def __init__(self, sink: Callable[[DataFrame, int], object], home: str):
         self.sink = sink
-        self.ledger = ledger
+        self.path = home.rstrip("/")
 
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        cycle_id = batch_id + 1
-        self.sink(df, cycle_id)
-        # a second pass over three columns only
-        merged = merge_checkpoint(self.ledger.load(cycle_id - 1), delta_of(df))
-        self.ledger.commit(cycle_id, merged)
+    def covered(self, spark, batch_id: int) -> DataFrame:
+        """Ranges passed on before this batch."""
+        for done in numbered_folders(spark, self.path, "batch_id="):
+            if done < batch_id and has_data(spark, f"{self.path}/batch_id={done}"):
+                return spark.read.schema(schemas.RANGES).parquet(f"{self.path}/batch_id={done}")
+        return read_if_there(spark, f"{self.path}/none", schemas.RANGES)
 
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        before = self.covered(df.sparkSession, batch_id).selectExpr(
+            "topic AS _t", "partition AS _p", "from_offset", "until_offset"
+        )
+        seen = (
+            (F.col("topic") == F.col("_t"))
+            & (F.col("partition") == F.col("_p"))
+            & (F.col("offset") >= F.col("from_offset"))
+            & (F.col("offset") < F.col("until_offset"))
+        )
+        fresh = df.dropDuplicates([*TOPIC_PARTITION, "offset"]).join(before, seen, "left_anti")
+        self.sink(fresh, batch_id)
+        ranges = before.toDF(*RANGE_COLUMNS).unionByName(offset_runs(df))
+        target = f"{self.path}/batch_id={batch_id}"
+        joined_up(ranges).coalesce(1).write.mode("overwrite").parquet(target)
+
+
+def offset_runs(records: DataFrame) -> DataFrame:
+    """Ranges of offsets without gaps, per topic partition."""
+    offsets = records.select(*TOPIC_PARTITION, "offset").distinct()
+    run = (F.col("offset") - F.col("_nth")).alias("_run")
+    return (
+        number_rows(offsets, TOPIC_PARTITION, ["offset"], "_nth")
+        .groupBy(*TOPIC_PARTITION, run)
+        .agg(F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset"))
+        .drop("_run")
+    )
 
-def keep_first(stream: DataFrame, ts: str, delay: str, keys: Sequence[str]) -> DataFrame:
-    """Drop redelivered records, remembering keys for ``delay`` of event time."""
-    return event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
+def joined_up(ranges: DataFrame) -> DataFrame:
+    """Ranges that touch or overlap as one; a few rows per topic partition."""
+    in_order = Window.partitionBy(*TOPIC_PARTITION).orderBy("from_offset", "until_offset")
+    before = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    opens = F.coalesce(F.col("from_offset") > F.max("until_offset").over(before), F.lit(True))
+    return (
+        ranges.withColumn("_opens", opens.cast("int"))
+        .withColumn("_run", F.sum("_opens").over(in_order.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*TOPIC_PARTITION, "_run")
+        .agg(
+            F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset")
+        )
+        .drop("_run")
+    )

@@ -43,7 +43,9 @@ def log_scan_all(spark, sf_dir):
 def publish_increments(spark, sf_dir):
     records = event_records(spark, sf_dir)
     log = logs.LogTable(spark, fresh_path(spark, "log"))
-    first_half = F.col("timestamp") < F.lit("2024-01-16").cast("timestamp_ntz")
+    middle = F.lit("2024-01-16").cast("timestamp_ntz")
+    # records without a time are in the second half
+    first_half = F.coalesce(F.col("timestamp") < middle, F.lit(False))
     for part in (records.where(first_half), records.where(~first_half)):
         log.publish(part, ["timestamp", "event_id"])
     return log.records().select(*LOG_COLUMNS)
@@ -383,7 +385,7 @@ FROM catalog, cap, (VALUES (CAST(1 AS BIGINT)), (2), (3)) c(cycle_id)""",
     "cycle_metrics": """
 WITH totals AS (SELECT count(*) AS n, CAST(sum(strlen(props)) AS BIGINT) AS b FROM events)
 SELECT 'Reader' AS module, 'InRecords' AS metric, n AS total FROM totals
-UNION ALL SELECT 'Reader', 'InBytes', 0
+UNION ALL SELECT 'Reader', 'InBytes', b FROM totals
 UNION ALL SELECT 'Transformer', 'InRecords', n FROM totals
 UNION ALL SELECT 'Transformer', 'OutRecords', n FROM totals
 UNION ALL SELECT 'Writer', 'InRecords', n FROM totals

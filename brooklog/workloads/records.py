@@ -12,7 +12,7 @@ from brooklog.operators.reconcile import reconcile as compare
 from brooklog.scratch import fresh_path
 from brooklog.sinks import files
 from brooklog.sources.text import read_lines
-from brooklog.workloads.tables import LOG_SQL, log_records, table
+from brooklog.workloads.tables import LOG_SQL, log_records, log_table, table
 
 
 def value_projection(spark, sf_dir):
@@ -158,8 +158,9 @@ def sink_append(spark, sf_dir):
     """One append per topic to a single table of values."""
     path = fresh_path(spark, "collected")
     log = log_records(spark, sf_dir)
-    for kind in ("click", "error", "purchase", "signup", "view"):
-        files.append_values(log.where(F.col("topic") == f"topic_{kind}"), path)
+    # a row per topic
+    for row in log_table(spark, sf_dir).catalog().select("topic").distinct().collect():
+        files.append_values(log.where(F.col("topic") == row.topic), path)
     return spark.read.parquet(path).groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
 
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brooklog.functions.time_partition import column_time
-from brooklog.observe import partition_summary, progress_metrics, record_metrics
+from brooklog.observe import all_progress, partition_summary, progress_metrics, record_metrics
 from brooklog.operators import aggregates as agg
 from brooklog.operators.joins import enrich, interval_join
 from brooklog.operators.records import merge, route, tag_time_partition
@@ -19,9 +19,8 @@ from brooklog.sinks.files import BatchFolders
 from brooklog.sources.offset_ranges import capped_batches, stream_ranges
 from brooklog.streaming.runner import (
     ChangedRows,
-    WithLedger,
+    KeepFirst,
     event_time,
-    keep_first,
     run_available,
 )
 from brooklog.workloads import analytics
@@ -46,14 +45,14 @@ def _zone_free(df):
 def _changed(spark, stream, schema, keys):
     home = fresh_path(spark, "stream")
     sink = ChangedRows(f"{home}/out")
-    run_available(stream, sink, f"{home}/state", "update")
+    run_available(stream, sink, f"{home}/state", "update", late_rows="fail")
     return _zone_free(sink.read(spark, schema, keys))
 
 
 def _appended(spark, stream, schema):
     home = fresh_path(spark, "stream")
     sink = BatchFolders(f"{home}/out")
-    run_available(stream, sink, f"{home}/state")
+    run_available(stream, sink, f"{home}/state", late_rows="fail")
     return _zone_free(sink.read(spark, schema).drop("cycle_id"))
 
 
@@ -150,12 +149,12 @@ def stream_time_partitioned(spark, sf_dir):
 
 
 def stream_deduplicate(spark, sf_dir):
-    """Every record delivered twice, kept once."""
+    """Every record delivered twice, in several batches and no order, kept once."""
     twice = log_stream(spark, sf_dir).unionByName(log_stream(spark, sf_dir))
-    kept = keep_first(twice, "timestamp", "1 hour", ["topic", "partition", "offset"])
     home = fresh_path(spark, "stream")
     sink = BatchFolders(f"{home}/out")
-    run_available(kept, sink, f"{home}/state")
+    query = run_available(twice, KeepFirst(sink, f"{home}/covered"), f"{home}/state")
+    _several_batches(query)
     return partition_summary(
         sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
     )
@@ -164,8 +163,9 @@ def stream_deduplicate(spark, sf_dir):
 def stream_ledger(spark, sf_dir):
     home = fresh_path(spark, "stream")
     ledger = Ledger(spark, f"{home}/ledger", "events")
-    sink = WithLedger(BatchFolders(f"{home}/out", ["topic"]), ledger)
-    run_available(log_stream(spark, sf_dir), sink, f"{home}/state")
+    log, ranges = _capped(spark, sf_dir)
+    write = capped_batches(log, BatchFolders(f"{home}/out", ["topic"]), ledger)
+    _several_batches(run_available(ranges, write, f"{home}/state", every="10 milliseconds"))
     return ledger.load()
 
 
@@ -174,23 +174,33 @@ def stream_metrics(spark, sf_dir):
     home = fresh_path(spark, "stream")
     log = log_stream(spark, sf_dir).observe("read", *record_metrics("value"))
     query = run_available(log, BatchFolders(f"{home}/out"), f"{home}/state")
+    _several_batches(query)
     rows = spark.createDataFrame(
         progress_metrics(query), "batch_id BIGINT, stage STRING, metric STRING, value BIGINT"
     )
     return rows.groupBy("stage", "metric").agg(F.sum("value").alias("total"))
 
 
-def stream_capped(spark, sf_dir):
-    """The log in batches that take at most half of the longest partition each."""
+def _several_batches(query):
+    if sum(p["numInputRows"] > 0 for p in all_progress(query)) < 2:
+        raise RuntimeError("the stream ran in a single batch")
+
+
+def _capped(spark, sf_dir):
+    """The log's ranges in batches of at most half of the longest partition each."""
     log = log_table(spark, sf_dir)
     cap = log.catalog().agg(F.expr("max(latest) div 2 + 1")).first()[0]
+    return log, stream_ranges(spark, log, cap)
+
+
+def stream_capped(spark, sf_dir):
+    log, ranges = _capped(spark, sf_dir)
     home = fresh_path(spark, "stream")
     sink = BatchFolders(f"{home}/out")
-    while True:  # each run takes one batch
-        ranges = stream_ranges(spark, log, cap)
-        query = run_available(ranges, capped_batches(log, sink), f"{home}/state")
-        if not any(p["numInputRows"] for p in query.recentProgress):
-            break
+    query = run_available(
+        ranges, capped_batches(log, sink), f"{home}/state", every="10 milliseconds"
+    )
+    _several_batches(query)
     out = sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
     return partition_summary(out)
 

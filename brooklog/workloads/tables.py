@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklog.scratch import fresh_path, write_out
-from brooklog.sources.log_table import LogTable, partition_catalog
+from brooklog.sources.log_table import LogTable
 
 PARTITIONS = 5
+# files of the log that a stream takes at once, so that it runs in several batches
+FILES_PER_BATCH = 8
 _logs: dict[tuple[str, str], LogTable] = {}
 
 
@@ -54,12 +56,13 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = log_table(spark, sf_dir)
     layout = spark.read.parquet(log.records_path).schema
-    return spark.readStream.schema(layout).parquet(log.records_path).drop("batch")
+    reader = spark.readStream.schema(layout).option("maxFilesPerTrigger", FILES_PER_BATCH)
+    return reader.parquet(log.records_path).drop("batch")
 
 
 def catalog_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Offsets found in the records, as a small table of known size."""
-    return write_out(partition_catalog(log_records(spark, sf_dir)), "catalog")
+    """The log's own catalog, as a small table of known size; records are not read."""
+    return write_out(log_table(spark, sf_dir).catalog(), "catalog")
 
 
 def mixed_checkpoint(catalog: DataFrame) -> DataFrame:

@@ -1,6 +1,5 @@
 from __future__ import annotations
 
-
 import pytest
 
 from brooklog import schemas
@@ -8,7 +7,7 @@ from brooklog.cycle import LogCycle
 from brooklog.observe import partition_summary
 from brooklog.operators.records import tag_time_partition
 from brooklog.functions.time_partition import json_time
-from brooklog.plans.checkpoint import delta_of
+from brooklog.plans.checkpoint import Ledger, delta_of
 from brooklog.sinks.files import BatchFolders
 from brooklog.sources.log_table import LogTable
 from brooklog.sources.text import replay, step_of
@@ -238,7 +237,7 @@ def test_metrics_and_status_rows(spark, log, home):
     assert found.pop((1, "Writer", "WriteMillis")) > 0
     assert found == {
         (1, "Reader", "InRecords"): 11,
-        (1, "Reader", "InBytes"): 0,
+        (1, "Reader", "InBytes"): 30,
         (1, "Transformer", "InRecords"): 11,
         (1, "Transformer", "OutRecords"): 9,
         (1, "Writer", "InRecords"): 9,
@@ -254,10 +253,21 @@ def test_metrics_and_status_rows(spark, log, home):
     ]
 
 
-def test_polling_stops_when_told(spark, log, home):
+def test_a_sink_without_an_action_ends_the_cycle(spark, log, home):
     cycle = cycle_of(spark, log, home)
-    cycle.start(0.0, until=lambda: cycle.ledger.last_cycle() >= 2)
-    assert len(collected(spark, home)) == 10
+    cycle.sink = lambda records, cycle_id: None
+    outcome = cycle.run_once()
+    assert outcome.flushed and outcome.failed_at is None
+    messages = [r.message for r in cycle.events.status_table().collect()]
+    assert "the sink did not read its records" in messages
+
+
+def test_an_empty_commit_is_not_stored(spark, home):
+    ledger = Ledger(spark, f"{home}/ledger", "p")
+    ledger.commit(1, spark.createDataFrame([], schemas.RANGES))
+    assert ledger.last_cycle() == 0
+    ledger.commit(2, spark.createDataFrame([("t", 0, 0, 5)], schemas.RANGES))
+    assert ledger.load(7).first().until_offset == 5 and ledger.load(1).count() == 0
 
 
 def test_log_table_appends_behind_its_end(spark, home):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from brooklog.observe import EventTables, partition_summary, progress_metrics, record_metrics
+from brooklog.observe import EventTables, all_progress, partition_summary, progress_metrics, record_metrics
 from brooklog.operators import aggregates as agg
 from brooklog.operators.joins import enrich, interval_join
 from brooklog.operators.records import merge, route
@@ -16,9 +16,8 @@ from brooklog.sources.offset_ranges import capped_batches, stream_ranges
 from brooklog.sources.text import read_lines
 from brooklog.streaming.runner import (
     ChangedRows,
-    WithLedger,
+    KeepFirst,
     event_time,
-    keep_first,
     run_available,
     start,
 )
@@ -207,27 +206,64 @@ def test_polling_query_can_be_stopped(spark, slices, home):
     assert sink.read(spark, "event_id BIGINT").count() == table(spark, SF_DIR, "events").count()
 
 
-def test_redelivered_records_are_dropped(spark, slices, home):
-    twice = files(spark, slices["in time"]).unionByName(files(spark, slices["in time"]))
+@pytest.mark.parametrize("way", [1, -1])
+def test_redelivered_records_are_dropped_in_any_order(spark, home, way):
+    """Batches that overlap, leave holes and fill them later, in both directions."""
+    parts = [(0, 40), (30, 60), (80, 120), (0, 60), (55, 85), (110, 130)][::way]
     sink = BatchFolders(f"{home}/out")
-    run_available(keep_first(twice, "ts", "1 hour", ["event_id"]), sink, f"{home}/state")
-    got = sink.read(spark, "event_id BIGINT")
-    assert got.count() == got.distinct().count() == table(spark, SF_DIR, "events").count()
+    first = KeepFirst(sink, f"{home}/covered")
+    for batch_id, (low, high) in enumerate(parts):
+        rows = spark.range(low, high).unionByName(spark.range(low, low + 5)).selectExpr(
+            "'t' AS topic", "CAST(id % 2 AS INT) AS partition", "id DIV 2 AS offset"
+        )
+        first(rows, batch_id)
+        if batch_id == 3:
+            first(rows, batch_id)  # a batch that is run again
+    got = sink.read(spark, "topic STRING, partition INT, offset BIGINT")
+    assert got.count() == got.select("partition", "offset").distinct().count() == 130
+    covered = sorted(tuple(r) for r in first.covered(spark, 99).collect())
+    assert covered == [("t", 0, 0, 65), ("t", 1, 0, 65)]
 
 
-def test_ledger_follows_the_stream_and_a_repeat_changes_nothing(spark, home):
+def test_ledger_follows_planned_ranges_over_several_batches(spark, home):
     log = log_table(spark, SF_DIR)
     ledger = Ledger(spark, f"{home}/ledger", "p")
-    sink = WithLedger(BatchFolders(f"{home}/out"), ledger)
-    run_available(log_stream(spark, SF_DIR), sink, f"{home}/state")
-    once = ledger.load()
+    write = capped_batches(log, BatchFolders(f"{home}/out"), ledger)
+    cap = log.catalog().agg(F.max("latest")).first()[0] // 3 + 1
+    query = run_available(
+        stream_ranges(spark, log, cap), write, f"{home}/state", every="10 milliseconds"
+    )
+    assert len([p for p in all_progress(query) if p["numInputRows"]]) == 3
     want = log.catalog().selectExpr(
         "topic", "partition", "earliest AS from_offset", "latest AS until_offset"
     )
-    assert reconcile(want, once).count() == 0
-    sink(log.records(), 0)
-    assert reconcile(want, ledger.load()).count() == 0
-    assert ledger.last_cycle() == 1
+    assert reconcile(want, ledger.load()).count() == 0 and ledger.last_cycle() == 3
+
+
+def test_rows_behind_the_watermark_are_an_error(spark, slices, home):
+    windows = agg.windowed(
+        stream(spark, slices["late"], "1 minute"), "ts", "1 day", analytics.sum_list(), ["event_type"]
+    )
+    events = EventTables(spark, f"{home}/events", "p")
+    with pytest.raises(RuntimeError, match="watermark"):
+        run_available(
+            windows, ChangedRows(f"{home}/out"), f"{home}/state", "update", events, late_rows="fail"
+        )
+    assert events.status_table().where("status = 'ERROR'").count() > 0
+
+
+def test_no_batch_is_forgotten(spark, home):
+    """Spark keeps the progress of a few batches only; here two."""
+    log = log_table(spark, SF_DIR)
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    try:
+        observed = log_stream(spark, SF_DIR).observe("read", *record_metrics("value"))
+        query = run_available(observed, BatchFolders(f"{home}/out"), f"{home}/state")
+    finally:
+        spark.conf.unset("spark.sql.streaming.numRecentProgressUpdates")
+    rows = progress_metrics(query)
+    assert sum(r[3] for r in rows if r[2] == "records") == log.records().count()
+    assert len({r[0] for r in rows}) > 2
 
 
 def test_observed_metrics_add_up(spark, slices, home):
