@@ -189,13 +189,24 @@ def _shingles(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with ``shared`` and ``joint``, the sizes of intersection and union."""
+    """Pairs (a, b) with ``shared`` and ``joint``, the sizes of intersection and union.
+
+    ``extra`` holds the shingles of b that a lacks.
+    """
     left = sets.selectExpr("id AS a", "shingles AS x")
     right = sets.selectExpr("id AS b", "shingles AS y")
     shared = F.size(F.array_intersect("x", "y")).cast("long")
     found = pairs.join(left, "a").join(right, "b")
-    found = found.select("a", "b", shared.alias("shared"), (F.size("x") + F.size("y")).alias("both"))
-    return found.select("a", "b", "shared", (F.col("both") - F.col("shared")).alias("joint"))
+    found = found.select(
+        "a",
+        "b",
+        shared.alias("shared"),
+        (F.size("x") + F.size("y")).alias("both"),
+        F.array_except("y", "x").alias("extra"),
+    )
+    return found.select(
+        "a", "b", "shared", (F.col("both") - F.col("shared")).alias("joint"), "extra"
+    )
 
 
 def _late_pairs(
@@ -203,7 +214,6 @@ def _late_pairs(
     spokes: DataFrame,
     roots: DataFrame,
     ends: DataFrame,
-    sets: DataFrame,
     percent: int,
 ) -> DataFrame:
     """Pairs (a, b) in regions of several components that may still be linked.
@@ -211,7 +221,8 @@ def _late_pairs(
     Seen from the pivot a set has ``added`` shingles that the pivot lacks and misses
     ``missing`` of the pivot's. Two sets differ in all of their added shingles but the
     ones they share, and in at least as many missing ones as their numbers differ. So
-    a linked pair either shares an added shingle, or has sums that the radius allows.
+    a linked pair either shares added shingles, so many that what is left is allowed, or
+    has sums that the radius allows.
     At least one of the two is outside the pivot's component.
     """
     near, far = 100 - percent, 100 + percent  # linked: far * differing <= near * (sizes)
@@ -227,16 +238,16 @@ def _late_pairs(
     )
     open_ = write_out(open_, "open")
     homes = named.where("id = pivot").select("region", F.col("root").alias("home"))
-    away = spokes.selectExpr("a AS pivot", "b AS id", "shared").join(ends, "id")
+    away = spokes.selectExpr("a AS pivot", "b AS id", "shared", "extra").join(ends, "id")
     away = away.join(ends.selectExpr("id AS pivot", "n AS size"), "pivot").selectExpr(
-        "pivot", "id", "n", "size", "n - shared AS added", "size - shared AS missing"
+        "pivot", "id", "n", "size", "n - shared AS added", "size - shared AS missing", "extra"
     )
-    away = write_out(away.distinct(), "away")
+    away = write_out(away, "away")
     rest = (
         named.where("id <> pivot")
         .join(open_, "region", "left_semi")
         .join(homes.join(open_, "region", "left_semi"), "region")
-        .join(away, ["pivot", "id"])
+        .join(away.drop("extra"), ["pivot", "id"])
     )
     rest = write_out(rest, "rest")
 
@@ -261,12 +272,9 @@ def _late_pairs(
 
     # second kind: they share a shingle that the pivot lacks
     held = rest.select("pivot", "id", "root", "home", "n", "added", "missing").distinct()
-    own = sets.selectExpr("id", "shingles AS x")
-    others = sets.selectExpr("id AS pivot", "shingles AS y")
-    held = held.join(own, "id").join(others, "pivot")
-    held = held.select(
+    held = held.join(away.select("pivot", "id", "extra"), ["pivot", "id"]).select(
         "pivot", "id", "root", "home", "n", "added", "missing",
-        F.explode(F.array_except("x", "y")).alias("shingle"),
+        F.explode("extra").alias("shingle"),
     )
     held = write_out(held, "held")
     one = held.where("root <> home").selectExpr(
@@ -275,8 +283,12 @@ def _late_pairs(
     two = held.selectExpr(
         "pivot", "shingle", "id AS b", "root AS q", "added AS e", "missing AS o", "n AS k"
     )
-    by_shingle = one.join(two, ["pivot", "shingle"]).where(
-        f"p <> q AND {far} * (abs(d - e) + abs(m - o)) <= {near} * (n + k)"
+    by_shingle = (
+        one.join(two, ["pivot", "shingle"])
+        .where(f"p <> q AND {far} * (abs(d - e) + abs(m - o)) <= {near} * (n + k)")
+        .groupBy("pivot", "a", "b")
+        .agg(F.count(F.lit(1)).alias("s"), *[F.min(c).alias(c) for c in "demonk"])
+        .where(f"{far} * (d + e - 2 * s + abs(m - o)) <= {near} * (n + k)")
     )
     both = by_sums.select("a", "b").unionByName(by_shingle.select("a", "b"))
     return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
@@ -320,9 +332,9 @@ def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> D
     links = spokes.where(near).select("a", "b")
     roots = components(links)
 
-    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), sets, percent)
+    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), percent)
     pairs = write_out(pairs, "pairs")
-    late = write_out(_distances(pairs, sets), "late").where(near).select("a", "b")
+    late = write_out(_distances(pairs, sets).drop("extra"), "late").where(near).select("a", "b")
     if late.isEmpty():
         return roots
     return components(links.unionByName(late))
