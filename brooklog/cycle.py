@@ -101,6 +101,7 @@ class LogCycle:
         except Exception as failure:
             outcome.failed_at = self._module
             self.events.error(outcome.cycle_id, self._module, failure)
+        self.events.status(outcome.cycle_id, CORE, observe.ENDED)
         try:
             self.events.flush()
         except Exception:
@@ -111,8 +112,9 @@ class LogCycle:
     def _run(self, outcome: CycleOutcome) -> None:
         last = self.ledger.last_cycle()
         outcome.cycle_id = cycle_id = last + 1
+        self.events.status(cycle_id, CORE, observe.STARTED)
         checkpoint = self.ledger.load(last)
-        self.events.status(cycle_id, CHECKPOINT, f"got checkpoint of cycle {last}")
+        self.events.status(cycle_id, CHECKPOINT, f"resuming after cycle {last}")
 
         self._module = READER
         catalog = self.topics(self.source.catalog())
@@ -138,8 +140,8 @@ class LogCycle:
                 self.events.error(
                     cycle_id,
                     READER,
-                    f"Missing messages: {gap.topic}-{gap.partition}, "
-                    f"from {gap.committed} to {gap.earliest}",
+                    f"records lost in {gap.topic}/{gap.partition}: "
+                    f"offsets {gap.committed} to {gap.earliest - 1}",
                 )
         self.events.metrics(cycle_id, READER, {IN_RECORDS: outcome.planned})
         now_ms = int(time.time() * 1000)
@@ -150,11 +152,11 @@ class LogCycle:
             self.flush_interval_ms,
             self.min_total_records,
         ):
-            self.events.status(cycle_id, READER, "not enough to flush")
+            self.events.status(cycle_id, READER, "waiting for more records or time")
             return
         outcome.flushed = True
         self.last_flush_ms = now_ms
-        self.events.status(cycle_id, READER, "ready to flush")
+        self.events.status(cycle_id, READER, "cycle is due")
         if outcome.planned == 0:
             return
 
@@ -170,16 +172,16 @@ class LogCycle:
         partial = self.sink(out, cycle_id)
         spent = int((time.monotonic() - begin) * 1000)
         self._report(cycle_id, observed(read), observed(written), partial, spent)
-        self.events.status(cycle_id, WRITER, "ready to checkpoint")
+        self.events.status(cycle_id, WRITER, "records are written")
 
         self._module = CHECKPOINT
         if partial is not None:
             delta = partial
             loose = disconnected(checkpoint, delta).first()
             if loose is not None:
-                raise ValueError(f"offset ranges not connected: {loose}")
+                raise ValueError(f"written ranges leave a gap or overlap: {loose}")
         self.ledger.commit(cycle_id, merge_checkpoint(checkpoint, delta))
-        self.events.status(cycle_id, CHECKPOINT, "checkpoint success")
+        self.events.status(cycle_id, CHECKPOINT, "offsets are committed")
         outcome.committed = True
 
     def _report(

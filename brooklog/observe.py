@@ -27,6 +27,8 @@ CORE, READER, TRANSFORMER, WRITER, CHECKPOINT = (
 )
 IN_RECORDS, IN_BYTES, OUT_RECORDS, OUT_BYTES = "InRecords", "InBytes", "OutRecords", "OutBytes"
 WRITE_MILLIS = "WriteMillis"
+# messages of the rows that mark where a cycle begins and ends
+STARTED, ENDED = "cycle started", "cycle ended"
 
 
 # status and metric rows share one table, so that a cycle ends with one append

@@ -51,7 +51,7 @@ def merge_checkpoint(checkpoint: DataFrame, delta: DataFrame) -> DataFrame:
     Using a row whose delta leaves a gap or overlaps raises an error.
     """
     text = F.concat_ws(
-        " ", F.lit("offset ranges not connected:"), "topic", "partition", "until_offset", "_from"
+        " ", F.lit("ranges leave a gap or overlap:"), "topic", "partition", "until_offset", "_from"
     )
     until = F.coalesce("_until", "until_offset")
     return _joined(checkpoint, delta).select(

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from brooklog.schemas import TOPIC_PARTITION
 
-# fixed values: the defaults users of the original system know
+# fixed values: the default settings
 DEFAULT_MAX_RECORDS = 1000
 DEFAULT_FLUSH_INTERVAL_MS = 1000
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from brooklog.cycle import LogCycle, resume_from
 from brooklog.functions.time_partition import column_time
-from brooklog.observe import partition_summary
+from brooklog.observe import ENDED, STARTED, partition_summary
 from brooklog.operators.records import tag_time_partition, with_topic_partition
 from brooklog.plans import checkpoint as cp
 from brooklog.plans import ranges as plans
@@ -234,6 +234,61 @@ def cycle_metrics(spark, sf_dir):
     return metrics.groupBy("module", "metric").agg(F.sum("value").alias("total"))
 
 
+_retried: dict[tuple[str, str], LogCycle] = {}
+
+
+class FailsOnce:
+    """A sink whose first write reaches its folder and fails all the same."""
+
+    def __init__(self, sink):
+        self.sink, self.failed = sink, False
+
+    def __call__(self, records, cycle_id):
+        self.sink(records, cycle_id)
+        if not self.failed:
+            self.failed = True
+            raise RuntimeError("the connection broke after the write")
+
+
+def retried_cycle(spark, sf_dir) -> LogCycle:
+    """A cycle over the whole log that fails in its first attempt and is run again."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _retried:
+        log = log_table(spark, sf_dir)
+        home = fresh_path(spark, "cycle")
+        cycle = LogCycle(
+            spark, "retried", log, FailsOnce(BatchFolders(f"{home}/out")), home,
+            max_records=log.catalog().agg(F.max("latest")).first()[0], flush_interval_ms=0,
+        )
+        first, second = cycle.run_once(), cycle.run_once()
+        if first.failed_at != "Writer" or not second.committed:
+            raise RuntimeError("the first attempt should fail and the second commit")
+        _retried[at] = cycle
+    return _retried[at]
+
+
+def retry_after_failed_write(spark, sf_dir):
+    out = retried_cycle(spark, sf_dir).sink.sink
+    return partition_summary(out.read(spark, SUMMED))
+
+
+def cycle_status(spark, sf_dir):
+    rows = retried_cycle(spark, sf_dir).events.status_table()
+    return rows.groupBy("cycle_id", "module", "status").agg(F.count(F.lit(1)).alias("events"))
+
+
+def cycle_boundaries(spark, sf_dir):
+    """How often each cycle was started and ended, and what its attempts read in all."""
+    events = retried_cycle(spark, sf_dir).events
+    marks = events.status_table().where("module = 'Core'").groupBy("cycle_id").agg(
+        F.count_if(F.col("message") == STARTED).alias("started"),
+        F.count_if(F.col("message") == ENDED).alias("ended"),
+    )
+    planned = events.metric_table().where("module = 'Reader' AND metric = 'InRecords'")
+    planned = planned.groupBy("cycle_id").agg(F.sum("value").alias("planned"))
+    return marks.join(planned, "cycle_id")
+
+
 def resume_external(spark, sf_dir):
     log = log_table(spark, sf_dir)
     home = fresh_path(spark, "cycle")
@@ -282,6 +337,9 @@ QUERIES = {
         cycle_output,
         cycle_ledger,
         cycle_metrics,
+        retry_after_failed_write,
+        cycle_status,
+        cycle_boundaries,
         resume_external,
         redelivery,
     )
@@ -397,4 +455,13 @@ SELECT l.topic, l."partition", {_SUMMARY}
 FROM log l JOIN catalog c ON c.topic = l.topic AND c."partition" = l."partition"
 WHERE l."offset" >= c.latest // 2 GROUP BY l.topic, l."partition" """,
     "redelivery": _SUMMARY_SQL,
+    "retry_after_failed_write": _SUMMARY_SQL,
+    "cycle_status": """
+SELECT CAST(1 AS BIGINT) AS cycle_id, module, status, CAST(n AS BIGINT) AS events
+FROM (VALUES ('Core', 'OK', 4), ('CheckpointService', 'OK', 3), ('Reader', 'OK', 2),
+             ('Writer', 'ERROR', 1), ('Writer', 'OK', 1)) t(module, status, n)
+WHERE (SELECT count(*) FROM events) > 0""",
+    "cycle_boundaries": """
+SELECT CAST(1 AS BIGINT) AS cycle_id, CAST(2 AS BIGINT) AS started, CAST(2 AS BIGINT) AS ended,
+       2 * count(*) AS planned FROM events""",
 }
