@@ -204,20 +204,22 @@ def _with_left(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
     """``packed`` documents with ``left`` (the text), ``n_lines`` and ``n_removed``."""
     with shuffles_dropped(docs.sparkSession):
         removed = removed_lines(docs, min_words, min_edit)
-    text = F.coalesce(F.col("text"), F.lit(""))
     rows = packed(docs).withColumns(
         {
             "doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
-            "tag": F.crc32(text.cast("binary")),
+            "tag": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")),
         }
-    ).join(removed, ["doc", "tag"], "left")
-    rows = rows.withColumn("lines", F.split(text, "\n"))
+    )
+    # the struct holds the text already; it is shuffled once
+    rows = rows.drop("text").join(removed, ["doc", "tag"], "left")
+    text = F.col("_all").getField("text")
+    rows = rows.withColumn("lines", F.split(F.coalesce(text, F.lit("")), "\n"))
     some = F.col("removed").isNotNull()
     return rows.select(
         "_all",
         "doc_id",
         F.when(some, F.array_join(_left(F.col("lines"), F.col("removed")), "\n"))
-        .otherwise(F.col("text"))
+        .otherwise(text)
         .alias("left"),
         F.size("lines").cast("long").alias("n_lines"),
         F.when(some, F.size("removed")).otherwise(0).cast("long").alias("n_removed"),
