@@ -271,24 +271,28 @@ def _late_pairs(
     )
 
     # second kind: they share a shingle that the pivot lacks
-    held = rest.select("pivot", "id", "root", "home", "n", "added", "missing").distinct()
+    held = rest.select("pivot", "id", "root", "home", "added", "missing", "size").distinct()
     held = held.join(away.select("pivot", "id", "extra"), ["pivot", "id"]).select(
-        "pivot", "id", "root", "home", "n", "added", "missing",
+        "pivot", "id", "root", "home", "added", "missing", "size",
         F.explode("extra").alias("shingle"),
     )
     held = write_out(held, "held")
     one = held.where("root <> home").selectExpr(
-        "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "n"
+        "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "size"
     )
     two = held.selectExpr(
-        "pivot", "shingle", "id AS b", "root AS q", "added AS e", "missing AS o", "n AS k"
+        "pivot", "shingle", "id AS b", "root AS q", "added AS e", "missing AS o"
     )
+    sizes = f"{near} * (2 * size + d + e - m - o)"
     by_shingle = (
         one.join(two, ["pivot", "shingle"])
-        .where(f"p <> q AND {far} * (abs(d - e) + abs(m - o)) <= {near} * (n + k)")
+        .where(f"p <> q AND {far} * (abs(d - e) + abs(m - o)) <= {sizes}")
         .groupBy("pivot", "a", "b")
-        .agg(F.count(F.lit(1)).alias("s"), *[F.min(c).alias(c) for c in "demonk"])
-        .where(f"{far} * (d + e - 2 * s + abs(m - o)) <= {near} * (n + k)")
+        .agg(
+            F.count(F.lit(1)).alias("s"),
+            *[F.min(c).alias(c) for c in ("d", "e", "m", "o", "size")],
+        )
+        .where(f"{far} * (d + e - 2 * s + abs(m - o)) <= {sizes}")
     )
     both = by_sums.select("a", "b").unionByName(by_shingle.select("a", "b"))
     return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
@@ -326,7 +330,9 @@ def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> D
     ends = one_each.join(ends, "id", "left_semi")
     ends = write_out(ends.select("id", "n", "at.doc", "at.tag"), "ends")
     # rows that repeat doc_id and text would give the same set again
-    texts = keyed(docs).join(ends.drop("n"), ["doc", "tag"]).dropDuplicates(["doc", "tag"])
+    # (the test of n is always true; it lets Spark filter the texts by these keys at run time)
+    few = ends.where("n > 0").drop("n")
+    texts = keyed(docs).join(few, ["doc", "tag"]).dropDuplicates(["doc", "tag"])
     sets = write_out(_shingles(texts.select("id", "text"), size), "sets")
     spokes = write_out(_distances(spokes, sets), "spokes")
     links = spokes.where(near).select("a", "b")

@@ -31,19 +31,26 @@ from brooklog.scratch import write_out
 #: Stands for a null doc_id in comparisons.
 LAST = (1 << 63) - 1
 _PLACE = np.uint64((1 << 24) - 1)
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Finished writes drop their own shuffle files, instead of keeping them until the
+#: driver happens to collect its garbage; and Spark's runtime filters (of at most
+#: 8 MB) keep texts out of a shuffle whose join would drop them, from any size on.
+_SETTINGS = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+}
 
 
 @contextmanager
 def shuffles_dropped(spark: SparkSession):
-    """Let each finished write drop its own shuffle files instead of keeping them
-    until the driver happens to collect its garbage."""
-    before = spark.conf.get(_CLEANUP, "false")
-    spark.conf.set(_CLEANUP, "true")
+    """Run the writes inside with ``_SETTINGS``."""
+    before = {name: spark.conf.get(name) for name in _SETTINGS}
+    for name, value in _SETTINGS.items():
+        spark.conf.set(name, value)
     try:
         yield
     finally:
-        spark.conf.set(_CLEANUP, before)
+        for name, value in before.items():
+            spark.conf.set(name, value)
 
 
 @dataclass(frozen=True)
