@@ -99,8 +99,34 @@ class LogTable:
         return batch
 
     def scan(self, ranges: DataFrame) -> DataFrame:
-        """Records of the planned ranges, which should be a written table."""
-        return scan_ranges(self.records(), ranges, written=True)
+        """Records of the planned ranges.
+
+        The catalog tells which batches hold them; only their folders are listed, so a
+        scan costs the same however old the log is.
+        """
+        asked = ranges.select(*TOPIC_PARTITION, "from_offset", "until_offset")
+        wanted = (
+            self._segments()
+            .join(asked, TOPIC_PARTITION)
+            .where("greatest(earliest, from_offset) < least(latest, until_offset)")
+            .select("batch", *TOPIC_PARTITION, "from_offset", "until_offset")
+        )
+        wanted = write_out(wanted, "ranges")
+        # a number per batch that is read
+        batches = [row.batch for row in wanted.select("batch").distinct().collect()]
+        layout = f"batch BIGINT, {schemas.LOG}"
+        if not batches:
+            return read_if_there(self.spark, f"{self.records_path}/none", layout).drop("batch")
+        folders = [f"{self.records_path}/batch={batch}" for batch in sorted(batches)]
+        reader = self.spark.read.schema(layout).option("basePath", self.records_path)
+        low, high = wanted.agg(F.min("from_offset"), F.max("until_offset")).first()
+        return (
+            reader.parquet(*folders)
+            .where((F.col("offset") >= low) & (F.col("offset") < high))
+            .join(wanted, ["batch", *TOPIC_PARTITION])
+            .where("offset >= from_offset AND offset < until_offset")
+            .drop("batch", "from_offset", "until_offset")
+        )
 
 
 def partition_catalog(log: DataFrame) -> DataFrame:

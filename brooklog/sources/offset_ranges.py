@@ -15,7 +15,7 @@ from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from brooklog import schemas
 from brooklog.plans.checkpoint import Ledger, merge_checkpoint
-from brooklog.sources.log_table import LogTable, scan_ranges
+from brooklog.sources.log_table import LogTable
 
 
 def offset_ranges_source(name: str = "offset_ranges") -> type[DataSource]:
@@ -105,7 +105,7 @@ def capped_batches(
     """
 
     def scan_and_write(ranges: DataFrame, batch_id: int) -> None:
-        write_batch(scan_ranges(log.records(), ranges), batch_id)
+        write_batch(log.scan(ranges), batch_id)
         if ledger is not None:
             merged = merge_checkpoint(ledger.load(batch_id), ranges)
             ledger.commit(batch_id + 1, merged)

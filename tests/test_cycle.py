@@ -296,6 +296,24 @@ def test_log_table_appends_behind_its_end(spark, home):
     assert ends == {k: r.records for k, r in summary.items()}
 
 
+def test_a_scan_lists_only_the_batches_it_needs(spark, home):
+    log = LogTable(spark, f"{home}/log")
+    records = spark.range(90).selectExpr(
+        "'t' AS topic", "CAST(id % 2 AS INT) AS partition", "CAST(NULL AS TIMESTAMP_NTZ) AS timestamp",
+        "CAST(NULL AS STRING) AS key", "CAST(id AS STRING) AS value", "id",
+    )
+    for low in (0, 30, 60):
+        log.publish(records.where(f"id >= {low} AND id < {low + 30}"), ["id"])
+    ranges = spark.createDataFrame([("t", 0, 16, 20), ("t", 1, 29, 30)], schemas.RANGES)
+    found = log.scan(ranges)
+    assert sorted(int(r.value) for r in found.collect()) == [32, 34, 36, 38, 59]
+    read = [path for path in found.inputFiles() if "/records/" in path]
+    assert read and all("/batch=2/" in path for path in read)
+    across = spark.createDataFrame([("t", 0, 14, 31), ("x", 0, 0, 9)], schemas.RANGES)
+    assert log.scan(across).count() == 17
+    assert log.scan(across.where("topic = 'x'")).count() == 0
+
+
 def test_scan_of_no_ranges(spark, log):
     from brooklog.sources.log_table import scan_ranges
 
