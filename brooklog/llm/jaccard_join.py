@@ -51,7 +51,7 @@ from brooklog.llm.blocks import (
 from brooklog.llm.graph import components
 from brooklog.llm.repeats import LAST, keyed, shuffles_dropped
 from brooklog.llm.rows import packed, unpacked
-from brooklog.scratch import write_out
+from brooklog.scratch import drop_path, fresh_path, write_out
 
 SHINGLE = 4
 #: Least similarity, in hundredths.
@@ -215,6 +215,7 @@ def _late_pairs(
     roots: DataFrame,
     ends: DataFrame,
     percent: int,
+    held_at: str,
 ) -> DataFrame:
     """Pairs (a, b) in regions of several components that may still be linked.
 
@@ -276,7 +277,7 @@ def _late_pairs(
         "pivot", "id", "root", "home", "added", "missing", "size",
         F.explode("extra").alias("shingle"),
     )
-    held = write_out(held, "held")
+    held = write_out(held, "held", held_at)
     one = held.where("root <> home").selectExpr(
         "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "size"
     )
@@ -298,11 +299,17 @@ def _late_pairs(
     return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
 
 
-def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> DataFrame:
-    """(node, root): components of the sets in ``found`` that are linked with another."""
+def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, size: int) -> DataFrame:
+    """(node, root): components of the sets in ``found`` that are linked with another.
+
+    ``cells`` is the folder of their signatures. Large working tables, this one too,
+    are dropped as soon as nothing later reads them.
+    """
+    spark = docs.sparkSession
     near = F.col("shared") * 100 >= F.col("joint") * percent
     # regions of at least two sets
-    rows = found.select("id", F.explode("signatures").alias("region"))
+    rows = spark.read.schema("id long, signatures array<long>").parquet(cells)
+    rows = rows.select("id", F.explode("signatures").alias("region"))
     regions = (
         rows.groupBy("region")
         .agg(F.min("id").alias("first"), F.max("id").alias("last"))
@@ -311,6 +318,7 @@ def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> D
     )
     regions = write_out(regions, "regions")
     members = write_out(rows.join(regions, "region", "left_semi").distinct(), "members")
+    drop_path(spark, cells)
     # the set that shares most parts with others is the pivot: the least changed copy
     sizes = write_out(members.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "sizes")
     shares = members.join(sizes, "region").groupBy("id").agg(F.sum("size").alias("shares"))
@@ -333,14 +341,18 @@ def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> D
     # (the test of n is always true; it lets Spark filter the texts by these keys at run time)
     few = ends.where("n > 0").drop("n")
     texts = keyed(docs).join(few, ["doc", "tag"]).dropDuplicates(["doc", "tag"])
-    sets = write_out(_shingles(texts.select("id", "text"), size), "sets")
+    whole = fresh_path(spark, "sets")
+    sets = write_out(_shingles(texts.select("id", "text"), size), "sets", whole)
     spokes = write_out(_distances(spokes, sets), "spokes")
     links = spokes.where(near).select("a", "b")
     roots = components(links)
 
-    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), percent)
+    held = fresh_path(spark, "held")
+    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), percent, held)
     pairs = write_out(pairs, "pairs")
+    drop_path(spark, held)
     late = write_out(_distances(pairs, sets).drop("extra"), "late").where(near).select("a", "b")
+    drop_path(spark, whole)
     if late.isEmpty():
         return roots
     return components(links.unionByName(late))
@@ -349,11 +361,12 @@ def linked_sets(docs: DataFrame, found: DataFrame, percent: int, size: int) -> D
 def join(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
     """(doc, tag, n, id, root, smallest): each document's set, component and least doc."""
     with shuffles_dropped(docs.sparkSession):
-        found = write_out(sets_of(docs, percent, size), "signatures")
-        roots = linked_sets(docs, found, percent, size)
+        cells = fresh_path(docs.sparkSession, "signatures")
+        found = write_out(sets_of(docs, percent, size), "signatures", cells)
+        found = write_out(found.drop("signatures"), "found")
+        roots = linked_sets(docs, found, cells, percent, size)
         named = (
-            found.drop("signatures")
-            .join(roots.withColumnRenamed("node", "id"), "id", "left")
+            found.join(roots.withColumnRenamed("node", "id"), "id", "left")
             .withColumn("root", F.coalesce("root", "id"))
         )
         least = named.where("n > 0").groupBy("root").agg(F.min("doc").alias("least"))
