@@ -24,6 +24,7 @@ each. Extra columns are not read by ``encode``.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,6 +86,22 @@ class Pieces:
         self.filter = np.zeros(1 << 22, bool)
         self.filter[(self.keys >> np.uint64(42)).astype(np.int64)] = True
 
+    def spells(self, spelled: list[bytes]) -> Pieces:
+        """Remember the bytes that each id stands for."""
+        self.letter_counts = np.array([len(b) for b in spelled], np.int64)
+        self.letter_starts = np.cumsum(self.letter_counts) - self.letter_counts
+        self.letters = np.frombuffer(b"".join(spelled), np.uint8)
+        return self
+
+    def texts(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The bytes of several texts, whose ids stand in a row."""
+        lengths = self.letter_counts[ids]
+        upto = np.concatenate([[0], np.cumsum(lengths)])
+        at = np.repeat(self.letter_starts[ids] - upto[:-1], lengths)
+        raw = self.letters[at + np.arange(len(at))].tobytes()
+        edges = upto[np.concatenate([[0], np.cumsum(counts)])].tolist()
+        return [raw[a:b].removeprefix(b" ") for a, b in zip(edges[:-1], edges[1:])]
+
     def find(self, hashes: np.ndarray) -> np.ndarray:
         """Number of the piece with each hash, or -1."""
         out = np.full(len(hashes), -1, np.int32)
@@ -101,9 +118,13 @@ def read_model(raw: bytes) -> Pieces:
 
     model = sentencepiece.SentencePieceProcessor(model_proto=raw)
     texts, scores, ids, byte_ids = [], [], [], [0] * 256
+    spelled = [b""] * model.get_piece_size()
     for i in range(model.get_piece_size()):
+        if not model.is_control(i):
+            spelled[i] = model.id_to_piece(i).replace(chr(SPACE), " ").encode()
         if model.is_byte(i):
-            byte_ids[int(model.id_to_piece(i)[3:5], 16)] = i
+            value = int(model.id_to_piece(i)[3:5], 16)
+            byte_ids[value], spelled[i] = i, bytes([value])
         elif not (model.is_control(i) or model.is_unknown(i) or model.is_unused(i)):
             texts.append(model.id_to_piece(i))
             scores.append(model.get_score(i))
@@ -111,7 +132,7 @@ def read_model(raw: bytes) -> Pieces:
     whole = np.rint(scores).astype(np.int64)
     if not np.array_equal(whole, np.array(scores, np.float64)):
         whole = np.rint(np.array(scores, np.float64) * (1 << 20)).astype(np.int64)
-    return Pieces(texts, whole.tolist(), ids, byte_ids)
+    return Pieces(texts, whole.tolist(), ids, byte_ids).spells(spelled)
 
 
 _models: dict[int, Pieces] = {}
@@ -520,6 +541,7 @@ def _in_chunks(docs: DataFrame, raw, chunk: int) -> DataFrame:
                 )
 
     def pick(table: pa.Table) -> pa.Table:
+        pieces = _model(raw.value)
         table = table.sort_by("k")
         came, ids = table.column("came"), table.column("ids")
         state, out = 0, []
@@ -532,6 +554,12 @@ def _in_chunks(docs: DataFrame, raw, chunk: int) -> DataFrame:
                 "doc_id": table.column("doc_id").slice(0, 1),
                 "crc": table.column("crc").slice(0, 1),
                 "ids": pa.array([whole.to_numpy()], pa.list_(pa.int32())),
+                "round_trip": pa.array(
+                    [
+                        zlib.crc32(pieces.texts(whole.to_numpy(), np.array([len(whole)]))[0])
+                        == table.column("crc")[0].as_py()
+                    ]
+                ),
             }
         )
 
@@ -547,11 +575,13 @@ def _in_chunks(docs: DataFrame, raw, chunk: int) -> DataFrame:
     return traced.groupBy("rid").applyInArrow(pick, _ENCODED)
 
 
-_ENCODED = "doc_id long, crc long, ids array<int>"
+_ENCODED = "doc_id long, crc long, ids array<int>, round_trip boolean"
 
 
 def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
-    """(doc_id, crc, ids): piece ids of each text, and the text's CRC32.
+    """(doc_id, crc, ids, round_trip): piece ids of each text, and the text's CRC32.
+
+    ``round_trip`` says that the ids decode to the text.
 
     ``model`` is a SentencePiece model file, read by the driver. Texts of more than
     ``chunk`` characters are scanned in chunks.
@@ -572,13 +602,20 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
             for block in blocks(batch.column("text"), _BLOCK):
                 ids, counts = encode_block(*prepared(block), pieces)
                 rows = slice(block.first, block.first + len(counts))
+                back = pieces.texts(ids, counts)
+                ends = block.offsets.tolist()
+                same = [
+                    block.data[a:b].tobytes() == own
+                    for a, b, own in zip(ends[:-1], ends[1:], back)
+                ]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("doc_id")[rows],
                         batch.column("crc")[rows],
                         ragged(ids, counts, pa.int32()),
+                        pa.array(same, pa.bool_()),
                     ],
-                    names=["doc_id", "crc", "ids"],
+                    names=["doc_id", "crc", "ids", "round_trip"],
                 )
 
     short = rows.where(F.length("text") <= chunk).mapInArrow(run, _ENCODED)
@@ -588,7 +625,7 @@ def encode(docs: DataFrame, model: str, chunk: int = CHUNK) -> DataFrame:
 
 
 #: Bytes of text of which equal units are worked on once.
-_BLOCK = 1 << 22
+_BLOCK = 1 << 21
 
 
 def decode(encoded: DataFrame, model: str) -> DataFrame:
@@ -596,55 +633,35 @@ def decode(encoded: DataFrame, model: str) -> DataFrame:
 
     Bytes that are not UTF-8 become U+FFFD.
     """
-    import sentencepiece
-
-    own = sentencepiece.SentencePieceProcessor(model_file=model)
-    spelled = [
-        bytes([int(own.id_to_piece(i)[3:5], 16)])
-        if own.is_byte(i)
-        else b""
-        if own.is_control(i)
-        else own.id_to_piece(i).replace(chr(SPACE), " ").encode()
-        for i in range(own.get_piece_size())
-    ]
-    sizes = np.array([len(b) for b in spelled], np.int64)
-    begins = np.cumsum(sizes) - sizes
-    letters = np.frombuffer(b"".join(spelled), np.uint8)
+    with open(model, "rb") as file:
+        raw = encoded.sparkSession.sparkContext.broadcast(file.read())
     columns = encoded.columns
 
-    def texts(ids: pa.ListArray) -> list[str | None]:
-        counts = np.array([len(x) if x.is_valid else 0 for x in ids], np.int64)
-        flat = ids.flatten().to_numpy().astype(np.int64)
-        lengths = sizes[flat]
-        upto = np.concatenate([[0], np.cumsum(lengths)])
-        raw = letters[
-            np.repeat(begins[flat] - upto[:-1], lengths) + np.arange(int(upto[-1]))
-        ].tobytes()
-        edges = upto[np.concatenate([[0], np.cumsum(counts)])].tolist()
-        return [
-            raw[a:b].decode(errors="replace").removeprefix(" ") if x.is_valid else None
-            for a, b, x in zip(edges[:-1], edges[1:], ids)
-        ]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _model(raw.value)
         for batch in batches:
-            for k in range(0, batch.num_rows, 1024):
-                part = batch.slice(k, 1024)
+            for k in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(k, _ROWS)
+                ids = part.column("ids")
+                counts = np.array([len(x) if x.is_valid else 0 for x in ids], np.int64)
+                texts = [
+                    own.decode(errors="replace") if x.is_valid else None
+                    for x, own in zip(ids, pieces.texts(ids.flatten().to_numpy(), counts))
+                ]
                 yield pa.RecordBatch.from_arrays(
-                    [*part.columns, pa.array(texts(part.column("ids")), pa.string())],
-                    names=[*columns, "decoded"],
+                    [*part.columns, pa.array(texts, pa.string())], names=[*columns, "decoded"]
                 )
 
     schema = T.StructType([*encoded.schema.fields, T.StructField("decoded", T.StringType())])
     return encoded.mapInArrow(run, schema)
 
 
+#: Rows that are decoded at once.
+_ROWS = 512
+
+
 def report(docs: DataFrame, model: str) -> DataFrame:
     """(doc_id, n_pieces, ids, round_trip): round_trip says that decoding gives the text."""
-    found = decode(encode(docs, model), model)
-    return found.select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_pieces"),
-        "ids",
-        (F.crc32(F.col("decoded").cast("binary")) == F.col("crc")).alias("round_trip"),
+    return encode(docs, model).select(
+        "doc_id", F.size("ids").cast("long").alias("n_pieces"), "ids", "round_trip"
     )
