@@ -16,6 +16,8 @@ from brooklog.scratch import write_out
 #: Words of a shingle, and the least similarity in hundredths, of near duplicates.
 SHINGLE = 5
 PERCENT = 80
+#: Least words of a repeated line that goes. With one, nothing of an exact copy is left.
+LINE_WORDS = 1
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,7 +27,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without lines that came earlier, if any word is left."""
-    return line_dedup.without_repeats(docs)
+    return line_dedup.without_repeats(docs, min_words=LINE_WORDS)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -78,6 +78,15 @@ def test_pipeline_against_brute_force(spark, con):
     assert all(r.round_trip for r in decoded)
 
 
+def test_copies_go_with_their_short_lines(spark):
+    whole = "Title.\nthe first line has these eight words here\n\nEnd."
+    docs = spark.createDataFrame(
+        [(1, whole), (2, whole), (3, "Title.\nother words than those\nEnd.")], "doc_id long, text string"
+    )
+    left = corpus_pipeline.deduplicate_lines(spark, docs, SF_DIR)
+    assert sorted(tuple(r) for r in left.collect()) == [(1, whole), (3, "other words than those")]
+
+
 def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
     odd.limit(0).selectExpr("doc_id AS item_id", "text").write.parquet(f"{tmp_path}/benchmark.parquet")
     for docs in (odd, none):
