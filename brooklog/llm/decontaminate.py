@@ -3,10 +3,12 @@
 A short item in a long document has a tiny Jaccard similarity, so items are
 partitioned by their number of shingles, and each partition compares its items
 with document windows of a matching size: twice the partition's largest item,
-moved on by that size. An item that a document contains then has a similarity of
-at least 0.19 to one window, and shares one of ``HASHES`` minimum hashes with it
-but for a chance of 0.81 ** 64 = 0.000001. Every candidate is verified by the exact
-share of the item's shingles that the whole document has.
+moved on by that size. An item that a document contains in one place then has a
+similarity of at least 0.19 to one window, and shares one of ``HASHES`` minimum
+hashes with it but for a chance of 0.81 ** 64 = 0.0000014. That does not hold for
+items of up to ``LEAST`` shingles, which fill too little of the least window: their
+shingles are looked up, so that none is missed. Every candidate is verified by the
+exact share of the item's shingles that the whole document has.
 
 Words are runs of ASCII letters (case does not matter), digits and non-ASCII
 characters; a shingle is five of them. Documents and items of fewer words, null
@@ -42,7 +44,7 @@ from brooklog.scratch import write_out
 SHINGLE = 5
 THRESHOLD = 0.8
 HASHES = 64
-#: Windows are made of runs of this many shingles, the least size of a partition.
+#: Windows are made of runs of this many shingles; items of no more are looked up.
 LEAST = 8
 #: Shingles of all items that are sent to a task at once.
 BLOCK_SHINGLES = 1 << 20
@@ -84,13 +86,21 @@ class Items:
     ids: list
     sets: list[np.ndarray]
     partitions: list[Partition]
+    #: Shingles of the items of up to ``LEAST``, sorted, and the item of each.
+    small: np.ndarray
+    small_owner: np.ndarray
 
 
 def index_items(ids: list, sets: list[np.ndarray]) -> Items:
     sizes = np.array([len(s) for s in sets])
     levels = np.maximum(np.ceil(np.log2(np.maximum(sizes, 1) / LEAST)), 0).astype(int)
     partitions = []
-    for level in np.unique(levels):
+    few = np.flatnonzero(sizes <= LEAST)
+    small = np.concatenate([*(sets[i] for i in few), np.zeros(0, np.uint64)])
+    small_owner = np.repeat(few, sizes[few])
+    order = np.argsort(small, kind="stable")
+    small, small_owner = small[order], small_owner[order]
+    for level in np.unique(levels[sizes > LEAST]):
         own = np.flatnonzero(levels == level)
         low = [np.array([(sets[i] * f).min() for i in own]) for f in _FACTORS]
         order = [np.argsort(x, kind="stable") for x in low]
@@ -101,7 +111,7 @@ def index_items(ids: list, sets: list[np.ndarray]) -> Items:
                 [own[o] for o in order],
             )
         )
-    return Items(ids, sets, partitions)
+    return Items(ids, sets, partitions, small, small_owner)
 
 
 def _runs_of(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -112,13 +122,31 @@ def _runs_of(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first[:-1][text] + (np.arange(begin[-1]) - begin[:-1][text]) * size, begin
 
 
+def looked_up(found: np.ndarray, first: np.ndarray, items: Items) -> np.ndarray:
+    """Pairs (text, item) that share a shingle, for items of up to ``LEAST``."""
+    texts = len(first) - 1
+    if len(items.small) == 0 or len(found) == 0:
+        return np.zeros(0, np.int64)
+    left = np.searchsorted(items.small, found, "left")
+    hits = np.flatnonzero(items.small[np.minimum(left, len(items.small) - 1)] == found)
+    text = np.searchsorted(first, hits, "right") - 1
+    # a shingle that a text repeats counts once
+    own = np.unique(left[hits] * texts + text)
+    left, text = own // texts, own % texts
+    many = np.searchsorted(items.small, items.small[left], "right") - left
+    row = np.repeat(np.arange(len(own)), many)
+    entry = left[row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
+    return text[row] + texts * items.small_owner[entry]
+
+
 def candidates(found: np.ndarray, first: np.ndarray, items: Items) -> np.ndarray:
-    """Pairs (text, item) of which a window and the item share a minimum hash."""
+    """Pairs (text, item) of which a window and the item share a minimum hash, or,
+    for a small item, the text and the item a shingle."""
     texts = len(first) - 1
-    pairs = [np.zeros(0, np.int64)]
+    pairs = [looked_up(found, first, items)]
     starts, begin = _runs_of(first, LEAST)
-    if len(starts) == 0:
-        return pairs[0]
+    if len(starts) == 0 or not items.partitions:
+        return np.unique(pairs[0])
     for j, factor in enumerate(_FACTORS):
         low, own, size = np.minimum.reduceat(found * factor, starts), begin, LEAST
         for part in items.partitions:

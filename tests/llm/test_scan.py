@@ -7,6 +7,7 @@ import random
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from brooklog.llm import (
@@ -273,6 +274,21 @@ def test_items_in_several_blocks(spark):
     assert [b.ids for b in blocks] == [[0, 1], [2, 3], [4]]
 
 
+@pytest.mark.parametrize("size", [5, 6, 8, 12])
+def test_no_small_item_is_missed(size):
+    """Each item stands once in one long text, where one window or two hold it."""
+    texts = [" ".join(f"s{i}x{k}" for k in range(size)) for i in range(4000)]
+    whole = " filler of seven words that stays equal ".join(texts)
+    block = next(decontaminate.blocks(pa.array([whole]), 1 << 30))
+    sets = []
+    for text in texts:
+        own, _ = decontaminate.shingles(next(decontaminate.blocks(pa.array([text]))))
+        sets.append(np.unique(own))
+    items = decontaminate.index_items(list(range(len(texts))), sets)
+    found = decontaminate.matches(block, items, decontaminate.THRESHOLD)
+    assert [i for _, i, _ in found] == list(range(len(texts)))
+
+
 def test_items_and_odd_rows(spark, odd, none):
     items = spark.createDataFrame(
         [(1, None), (2, "four words are few"), (3, "repeated row of exactly these eight"), (3, "repeated row of exactly these eight")],
