@@ -7,8 +7,11 @@ An inverted index maps the templates' fingerprints to their places. Hits of one
 template on nearby diagonals are a candidate; its words are aligned with the text
 around that diagonal, in a band, and reported if enough of them match.
 
-Templates of fewer than three words are not searched for. A null or empty text or
-template has no words and matches nothing. Templates that repeat both name and
+Where the words that may be replaced or missing need not leave four in a row (at
+0.8, templates of up to 7 words, of 10, 11 and 15), words are looked up instead: any
+place where enough of the template's words stand together is a candidate.
+
+A null or empty text or template has no words and matches nothing. Templates that repeat both name and
 text count once; repeated rows of documents each give theirs. A text may hold a
 template several times; of candidates that end up at overlapping spans the best is
 reported, the earlier of equals. Columns other than doc_id and text are not read.
@@ -19,6 +22,7 @@ the documents once. Documents are not shuffled.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -108,30 +112,88 @@ def fingerprints(hashes: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.
     return at[keep], grams[keep]
 
 
-class Index:
-    """Inverted index of templates: sorted fingerprints, each with template and place."""
+class Postings:
+    """Keys of templates, sorted, each with its template and place."""
 
-    def __init__(self, names: list[str], words: list[np.ndarray]):
-        self.names, self.words = names, words
-        first = np.concatenate([[0], np.cumsum([len(w) for w in words])])
-        at, grams = fingerprints(np.concatenate(words), first)
-        order = np.argsort(grams, kind="stable")
-        self.grams = grams[order]
-        at = at[order]
-        self.template = np.searchsorted(first, at, "right") - 1
-        self.place = at - first[self.template]
-
-    def hits(self, at: np.ndarray, grams: np.ndarray):
-        """(word, template, place in it) of every fingerprint that the index has."""
-        left = np.searchsorted(self.grams, grams, "left")
-        hit = self.grams[np.minimum(left, len(self.grams) - 1)] == grams
-        at, grams, left = at[hit], grams[hit], left[hit]
-        many = np.searchsorted(self.grams, grams, "right") - left
+    def __init__(self, keys: np.ndarray, template: np.ndarray, place: np.ndarray):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.template, self.place = keys[order], template[order], place[order]
+
+    def hits(self, at: np.ndarray, keys: np.ndarray):
+        """(word, template, place in it) of every one of ``keys`` that is here."""
+        if len(self.keys) == 0:
+            return at[:0], self.template, self.place
+        left = np.searchsorted(self.keys, keys, "left")
+        hit = self.keys[np.minimum(left, len(self.keys) - 1)] == keys
+        at, keys, left = at[hit], keys[hit], left[hit]
+        many = np.searchsorted(self.keys, keys, "right") - left
         row = np.repeat(np.arange(len(at)), many)
         entry = left[row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
         return at[row], self.template[entry], self.place[entry]
 
 
+def _drift(size: int) -> int:
+    return max(BAND, int(BAND_SHARE * size))
+
+
+class Index:
+    """Inverted indexes of templates: by fingerprints, and by words where few may match."""
+
+    def __init__(self, names: list[str], words: list[np.ndarray], coverage: float):
+        self.names, self.words = names, words
+        self.counts = [np.unique(w, return_counts=True) for w in words]
+        self.least = [math.ceil(coverage * len(w)) for w in words]
+        # so many words in at most so many runs: is one of them longer than a gram?
+        by_word = np.array(
+            [least <= GRAM * (len(w) - least + 1) for w, least in zip(words, self.least)]
+        )
+        self.short = np.flatnonzero(by_word)
+        first = np.concatenate([[0], np.cumsum([len(w) for w in words])])
+        hashes = np.concatenate(words)
+        at, grams = fingerprints(hashes, first)
+        template = np.searchsorted(first, at, "right") - 1
+        at, grams, template = (x[~by_word[template]] for x in (at, grams, template))
+        self.grams = Postings(grams, template, at - first[template])
+        at = np.arange(len(hashes))
+        template = np.searchsorted(first, at, "right") - 1
+        at, template = (x[by_word[template]] for x in (at, template))
+        self.single = Postings(hashes[at], template, at - first[template])
+
+    def hits(self, words: np.ndarray, first: np.ndarray):
+        """(word, template, place in it) where a match may be."""
+        at, template, place = self.single.hits(np.arange(len(words)), words)
+        near = np.zeros(len(at), bool)
+        for k in self.short if len(at) else ():
+            own = np.flatnonzero(template == k)
+            stands = np.unique(at[own])
+            near[own] = np.isin(at[own], stands[self._together(k, stands, first)])
+        found = self.grams.hits(*fingerprints(words, first))
+        return [np.concatenate(x) for x in zip(found, (at[near], template[near], place[near]))]
+
+    def _together(self, k: int, stands: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Which of the words at ``stands`` are among enough of template ``k``'s."""
+        least = max(self.least[k], 1)
+        if len(stands) < least:
+            return np.zeros(len(stands), bool)
+        low, high = stands[: len(stands) - least + 1], stands[least - 1 :]
+        widest = len(self.words[k]) - 1 + 2 * _drift(len(self.words[k]))
+        text = np.searchsorted(first, stands, "right")
+        enough = (high - low <= widest) & (text[: len(low)] == text[least - 1 :])
+        edges = np.zeros(len(stands) + 1, np.int64)
+        edges[: len(low)] += enough
+        edges[least : least + len(low)] -= enough
+        return np.cumsum(edges[:-1]) > 0
+
+    def may_match(self, k: int, words: np.ndarray) -> bool:
+        """Whether enough of template ``k``'s words are among ``words``, in any order."""
+        if len(words) < self.least[k]:
+            return False
+        sought, counts = self.counts[k]
+        at = np.minimum(np.searchsorted(sought, words), len(sought) - 1)
+        there = np.bincount(at[sought[at] == words], minlength=len(sought))
+        return int(np.minimum(there, counts).sum()) >= self.least[k]
+
+
 def align(template: np.ndarray, words: np.ndarray, start: int, width: int):
     """Best fit of a template into words from ``start`` on, drifting up to ``width`` words.
 
@@ -170,7 +232,7 @@ def align(template: np.ndarray, words: np.ndarray, start: int, width: int):
 
 def matches(words: np.ndarray, first: np.ndarray, index: Index, coverage: float):
     """(text, template, matched, first word, last word) of every reported match."""
-    at, template, place = index.hits(*fingerprints(words, first))
+    at, template, place = index.hits(words, first)
     if len(at) == 0:
         return []
     text = np.searchsorted(first, at, "right") - 1
@@ -182,7 +244,7 @@ def matches(words: np.ndarray, first: np.ndarray, index: Index, coverage: float)
     while k < len(text):
         t, name = int(text[k]), int(template[k])
         own = index.words[name]
-        band = max(BAND, int(BAND_SHARE * len(own)))
+        band = _drift(len(own))
         end = k + 1
         # a chain of near diagonals, but no wider than one match can drift
         while (
@@ -194,10 +256,12 @@ def matches(words: np.ndarray, first: np.ndarray, index: Index, coverage: float)
             end += 1
         low, high = int(origin[k]) - band, int(origin[end - 1]) + band
         body = words[first[t] : first[t + 1]]
-        found = align(own, body, low - int(first[t]), high - low)
+        k, begin = end, low - int(first[t])
+        if not index.may_match(name, body[max(begin, 0) : max(high - int(first[t]) + len(own), 0)]):
+            continue
+        found = align(own, body, begin, high - low)
         if len(found) >= coverage * len(own):
             out.append((t, name, len(found), int(first[t]) + found[0], int(first[t]) + found[-1]))
-        k = end
     # of overlapping spans of one template the best
     out.sort(key=lambda x: (x[0], x[1], -x[2], x[3]))
     kept: list[tuple[int, int, int, int, int]] = []
@@ -208,22 +272,24 @@ def matches(words: np.ndarray, first: np.ndarray, index: Index, coverage: float)
     return kept
 
 
-def _blocks_of(templates: DataFrame, most: int = BLOCK_WORDS) -> Iterator[Index]:
+def _blocks_of(
+    templates: DataFrame, coverage: float, most: int = BLOCK_WORDS
+) -> Iterator[Index]:
     rows = templates.select("name", F.coalesce(F.col("text"), F.lit("")).alias("text"))
     names, words, total = [], [], 0
     for row in rows.distinct().orderBy("name", "text").toLocalIterator():
         data = np.frombuffer(row.text.encode(), np.uint8)
         own = _hashed(data, np.array([0, len(data)]))[1]
-        if len(own) < GRAM:
+        if len(own) == 0:
             continue
         if names and total + len(own) > most:
-            yield Index(names, words)
+            yield Index(names, words, coverage)
             names, words, total = [], [], 0
         names.append(row.name)
         words.append(own)
         total += len(own)
     if names:
-        yield Index(names, words)
+        yield Index(names, words, coverage)
 
 
 _FOUND = (
@@ -284,7 +350,7 @@ def scan(docs: DataFrame, templates: DataFrame, coverage: float = COVERAGE) -> D
     license, n_matched, n_words, coverage, start, end, span): characters ``start`` to
     ``end`` of the text are ``span``, from the first matched word to the last.
     """
-    parts = [_scan(docs, index, coverage) for index in _blocks_of(templates)]
+    parts = [_scan(docs, index, coverage) for index in _blocks_of(templates, coverage)]
     if not parts:
         return docs.sparkSession.createDataFrame([], _FOUND)
     out = parts[0]

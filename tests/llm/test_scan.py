@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 
@@ -67,6 +68,21 @@ def test_alignment_against_all_paths():
         assert len(found) <= m
 
 
+def test_short_templates_lose_none_of_their_changes(spark):
+    """A match is found wherever the words are that coverage lets be replaced."""
+    rows, templates = [], []
+    for size in (1, 2, 3, 5, 6, 7, 10, 11, 15):
+        own = [f"t{size}w{k}" for k in range(size)]
+        templates.append((str(size), " ".join(own)))
+        changes = size - math.ceil(licenses.COVERAGE * size)
+        for places in itertools.combinations(range(size), changes):
+            text = [f"other{len(rows)}x{k}" if k in places else w for k, w in enumerate(own)]
+            rows.append((size, f"words before {' '.join(text)} and after"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = licenses.scan(docs, spark.createDataFrame(templates, "name string, text string"))
+    assert sorted(r.license for r in found.collect()) == sorted(str(d) for d, _ in rows)
+
+
 def test_license_templates_of_odd_kinds(spark, odd, none):
     templates = spark.createDataFrame(
         [("a", None), ("b", "two words"), ("c", "these eight short words"), ("c", "these eight short words")],
