@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -43,35 +44,53 @@ BAND_SHARE = 0.2
 BLOCK_WORDS = 1 << 19
 
 # Notices of well-known licenses, as their authors ask to use them.
-NOTICES = (
+_SHORT = (
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     (
         "Apache-2.0 header",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this "
         "file except in compliance with the License. You may obtain a copy of the License at "
-        "http://www.apache.org/licenses/LICENSE-2.0",
+        "http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
+        "to in writing, software distributed under the License is distributed on an \"AS IS\" "
+        "BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the "
+        "License for the specific language governing permissions and limitations under the License.",
     ),
     ("MIT", "Released under the MIT License."),
+    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
-        "MIT text",
-        "Permission is hereby granted, free of charge, to any person obtaining a copy of this "
-        "software and associated documentation files (the \"Software\"), to deal in the Software "
-        "without restriction, including without limitation the rights to use, copy, modify, "
-        "merge, publish, distribute, sublicense, and/or sell copies of the Software, and to "
-        "permit persons to whom the Software is furnished to do so",
+        "GPL-2.0 header",
+        "This program is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU General Public License as published by the Free Software Foundation; either "
+        "version 2 of the License, or (at your option) any later version.",
     ),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     (
         "GPL-3.0 header",
         "This program is free software: you can redistribute it and/or modify it under the terms "
         "of the GNU General Public License as published by the Free Software Foundation, either "
         "version 3 of the License, or (at your option) any later version.",
     ),
+    (
+        "LGPL-2.1 header",
+        "This library is free software; you can redistribute it and/or modify it under the terms "
+        "of the GNU Lesser General Public License as published by the Free Software Foundation; "
+        "either version 2.1 of the License, or (at your option) any later version.",
+    ),
+    (
+        "AGPL-3.0 header",
+        "This program is free software: you can redistribute it and/or modify it under the terms "
+        "of the GNU Affero General Public License as published by the Free Software Foundation, "
+        "either version 3 of the License, or (at your option) any later version.",
+    ),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     (
         "CC-BY-4.0",
         "This work is licensed under the Creative Commons Attribution 4.0 International License.",
     ),
+    (
+        "CC-BY-SA-4.0",
+        "This work is licensed under the Creative Commons Attribution-ShareAlike 4.0 "
+        "International License.",
+    ),
     (
         "MPL-2.0",
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
@@ -81,6 +100,14 @@ NOTICES = (
         "Redistribution and use in source and binary forms, with or without modification, are "
         "permitted provided that the following conditions are met",
     ),
+    ("All rights reserved", "All rights reserved."),
+)
+
+#: Whole texts, from the first to the last word, each in a file of its name.
+TEXTS = Path(__file__).with_name("license_texts")
+NOTICES = _SHORT + tuple(
+    (f"{file.stem} text", file.read_text(encoding="utf-8").strip().rstrip("."))
+    for file in sorted(TEXTS.glob("*.txt"))
 )
 
 

@@ -48,6 +48,21 @@ def test_notices_are_found_whole_and_changed(spark):
     assert next(r for r in found if r.doc_id == 1).span == text
 
 
+def test_whole_texts_and_reserved_rights_are_found(spark):
+    rows = [(i, name, f"before {text} after") for i, (name, text) in enumerate(licenses.NOTICES)]
+    whole = dict(licenses.NOTICES)["GPL-2.0 text"].split()
+    rows.append((len(rows), "half of it", " ".join(whole[: len(whole) // 2])))
+    df = spark.createDataFrame(rows, "doc_id long, name string, text string")
+    found = {(r.doc_id, r.license) for r in licenses.scan(df, licenses.notices(spark)).collect() if r.coverage == 1}
+    own = {(i, name) for i, name, _ in rows[:-1]}
+    assert own <= found and {name for _, name in own} >= {
+        "All rights reserved", "MIT text", "ISC text", "BSD-2-Clause text", "BSD-3-Clause text",
+        "Apache-2.0 text", "CC0-1.0 text", "GPL-2.0 text", "GPL-3.0 text", "LGPL-2.1 text",
+        "LGPL-3.0 text", "MPL-2.0 text", "Unlicense text", "AGPL-3.0 header", "CC-BY-SA-4.0",
+    }
+    assert (len(rows) - 1, "GPL-2.0 text") not in found
+
+
 def test_alignment_against_all_paths():
     """The band is wide, so the number of matches is that of the plain recurrence."""
     rng = np.random.default_rng(5)
