@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from brooklog.llm import (
     decontaminate,
     jaccard_join,
+    kneser_ney,
     licenses,
     line_dedup,
     quality,
@@ -90,6 +91,10 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_scan.report(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
 
 
+def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kneser_ney.score(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -103,6 +108,7 @@ QUERIES = {
         op8_substring_dedup,
         op9_benchmark_decontamination,
         op10_sentencepiece,
+        op11_lm_scoring,
     )
 }
 

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
-from collections import defaultdict
+import zlib
+from collections import Counter, defaultdict
 
 
 def words(text: str | None) -> list[bytes]:
@@ -110,3 +112,65 @@ def segment(text: str | None, scores: dict, unknown: int, longest: int, byte_ids
         out[:0] = ids
         end -= best[end][1]
     return out
+
+
+def _discounts(counts) -> list[float]:
+    n1, n2, n3, n4 = [sum(c == k for c in counts) for k in (1, 2, 3, 4)]
+    if n1 and n2 and n3:
+        y = n1 / (n1 + 2 * n2)
+        found = [1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3]
+        if all(0 < d <= k for k, d in enumerate(found, 1)):
+            return [0.0, *found]
+    return [0.0, 0.5, 1.0, 1.5]
+
+
+def kneser_ney(rows):
+    """[(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score)], as ``rows``."""
+    start, end = object(), object()
+    texts = []
+    for doc, text in rows:
+        own = [re.sub(rb"[A-Z]", lambda m: m[0].lower(), w) for w in words(text)]
+        held = doc is not None and zlib.crc32(str(doc).encode()) % 5 == 1
+        texts.append((doc, held, [*own, end]))
+    single, three, two, one = Counter(), Counter(), Counter(), Counter()
+    for _, held, own in texts:
+        if held:
+            continue
+        single.update(own)
+        two[start, own[0]] += 1
+        padded = [start, *own]
+        three.update(zip(padded, padded[1:], padded[2:]))
+    for _, v, w in three:
+        two[v, w] += 1
+    for _, w in two:
+        one[w] += 1
+    total, kinds = sum(single.values()), len(single)
+    tables = []
+    for table in (one, two, three):
+        cut = _discounts(list(table.values()))
+        sums, freed = Counter(), Counter()
+        for key, c in table.items():
+            context = key[:-1] if table is not one else ()
+            sums[context] += c
+            freed[context] += cut[min(c, 3)]
+        tables.append((table, cut, sums, freed))
+
+    def probability(context, w):
+        if context is None:
+            return 1 / (kinds + 1)
+        table, cut, sums, freed = tables[len(context)]
+        lower = probability(context[1:] if context else None, w)
+        if not sums[context]:
+            return lower
+        c = table[(*context, w) if context else w]
+        return (c - cut[min(c, 3)]) / sums[context] + freed[context] / sums[context] * lower
+
+    out = []
+    for doc, held, own in texts:
+        padded = [start, *own]
+        base = sum(math.log10((single[w] + 0.5) / (total + 0.5 * (kinds + 1))) for w in own)
+        score = sum(
+            math.log10(probability(tuple(padded[max(i - 1, 0) : i + 1]), w)) for i, w in enumerate(own)
+        )
+        out.append((doc, held, len(own), sum(single[w] > 0 for w in own), total, base, score))
+    return out
