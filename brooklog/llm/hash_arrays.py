@@ -84,11 +84,27 @@ def by_shard(keys: np.ndarray, bits: int) -> Iterator[tuple[int, slice]]:
         yield int(shards[begin]), slice(begin, end)
 
 
+def heads_of(sorted_keys: np.ndarray) -> np.ndarray:
+    """Where each run of equal keys begins."""
+    if len(sorted_keys) == 0:
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place where each stands, and for all keys which it is."""
+    order = np.argsort(keys)
+    heads = heads_of(keys[order])
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(keys)))
+    return keys[order[heads]], order[heads], back
+
+
 def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys, and the sums of each of ``values`` over equal keys."""
-    order = np.argsort(keys, kind="stable")
+    order = np.argsort(keys)
     keys = keys[order]
-    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else order
+    heads = heads_of(keys)
     return keys[heads], *[
         np.add.reduceat(v[order], heads) if len(heads) else v for v in values
     ]

@@ -38,10 +38,10 @@ from brooklog.llm.repeats import shuffles_dropped
 from brooklog.scratch import drop_path, fresh_path, write_out
 
 #: Slices of the trigram level, a power of two.
-PART_BITS = 3
+PART_BITS = 2
 PARTS = 1 << PART_BITS
 #: Bytes of text whose n-grams make about one shard.
-SHARD_BYTES = 1 << 24
+SHARD_BYTES = 1 << 23
 #: Ids of one file of word statistics.
 ID_BITS = 20
 #: Tokens handled at once; a longer text is handled alone.
@@ -143,7 +143,9 @@ def _vocabulary(docs: DataFrame, folder: str, bits: int) -> Model:
             for block in blocks(batch.column("text"), 1 << 23):
                 data = LOWER_ASCII[block.data]
                 hashes = word_hashes(data, find_words(data, block.offsets), _SEED)
-                keys, counts = np.unique(hashes, return_counts=True)
+                hashes = np.sort(hashes)
+                heads = arrays.heads_of(hashes)
+                keys, counts = hashes[heads], np.diff(heads, append=len(hashes))
                 rows = [
                     _row(shard, keys[part], counts[part].astype(np.uint64))
                     for shard, part in arrays.by_shard(keys, bits)
@@ -186,7 +188,7 @@ def _encoded(docs: DataFrame, model: Model) -> DataFrame:
             for block in blocks(batch.column("text"), 1 << 22):
                 data = LOWER_ASCII[block.data]
                 found = find_words(data, block.offsets)
-                keys, back = np.unique(word_hashes(data, found, _SEED), return_inverse=True)
+                keys, _, back = arrays.distinct(word_hashes(data, found, _SEED))
                 ids, counts = np.full(len(keys), UNKNOWN, np.uint32), np.zeros(len(keys))
                 for shard, part in arrays.by_shard(keys, model.bits):
                     at, there = words.places(shard, keys[part])
@@ -236,23 +238,20 @@ def _tokens(batch: pa.RecordBatch) -> Iterator[tuple[slice, np.ndarray, np.ndarr
 
 
 class Triples:
-    """Every token but the first of each text, with the two before it."""
+    """Every token of some texts with the two before it; the first ones stand behind START."""
 
     def __init__(self, ids: np.ndarray, offsets: np.ndarray):
         starts = offsets[:-1]
-        inner = np.ones(len(ids), bool)
-        inner[starts] = False
-        self.at = np.flatnonzero(inner)
-        before = ids[self.at - 1] if len(self.at) else ids[:0]
-        second = np.zeros(len(ids), bool)
-        second[starts[np.diff(offsets) > 1] + 1] = True
-        first = np.where(second[self.at], START, ids[self.at - 2]) if len(self.at) else before
-        self.last = ids[self.at]
-        self.context = arrays.pair_key(first, before)
-        self.suffix = arrays.pair_key(before, self.last)
-        self.key = triple_key(self.context, self.last)
-        #: the first token of each text, behind the start
-        self.openings = arrays.pair_key(np.zeros(len(starts), np.uint32), ids[starts])
+        self.last = ids
+        self.before, self.first = np.empty_like(ids), np.empty_like(ids)
+        self.before[1:], self.first[2:] = ids[:-1], ids[:-2]
+        self.before[starts] = self.first[starts] = START
+        self.first[starts[np.diff(offsets) > 1] + 1] = START
+
+    def pairs(self, by: str) -> np.ndarray:
+        if by == "suffix":
+            return arrays.pair_key(self.before, self.last)
+        return arrays.pair_key(self.first, self.before)
 
 
 def triple_key(context: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -267,7 +266,7 @@ def _distinct(texts: DataFrame, by: str, part: int, bits: int) -> DataFrame:
     """Distinct trigrams of each block of training texts whose ``by`` pair is in a slice.
 
     Rows of ``_PARTIAL``: the trigrams' keys, their pairs, and how often they occur. First
-    tokens count as trigrams where ``by`` is the suffix: their pair begins with START.
+    tokens have no context, but a suffix that begins with START.
     """
     shards = bits - PART_BITS
 
@@ -275,14 +274,21 @@ def _distinct(texts: DataFrame, by: str, part: int, bits: int) -> DataFrame:
         for batch in batches:
             for _, ids, offsets in _tokens(batch):
                 found = Triples(ids, offsets)
-                keys, pairs = found.key, getattr(found, by)
-                if by == "suffix":
-                    keys = np.concatenate([keys, mix(found.openings)])
-                    pairs = np.concatenate([pairs, found.openings])
+                pairs = found.pairs(by)
                 own = _part_of(pairs) == part
-                keys, pairs = keys[own], pairs[own]
-                keys, at, counts = np.unique(keys, return_index=True, return_counts=True)
-                pairs, counts = pairs[at], counts.astype(np.uint32)
+                if by == "context":
+                    own &= found.before != START
+                own = np.flatnonzero(own)
+                pairs, last = pairs[own], found.last[own]
+                context = pairs
+                if by == "suffix":
+                    context = arrays.pair_key(found.first[own], found.before[own])
+                keys = triple_key(context, last)
+                order = np.argsort(keys)
+                keys = keys[order]
+                heads = arrays.heads_of(keys)
+                counts = np.diff(heads, append=len(keys)).astype(np.uint32)
+                keys, pairs = keys[heads], pairs[order[heads]]
                 yield from _batch(
                     [
                         _row(shard, keys[cut], pairs[cut], counts[cut])
@@ -297,10 +303,10 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct trigrams of a shard: (keys, pairs, counts)."""
     keys, pairs = _all(table, "keys"), _all(table, "a")
     counts = _all(table, "b", np.uint32).astype(np.uint64)
-    order = np.argsort(keys, kind="stable")
-    keys, pairs, counts = keys[order], pairs[order], counts[order]
-    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-    return keys[heads], pairs[heads], np.add.reduceat(counts, heads)
+    order = np.argsort(keys)
+    keys = keys[order]
+    heads = arrays.heads_of(keys)
+    return keys[heads], pairs[order[heads]], np.add.reduceat(counts[order], heads)
 
 
 _TALLY = -1  # shard of rows that carry counts of counts
@@ -445,22 +451,24 @@ def _scores(texts: DataFrame, model: Model, part: int, folder: str) -> DataFrame
         for batch in batches:
             for rows, ids, offsets in _tokens(batch):
                 found = Triples(ids, offsets)
-                text = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[found.at]
-                own = np.flatnonzero(_part_of(found.context) == part)
-                keys, at, back = np.unique(found.key[own], return_index=True, return_inverse=True)
+                own = found.pairs("context")
+                at = np.flatnonzero(_part_of(own) == part)
+                own = own[at]
+                keys, some, back = arrays.distinct(triple_key(own, found.last[at]))
                 counts = model.discounts[2].less(triples.counts(keys, bits))
-                pairs, pair = np.unique(found.context[own][at], return_inverse=True)
+                pairs, _, pair = arrays.distinct(own[some])
                 # the slice's bits are the same in all of them
                 inner = pairs << np.uint64(PART_BITS)
                 total, freed = contexts.fields(pairs, inner, bits, "total", "freed")
-                ends, end = np.unique(found.suffix[own][at], return_inverse=True)
+                at_some = at[some]
+                ends = arrays.pair_key(found.before[at_some], found.last[at_some])
+                ends, _, end = arrays.distinct(ends)
                 lower = below.of_pairs(ends)[end]
                 total, freed = total[pair], freed[pair]
+                # first tokens have no context, so what is left is their pair with START
                 p = np.where(total > 0, counts / np.maximum(total, 1) + freed * lower, lower)
-                sums = np.bincount(text[own], np.log10(p)[back], len(offsets) - 1).astype(float)
-                if part == 0:
-                    first, back = np.unique(found.openings, return_inverse=True)
-                    sums += np.log10(below.of_pairs(first))[back]
+                text = np.searchsorted(offsets, at, "right") - 1
+                sums = np.bincount(text, np.log10(p)[back], len(offsets) - 1).astype(float)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("row")[rows],
