@@ -5,14 +5,17 @@ from __future__ import annotations
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from brooklog.llm import (
     decontaminate,
+    hard_negatives,
     jaccard_join,
     kneser_ney,
     licenses,
     line_dedup,
     quality,
+    runs,
     sentencepiece_scan,
     sharding,
     substring_dedup,
@@ -95,6 +98,16 @@ def op11_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kneser_ney.score(_table(spark, sf_dir, "documents"))
 
 
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.report(_table(spark, sf_dir, "documents"), runs.planted)
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _table(spark, sf_dir, "embeddings")
+    return hard_negatives.mine(vectors, moved, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -109,6 +122,8 @@ QUERIES = {
         op9_benchmark_decontamination,
         op10_sentencepiece,
         op11_lm_scoring,
+        op12_periodic_runs,
+        op13_hard_negatives,
     )
 }
 
@@ -119,4 +134,5 @@ ORACLES: dict[str, str] = {
     "op9_benchmark_decontamination": decontaminate.CONTAINED_SQL.format(
         docs="documents", items="benchmark", threshold=decontaminate.THRESHOLD
     ),
+    "op13_hard_negatives": hard_negatives.MINE_SQL,
 }

@@ -174,3 +174,55 @@ def kneser_ney(rows):
         )
         out.append((doc, held, len(own), sum(single[w] > 0 for w in own), total, base, score))
     return out
+
+
+def runs(own: list[bytes]) -> list[tuple[int, int, int]]:
+    """(start, length, period) of all runs, by start and period."""
+    found, n = set(), len(own)
+    for q in range(1, n // 4 + 1):
+        same = [own[i] == own[i + q] for i in range(n - q)]
+        i = 0
+        while i < len(same):
+            j = i
+            while j < len(same) and same[j]:
+                j += 1
+            size = j - i + q
+            if size >= max(6, 4 * q) and not any(
+                (i, size, p) in found or all(own[x] == own[x + p] for x in range(i, i + size - p))
+                for p in range(1, q)
+            ):
+                found.add((i, size, q))
+            i = j + 1
+    return sorted(found, key=lambda r: (r[0], r[2]))
+
+
+def runs_report(doc, text: str | None):
+    own = words(text)
+    n, h = len(own), 1 if doc is None else zlib.crc32(str(doc).encode())
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        own = [w if i < a else own[a + (i - a) % p] for i, w in enumerate(own)]
+    found = runs(own)
+    best = min(found, key=lambda r: (-r[1], r[0], r[2]), default=(None,) * 3)
+    gone = {i for s, size, q in found for i in range(s + q, s + size)}
+    told = "".join(f"{s},{size},{q}\n" for s, size, q in found)
+    left = b" ".join(w for i, w in enumerate(own) if i not in gone)
+    milli = math.floor(1000 * best[1] / best[2]) if found else None
+    digests = [hashlib.sha256(x).hexdigest() for x in (told.encode(), left)]
+    return (doc, len(found), *best, milli, *digests)
+
+
+def hard_negatives(rows, is_anchor):
+    whole = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in rows]
+    out = []
+    for a, anchor, label in whole:
+        if not is_anchor(a):
+            continue
+        scored = [(-sum(x * y for x, y in zip(anchor, v)), i, other) for i, v, other in whole if i != a]
+        for p, positive, _ in sorted(r for r in scored if r[2] == label)[:5]:
+            fits = [r for r in scored if r[2] != label and 30 * -p <= 100 * -r[0] <= 90 * -p]
+            for rank, (s, negative, _) in enumerate(sorted(fits)[:10], 1):
+                out.append((a, positive, rank, negative, -p, -s))
+    return sorted(out)

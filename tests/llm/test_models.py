@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import os
+import random
 
 import brute
+import numpy as np
 import pytest
+from oracle import difference, duck
+from pyspark.sql import functions as F
 from test_dedup import passages
 
-from brooklog.llm import kneser_ney, queries
+from brooklog.llm import hard_negatives, kneser_ney, queries, runs
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -41,3 +45,101 @@ def test_scores_of_odd_rows(spark, odd, none):
     # nothing to learn from: doc 3 is held out
     alone = spark.createDataFrame([(3, "a b")], "doc_id long, text string")
     assert [tuple(r) for r in kneser_ney.score(alone).collect()] == [(3, True, 3, 0, 0, 0.0, 0.0)]
+
+
+def periodic(seed: int, documents: int):
+    """Texts of few or many words with periodic stretches, some of them twice."""
+    rng = random.Random(seed)
+    rows = []
+    for d in range(documents):
+        kinds = rng.choice([1, 2, 3, 20, 500])
+        own = [f"w{rng.randrange(kinds)}" for _ in range(rng.randint(0, 160))]
+        if own and rng.random() < 0.7:
+            a = rng.randrange(len(own))
+            p = rng.randint(1, max(1, (len(own) - a) // 4))
+            own = [w if i < a else own[a + (i - a) % p] for i, w in enumerate(own)]
+            if rng.random() < 0.5:
+                own += [f"w{rng.randrange(kinds)}" for _ in range(rng.randint(0, 30))] + own[-60:]
+        rows.append((d, " ".join(own)))
+    return rows
+
+
+def test_runs_are_all_found(spark):
+    rows = periodic(3, 300)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = {(r.doc_id, r.start, r.length, r.period) for r in runs.find(df).collect()}
+    assert got == {(d, *r) for d, t in rows for r in brute.runs(brute.words(t))}
+    # the automaton finds them without the search for stretches, too
+    for d, text in rows[:60]:
+        own = np.array([hash(w) & (2**60 - 1) for w in text.split()], np.uint64)
+        assert runs.runs_in(own, 0, len(own)) == set(brute.runs(brute.words(text))) if text else True
+
+
+def test_long_runs(spark):
+    text = " ".join(["a b c"] * 40_000 + [f"x{i % 700}" for i in range(2_900)])
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert [tuple(r) for r in runs.find(df).collect()] == [(1, 0, 120_000, 3), (1, 120_000, 2_900, 700)]
+
+
+def test_runs_of_the_table(spark):
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text")
+    got = queries.QUERIES["op12_periodic_runs"](spark, SF_DIR).collect()
+    want = [brute.runs_report(r.doc_id, r.text) for r in documents.collect()]
+    assert sorted(map(tuple, got)) == sorted(want)
+    assert any(r.n_runs for r in got)
+
+
+def test_runs_of_odd_rows(spark, odd, none):
+    got = [tuple(r) for r in runs.report(odd, runs.planted).collect()]
+    want = [brute.runs_report(r.doc_id, r.text) for r in odd.collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr)
+    assert runs.report(none).collect() == [] and runs.find(none).collect() == []
+
+
+def test_hard_negatives_agree_with_sql(spark):
+    got = queries.QUERIES["op13_hard_negatives"](spark, SF_DIR)
+    assert difference(got, duck(SF_DIR), hard_negatives.MINE_SQL) is None
+
+
+@pytest.mark.parametrize("scale, anchors, at_once", [(1, 4096, 256), (1, 7, 2), (40_000, 4096, 3)])
+def test_hard_negatives_against_brute_force(spark, monkeypatch, scale, anchors, at_once):
+    monkeypatch.setattr(hard_negatives, "ANCHORS", anchors)
+    monkeypatch.setattr(hard_negatives, "AT_ONCE", at_once)
+    rng = random.Random(8)
+    # few values, so that scores tie; half of all rows have one vector and one label
+    rows = [
+        (i, [scale * rng.choice([-0.5, 0.25, 0.26, 1.0]) for _ in range(6)], rng.randrange(3))
+        for i in range(150)
+    ] + [(1000 + i, [scale * 0.5] * 6, 1) for i in range(150)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    got = hard_negatives.mine(df, anchors=F.col("vec_id") % 10 == 0).collect()
+    assert sorted(map(tuple, got)) == brute.hard_negatives(
+        [(i, v, x) for i, v, x in df.collect()], lambda i: i % 10 == 0
+    )
+
+
+def test_hard_negatives_of_odd_rows(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [
+        (0, [1.0, 2.0], 1),
+        (1, [1.0, None], 1),
+        (2, [1.0, nan], 1),
+        (3, [1.0, -inf], 2),
+        (4, None, 1),
+        (5, [1.0, 2.0], None),
+        (None, [1.0, 2.0], 1),
+        (6, [], 2),
+        (7, [0.5], 2),
+        (8, [1.0, 2.0, 9.0], 1),
+        (9, [1.0, 1.0], 2),
+        (9, [1.0, 1.0], 2),
+        (10, [3e38, 1.0], 2),
+        (0, [1.0, 2.0], 1),
+    ]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    df = df.withColumns({c: F.lit(1) for c in ("id", "n", "number", "parts", "sound", "list", "rank")})
+    got = hard_negatives.mine(df, anchors=F.col("vec_id") == 0).collect()
+    # 0 and 8 score 327680; of label 2 row 9 is in the window, twice, for either row 0
+    one = [(0, 8, 1, 9, 327680, 196608), (0, 8, 2, 9, 327680, 196608)]
+    assert sorted(map(tuple, got)) == sorted(one * 2)
+    assert hard_negatives.mine(df.limit(0)).collect() == []
