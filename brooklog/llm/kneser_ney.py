@@ -138,19 +138,24 @@ def _bits(docs: DataFrame) -> int:
 def _vocabulary(docs: DataFrame, folder: str, bits: int) -> Model:
     """Count the words of the training texts."""
 
+    def counted(hashes: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        words = np.sort(np.concatenate(hashes))
+        heads = arrays.heads_of(words)
+        keys, counts = words[heads], np.diff(heads, append=len(words)).astype(np.uint64)
+        rows = [_row(shard, keys[cut], counts[cut]) for shard, cut in arrays.by_shard(keys, bits)]
+        yield from _batch(rows).to_batches()
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, total = [np.zeros(0, np.uint64)], 0
         for batch in batches:
-            for block in blocks(batch.column("text"), 1 << 23):
+            for block in blocks(batch.column("text")):
                 data = LOWER_ASCII[block.data]
-                hashes = word_hashes(data, find_words(data, block.offsets), _SEED)
-                hashes = np.sort(hashes)
-                heads = arrays.heads_of(hashes)
-                keys, counts = hashes[heads], np.diff(heads, append=len(hashes))
-                rows = [
-                    _row(shard, keys[part], counts[part].astype(np.uint64))
-                    for shard, part in arrays.by_shard(keys, bits)
-                ]
-                yield from _batch(rows).to_batches()
+                held.append(word_hashes(data, find_words(data, block.offsets), _SEED))
+                total += len(held[-1])
+                if total >= 2 * TOKENS:
+                    yield from counted(held)
+                    held, total = held[:1], 0
+        yield from counted(held)
 
     def merge(table: pa.Table) -> pa.Table:
         shard = table.column("shard")[0].as_py()
@@ -185,7 +190,7 @@ def _encoded(docs: DataFrame, model: Model) -> DataFrame:
         words = arrays.Maps(model.at("words"))
         whole = model.tokens + 0.5 * (model.kinds + 1)
         for batch in batches:
-            for block in blocks(batch.column("text"), 1 << 22):
+            for block in blocks(batch.column("text"), 1 << 21):
                 data = LOWER_ASCII[block.data]
                 found = find_words(data, block.offsets)
                 keys, _, back = arrays.distinct(word_hashes(data, found, _SEED))
