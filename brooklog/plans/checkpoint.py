@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from brooklog import schemas
 from brooklog.schemas import TOPIC_PARTITION
-from brooklog.scratch import delete_folder, has_data, numbered_folders, read_if_there
+from brooklog.scratch import create_once, delete_folder, file_names, read_if_there, read_text
 
 RANGE_COLUMNS = [*TOPIC_PARTITION, "from_offset", "until_offset"]
 
@@ -95,34 +98,50 @@ def delta_of(records: DataFrame) -> DataFrame:
     )
 
 
+class ConflictingCommit(RuntimeError):
+    """Another driver has committed this cycle; plan again from what it committed."""
+
+
 class Ledger:
-    """Committed checkpoints of one pipeline, one folder per cycle.
+    """Committed checkpoints of one pipeline.
 
-    Every cycle stores the whole checkpoint (a row per topic partition), so
-    loading reads the newest folder only. Committing a cycle again replaces it.
+    A commit writes the whole checkpoint (a row per topic partition) to a folder of its own
+    and then puts the cycle's marker in place, which names that folder and, where the sink
+    reports it, the output. A marker is created once: of two drivers that run the same
+    cycle one commits, and the other gets an error and plans again. So a cycle counts as
+    committed, with its output, from one moment on.
     """
 
     def __init__(self, spark: SparkSession, path: str, pipeline: str):
         self.spark = spark
-        self.path = path.rstrip("/")
+        self.path = f"{path.rstrip('/')}/pipeline={pipeline}"
         self.pipeline = pipeline
 
+    def _marker(self, cycle_id: int) -> dict:
+        text = read_text(self.spark, f"{self.path}/commits/{cycle_id}")
+        return json.loads(text) if text else {}
+
+    def cycles(self, up_to: int | None = None) -> list[int]:
+        """Numbers of the committed cycles, newest first."""
+        names = file_names(self.spark, f"{self.path}/commits")
+        found = sorted((int(n) for n in names if n.isdigit()), reverse=True)
+        return [c for c in found if up_to is None or c <= up_to]
+
     def rows(self) -> DataFrame:
-        rows = read_if_there(self.spark, self.path, schemas.LEDGER)
-        return rows.where(F.col("pipeline") == self.pipeline)
+        """The checkpoints of all cycles that are not forgotten."""
+        paths = [f"{self.path}/attempts/{self._marker(c)['attempt']}" for c in self.cycles()]
+        if not paths:
+            return read_if_there(self.spark, f"{self.path}/none", schemas.LEDGER)
+        return self.spark.read.schema(schemas.LEDGER).parquet(*paths)
 
-    @property
-    def _cycles(self) -> str:
-        return f"{self.path}/pipeline={self.pipeline}"
+    def outputs(self, up_to: int | None = None) -> dict[int, str]:
+        """What each committed cycle wrote, as its sink named it."""
+        found = {cycle: self._marker(cycle).get("output") for cycle in self.cycles(up_to)}
+        return {cycle: output for cycle, output in found.items() if output}
 
     def last_cycle(self, up_to: int | None = None) -> int:
         """The newest committed cycle (up to ``up_to``), 0 if there is none."""
-        for cycle in numbered_folders(self.spark, self._cycles, "cycle_id="):
-            if up_to is not None and cycle > up_to:
-                continue
-            if has_data(self.spark, f"{self._cycles}/cycle_id={cycle}"):
-                return cycle
-        return 0
+        return next(iter(self.cycles(up_to)), 0)
 
     def load(self, cycle_id: int | None = None) -> DataFrame:
         """The checkpoint after ``cycle_id`` (default: the newest cycle).
@@ -130,22 +149,43 @@ class Ledger:
         A cycle that committed nothing leaves the checkpoint of the one before it.
         """
         last = self.last_cycle(cycle_id)
-        return read_if_there(
-            self.spark, f"{self._cycles}/cycle_id={last}", schemas.RANGES
-        ).select(*RANGE_COLUMNS)
-
-    def commit(self, cycle_id: int, checkpoint: DataFrame) -> None:
-        """Store a checkpoint. An empty one is not stored."""
-        rows = checkpoint.select(*RANGE_COLUMNS).withColumn("committed_at", F.current_timestamp())
-        if checkpoint.isEmpty():
+        if not last:
+            return read_if_there(self.spark, f"{self.path}/none", schemas.RANGES)
+        path = f"{self.path}/attempts/{self._marker(last)['attempt']}"
+        return self.spark.read.schema(schemas.LEDGER).parquet(path).select(*RANGE_COLUMNS)
+
+    def commit(self, cycle_id: int, checkpoint: DataFrame, output: str | None = None) -> None:
+        """Store a checkpoint; an empty one without output is not stored.
+
+        Committing a cycle again is accepted if the checkpoint is the same, as it is when
+        a batch is repeated, and else raises ``ConflictingCommit``.
+        """
+        attempt = uuid.uuid4().hex
+        path = f"{self.path}/attempts/{attempt}"
+        # one row per topic partition
+        checkpoint.select(
+            F.lit(self.pipeline).alias("pipeline"),
+            F.lit(cycle_id).cast("bigint").alias("cycle_id"),
+            *RANGE_COLUMNS,
+            F.current_timestamp().alias("committed_at"),
+        ).coalesce(1).write.parquet(path)
+        stored = self.spark.read.schema(schemas.LEDGER).parquet(path).select(*RANGE_COLUMNS)
+        if output is None and stored.isEmpty():
+            delete_folder(self.spark, path)
+            return
+        marker = json.dumps({"attempt": attempt, "output": output})
+        if create_once(self.spark, f"{self.path}/commits/{cycle_id}", marker):
             return
-        target = f"{self._cycles}/cycle_id={cycle_id}"
-        # one row per topic partition; one file, so that it appears at once
-        rows.coalesce(1).write.mode("overwrite").parquet(target)
+        there = self.load(cycle_id)
+        same = sorted(map(tuple, stored.collect())) == sorted(map(tuple, there.collect()))
+        delete_folder(self.spark, path)
+        if output is not None or not same:
+            raise ConflictingCommit(f"cycle {cycle_id} of {self.pipeline} is committed already")
 
     def expire(self, keep: int = 1000) -> None:
         """Forget all but the newest cycles; the newest alone holds the checkpoint."""
         last = self.last_cycle()
-        for cycle in numbered_folders(self.spark, self._cycles, "cycle_id="):
-            if cycle <= last - max(1, keep):
-                delete_folder(self.spark, f"{self._cycles}/cycle_id={cycle}")
+        for cycle in self.cycles(last - max(1, keep)):
+            attempt = self._marker(cycle).get("attempt")
+            delete_folder(self.spark, f"{self.path}/commits/{cycle}")
+            delete_folder(self.spark, f"{self.path}/attempts/{attempt}")

@@ -9,6 +9,10 @@ LOG = (
     "key STRING, value STRING"
 )
 CATALOG = "topic STRING, partition INT, earliest BIGINT, latest BIGINT"
+CHANGES = (
+    "change STRING, batch BIGINT, topic STRING, partition INT, file STRING, "
+    "earliest BIGINT, latest BIGINT"
+)
 RANGES = "topic STRING, partition INT, from_offset BIGINT, until_offset BIGINT"
 TAGGED = (
     "topic STRING, partition INT, offset BIGINT, time_partition STRING, message STRING"

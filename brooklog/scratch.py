@@ -7,6 +7,7 @@ inputs, so that it broadcasts them only when they fit its own threshold.
 
 from __future__ import annotations
 
+import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,3 +76,46 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def delete_folder(spark: SparkSession, path: str) -> None:
     files, target = _hadoop(spark, path)
     files.delete(target, True)
+
+
+def file_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names of what is in a folder, none if it is not there."""
+    files, target = _hadoop(spark, folder)
+    if not files.exists(target):
+        return []
+    return sorted(entry.getPath().getName() for entry in files.listStatus(target))
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a small file in place if there is none yet: of several callers one gets True.
+
+    The file appears whole, by a link on local disks and elsewhere by a rename, which
+    fails in HDFS where the name is taken. Stores that rename over other files can't fence.
+    """
+    files, target = _hadoop(spark, path)
+    _, draft = _hadoop(spark, f"{path}.{uuid.uuid4().hex}.draft")
+    files.mkdirs(target.getParent())
+    out = files.create(draft, False)
+    out.write(bytearray(text.encode()))
+    out.close()
+    try:
+        if files.getScheme() != "file":
+            return files.rename(draft, target)
+        os.link(draft.toUri().getPath(), target.toUri().getPath())
+        return True
+    except FileExistsError:
+        return False
+    finally:
+        files.delete(draft, False)
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """The content of a small file, None if it is not there."""
+    files, target = _hadoop(spark, path)
+    if not files.exists(target):
+        return None
+    source = files.open(target)
+    try:
+        return bytes(source.readAllBytes()).decode()
+    finally:
+        source.close()

@@ -14,42 +14,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from brooklog import schemas
+from brooklog.observe import EventTables
 from brooklog.plans.checkpoint import Ledger, merge_checkpoint
+from brooklog.scratch import write_out
+from brooklog.sources.log_stream import catalog_reader, local_uri, report_gaps
 from brooklog.sources.log_table import LogTable
 
 
 def offset_ranges_source(name: str = "offset_ranges") -> type[DataSource]:
     """The source class, made here so that workers need not import this package.
 
-    Options: ``catalog``, a parquet folder of (topic, partition, earliest,
-    latest) rows, and ``maxRecordsPerPartition`` (default 1000, at least 1).
+    Options: ``root`` of a log, and ``maxRecordsPerPartition`` (default 1000, at least 1).
     """
-    layout = schemas.RANGES
+    layout, read_catalog = schemas.RANGES, catalog_reader()
 
     class RangeReader(SimpleDataSourceStreamReader):
         # An offset maps "partition:topic" to the exclusive end reached there
         # ("until") and to where reading of it once began ("first").
 
         def __init__(self, options):
-            self.catalog = options["catalog"]
+            self.root = options["root"]
             self.cap = max(1, int(options.get("maxRecordsPerPartition", "1000")))
+            self.state = None
 
         def initialOffset(self):
             return {}
 
         def read(self, start):
-            import pyarrow.dataset as ds
-
-            listed = ds.dataset(
-                self.catalog, format="parquet", partitioning="hive", exclude_invalid_files=True
-            ).to_table(columns=["topic", "partition", "earliest", "latest"])
-            spans: dict[str, tuple[int, int]] = {}
-            for row in listed.to_pylist():
-                key = f"{row['partition']}:{row['topic']}"
-                low, high = spans.get(key, (row["earliest"], row["latest"]))
-                spans[key] = (min(low, row["earliest"]), max(high, row["latest"]))
+            self.state = read_catalog(self.root, self.state)
             end = dict(start)
-            for key, (earliest, latest) in spans.items():
+            for (topic, partition), (earliest, latest) in self.state[2].items():
+                key = f"{partition}:{topic}"
                 at = start.get(key, {"first": earliest, "until": earliest})
                 until = min(at["until"] + self.cap, latest)
                 if until > at["until"]:
@@ -87,7 +82,7 @@ def stream_ranges(spark: SparkSession, log: LogTable, max_records: int = 1000) -
     spark.dataSource.register(offset_ranges_source())
     return (
         spark.readStream.format("offset_ranges")
-        .option("catalog", log.catalog_path)
+        .option("root", local_uri(log.root))
         .option("maxRecordsPerPartition", str(max_records))
         .load()
     )
@@ -97,14 +92,21 @@ def capped_batches(
     log: LogTable,
     write_batch: Callable[[DataFrame, int], object],
     ledger: Ledger | None = None,
+    events: EventTables | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Batch function for a stream of ranges: scan their records and write them.
 
     With a ledger the planned ranges are then committed; the batch id is the
-    cycle id less one, so a repeated batch replaces its own commit.
+    cycle id less one, so a repeated batch finds its own commit. With ``events``,
+    offsets that the log has lost since they were planned are noted there as errors.
     """
 
     def scan_and_write(ranges: DataFrame, batch_id: int) -> None:
+        # a row per topic partition, which the steps below share
+        ranges = write_out(ranges, "ranges")
+        if events is not None:
+            report_gaps(log, ranges, events, batch_id)
+            events.flush()
         write_batch(log.scan(ranges), batch_id)
         if ledger is not None:
             merged = merge_checkpoint(ledger.load(batch_id), ranges)
