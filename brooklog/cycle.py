@@ -35,6 +35,7 @@ from brooklog.plans import ranges as plans
 from brooklog.plans.checkpoint import Ledger, disconnected, merge_checkpoint
 from brooklog.schemas import TOPIC_PARTITION
 from brooklog.scratch import write_out
+from brooklog.sinks.segments import Written
 from brooklog.sources.log_table import select_topics
 
 
@@ -44,7 +45,7 @@ class Source(Protocol):
     def scan(self, ranges: DataFrame) -> DataFrame: ...
 
 
-Sink = Callable[[DataFrame, int], DataFrame | None]
+Sink = Callable[[DataFrame, int], DataFrame | Written | None]
 
 
 @dataclass
@@ -60,7 +61,8 @@ class LogCycle:
     """One pipeline: a source, an optional transform, a sink and a ledger.
 
     ``sink(records, cycle_id)`` must write a cycle before it returns, and may
-    return the offset ranges it really wrote; then only those are committed.
+    return the offset ranges it really wrote; then only those are committed. It may also name
+    its output (``Written``), which the ledger then commits together with the offsets.
     """
 
     def __init__(
@@ -169,9 +171,13 @@ class LogCycle:
 
         self._module = WRITER
         begin = time.monotonic()
-        partial = self.sink(out, cycle_id)
+        result = self.sink(out, cycle_id)
         spent = int((time.monotonic() - begin) * 1000)
-        self._report(cycle_id, observed(read), observed(written), partial, spent)
+        output, partial = None, result
+        if isinstance(result, Written):
+            output, partial = result.output, result.delta
+        seen = observed(self.spark, read, written)
+        self._report(cycle_id, *seen, partial, spent)
         self.events.status(cycle_id, WRITER, "records are written")
 
         self._module = CHECKPOINT
@@ -180,7 +186,7 @@ class LogCycle:
             loose = disconnected(checkpoint, delta).first()
             if loose is not None:
                 raise ValueError(f"written ranges leave a gap or overlap: {loose}")
-        self.ledger.commit(cycle_id, merge_checkpoint(checkpoint, delta))
+        self.ledger.commit(cycle_id, merge_checkpoint(checkpoint, delta), output)
         self.events.status(cycle_id, CHECKPOINT, "offsets are committed")
         outcome.committed = True
 
@@ -229,11 +235,20 @@ class LogCycle:
         return outcomes
 
 
-def observed(observation: Observation, patience_s: float = 5.0) -> dict:
-    """What was observed, or nothing if no action has run on the observed frame.
+def observed(spark: SparkSession, *observations: Observation) -> list[dict]:
+    """What was observed, or nothing where no action has run on the observed frame.
 
-    Spark tells when an action ends, shortly after it does, and never otherwise.
+    Spark tells in order, some time after an action: when a later action has been told of,
+    all before it have. So nothing is missed however late that is.
     """
+    last = Observation()
+    spark.range(1).observe(last, F.count(F.lit(1)).alias("n")).collect()
+    _ = last.get
+    return [_told(observation) for observation in observations]
+
+
+def _told(observation: Observation, patience_s: float = 1.0) -> dict:
+    """What has been told of an observation; asking for one that was not would never end."""
     found: list[dict] = []
     waiting = threading.Thread(target=lambda: found.append(observation.get), daemon=True)
     waiting.start()

@@ -14,6 +14,7 @@ from brooklog.plans import ranges as plans
 from brooklog.schemas import TAGGED
 from brooklog.scratch import fresh_path, write_out
 from brooklog.sinks.files import BatchFolders
+from brooklog.sinks.segments import SegmentSink
 from brooklog.sources import log_table as logs
 from brooklog.sources.text import replay
 from brooklog.workloads.tables import (
@@ -30,6 +31,7 @@ from brooklog.workloads.tables import (
     mixed_checkpoint,
     quarter_cap,
     table,
+    trimmed_log,
 )
 
 SUMMED = "topic STRING, partition INT, offset BIGINT, value STRING"
@@ -101,19 +103,33 @@ def planned_count(spark, sf_dir):
 
 
 def gap_report(spark, sf_dir):
-    catalog = catalog_of(spark, sf_dir)
-    kept = (
-        log_records(spark, sf_dir)
-        .join(catalog.select("topic", "partition", "latest"), ["topic", "partition"])
-        .where("offset >= latest div 8")
-    )
+    """What a checkpoint misses of a log that was trimmed behind it."""
+    catalog = write_out(trimmed_log(spark, sf_dir).catalog(), "catalog")
     behind = mixed_checkpoint(catalog).withColumn(
         "until_offset",
         F.when(F.col("partition") == 2, F.expr("until_offset div 7")).otherwise(
             F.col("until_offset")
         ),
     )
-    return plans.find_gaps(logs.partition_catalog(kept), behind)
+    return plans.find_gaps(catalog, behind)
+
+
+def trimmed_scan(spark, sf_dir):
+    """All that a trimmed and compacted log still has."""
+    log = trimmed_log(spark, sf_dir)
+    return partition_summary(log.scan(plans.plan_backfill(log.catalog())))
+
+
+def lagging_scan(spark, sf_dir):
+    """One partition from its beginning, the others from their last tenth on."""
+    log = log_table(spark, sf_dir)
+    lags = (F.col("topic") == "topic_click") & (F.col("partition") == 0)
+    ranges = log.catalog().select(
+        "topic", "partition",
+        F.when(lags, F.lit(0)).otherwise(F.expr("latest - latest div 10")).cast("bigint").alias("from_offset"),
+        F.col("latest").alias("until_offset"),
+    )
+    return partition_summary(log.scan(ranges))
 
 
 def backfill_plan(spark, sf_dir):
@@ -312,6 +328,107 @@ def redelivery(spark, sf_dir):
     return partition_summary(sink.read(spark, SUMMED))
 
 
+# --- cycles that report what they wrote -----------------------------------------
+
+
+class FailsIn:
+    """A sink that writes and then fails, in the first attempt of one cycle."""
+
+    def __init__(self, sink, cycle_id):
+        self.sink, self.cycle_id, self.failed = sink, cycle_id, False
+
+    def __call__(self, records, cycle_id):
+        written = self.sink(records, cycle_id)
+        if cycle_id == self.cycle_id and not self.failed:
+            self.failed = True
+            raise RuntimeError("the connection broke after the write")
+        return written
+
+
+_reported: dict[tuple[str, str], tuple] = {}
+
+
+def reported_cycle(spark, sf_dir):
+    """The log moved in three capped cycles, the second of which fails once after its write.
+
+    Returns the cycle, its sink, and what could be read right after the failure.
+    """
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _reported:
+        log = log_table(spark, sf_dir)
+        home = fresh_path(spark, "cycle")
+        sink = SegmentSink(f"{home}/out")
+        cap = (log.catalog().agg(F.max("latest")).first()[0] or 0) // 3 + 1
+        cycle = LogCycle(
+            spark, "reported", log, FailsIn(sink, 2), home, max_records=cap, flush_interval_ms=0
+        )
+        outcomes = [cycle.run_once(), cycle.run_once()]
+        between = sink.read(spark, cycle.ledger, SUMMED)
+        between = write_out(partition_summary(between), "between")
+        if outcomes[0].committed and outcomes[1].failed_at != "Writer":
+            raise RuntimeError("the second cycle should fail in its sink")
+        failed = [o for o in cycle.drain() if o.failed_at]
+        if failed:
+            message = cycle.events.status_table().where("status = 'ERROR'").first().message
+            raise RuntimeError(f"cycle failed: {message}")
+        _reported[at] = (cycle, sink, between)
+    return _reported[at]
+
+
+def snapshot_after_failure(spark, sf_dir):
+    """Committed records after the second cycle failed behind its write, and at the end."""
+    cycle, sink, between = reported_cycle(spark, sf_dir)
+    end = partition_summary(sink.read(spark, cycle.ledger, SUMMED))
+    return between.withColumn("moment", F.lit("failed")).unionByName(
+        end.withColumn("moment", F.lit("end"))
+    )
+
+
+def write_times(spark, sf_dir):
+    """What the tasks told of each topic partition, and whether they told a time for it."""
+    cycle, sink, _ = reported_cycle(spark, sf_dir)
+    return sink.writes(spark, cycle.ledger).groupBy("cycle_id", "topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"),
+        F.max("until_offset").alias("until_offset"),
+        F.sum("records").alias("records"),
+        F.sum("bytes").alias("bytes"),
+        (F.min("nanos") > 0).alias("timed"),
+    )
+
+
+def cycle_partial_sink(spark, sf_dir):
+    """A sink that takes no error records: their offsets stay uncommitted, run after run."""
+    log = log_table(spark, sf_dir)
+    home = fresh_path(spark, "cycle")
+    sink = SegmentSink(f"{home}/out", accepts=F.col("topic") != "topic_error", partial=True)
+    cycle = LogCycle(
+        spark, "partial", log, sink, home,
+        max_records=log.catalog().agg(F.max("latest")).first()[0] or 1, flush_interval_ms=0,
+    )
+    for _ in range(2):
+        cycle.run_once()
+    return cycle.ledger.load()
+
+
+def fenced_commit(spark, sf_dir):
+    """Two drivers commit the same cycle: the slower is refused and plans the next one."""
+    catalog = catalog_of(spark, sf_dir)
+    home = fresh_path(spark, "ledger")
+    first, second = (cp.Ledger(spark, home, "shared") for _ in range(2))
+    seen = second.load()  # nothing yet, as for the first
+    empty = catalog.selectExpr("topic", "partition", "0L AS from_offset", "latest div 4 AS until_offset")
+    first.commit(1, empty)
+    half = catalog.selectExpr("topic", "partition", "0L AS from_offset", "latest div 2 AS until_offset")
+    try:
+        second.commit(1, cp.merge_checkpoint(seen, half))
+        refused = catalog.isEmpty()
+    except cp.ConflictingCommit:
+        refused = True
+    rest = catalog.selectExpr("topic", "partition", "latest div 4 AS from_offset", "latest AS until_offset")
+    second.commit(2, cp.merge_checkpoint(second.load(), rest))
+    return first.rows().select("cycle_id", *cp.RANGE_COLUMNS, F.lit(refused).alias("refused"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -324,6 +441,12 @@ QUERIES = {
         scan_ranges,
         planned_count,
         gap_report,
+        trimmed_scan,
+        lagging_scan,
+        snapshot_after_failure,
+        write_times,
+        cycle_partial_sink,
+        fenced_commit,
         backfill_plan,
         backfill_scan,
         merge_checkpoint,
@@ -395,6 +518,33 @@ SELECT k.topic, k."partition", b.until_offset AS missing_from, k.earliest AS mis
        k.earliest - b.until_offset AS missing_count
 FROM kept k JOIN behind b ON b.topic = k.topic AND b."partition" = k."partition"
 WHERE b.until_offset < k.earliest""",
+    "trimmed_scan": f"""WITH {CATALOG_SQL}
+SELECT l.topic, l."partition", {_SUMMARY}
+FROM log l JOIN catalog c ON c.topic = l.topic AND c."partition" = l."partition"
+WHERE l."offset" >= c.latest // 8 GROUP BY l.topic, l."partition" """,
+    "lagging_scan": f"""WITH {CATALOG_SQL}
+SELECT l.topic, l."partition", {_SUMMARY}
+FROM log l JOIN catalog c ON c.topic = l.topic AND c."partition" = l."partition"
+WHERE l."offset" >= c.latest - c.latest // 10 OR (l.topic = 'topic_click' AND l."partition" = 0)
+GROUP BY l.topic, l."partition" """,
+    "snapshot_after_failure": f"""WITH {CATALOG_SQL},
+cap AS (SELECT max(latest) // 3 + 1 AS n FROM catalog)
+SELECT topic, "partition", {_SUMMARY}, 'failed' AS moment
+FROM log, cap WHERE "offset" < n GROUP BY topic, "partition"
+UNION ALL SELECT topic, "partition", {_SUMMARY}, 'end' FROM log GROUP BY topic, "partition" """,
+    "write_times": f"""WITH {CATALOG_SQL},
+cap AS (SELECT max(latest) // 3 + 1 AS n FROM catalog)
+SELECT "offset" // n + 1 AS cycle_id, topic, "partition", min("offset") AS from_offset,
+       max("offset") + 1 AS until_offset, count(*) AS records,
+       CAST(sum(strlen(value)) AS BIGINT) AS bytes, true AS timed
+FROM log, cap GROUP BY ALL""",
+    "cycle_partial_sink": f"""WITH {CATALOG_SQL}
+SELECT topic, "partition", CAST(0 AS BIGINT) AS from_offset, latest AS until_offset
+FROM catalog WHERE topic <> 'topic_error'""",
+    "fenced_commit": f"""WITH {CATALOG_SQL}
+SELECT CAST(1 AS BIGINT) AS cycle_id, topic, "partition", CAST(0 AS BIGINT) AS from_offset,
+       latest // 4 AS until_offset, true AS refused FROM catalog
+UNION ALL SELECT 2, topic, "partition", 0, latest, true FROM catalog""",
     "backfill_plan": f"""WITH {MIXED_SQL}
 SELECT topic, "partition", "start" AS from_offset, latest AS until_offset
 FROM starts WHERE topic = 'topic_click'""",

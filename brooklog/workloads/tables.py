@@ -6,11 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklog.scratch import fresh_path, write_out
+from brooklog.sources.log_stream import stream_records
 from brooklog.sources.log_table import LogTable
 
 PARTITIONS = 5
-# files of the log that a stream takes at once, so that it runs in several batches
-FILES_PER_BATCH = 8
 _logs: dict[tuple[str, str], LogTable] = {}
 
 
@@ -54,10 +53,33 @@ def log_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log's records as a stream, in batches of half of the longest partition at most."""
     log = log_table(spark, sf_dir)
-    layout = spark.read.parquet(log.records_path).schema
-    reader = spark.readStream.schema(layout).option("maxFilesPerTrigger", FILES_PER_BATCH)
-    return reader.parquet(log.records_path).drop("batch")
+    return stream_records(spark, log, half_cap(log))
+
+
+def half_cap(log: LogTable) -> int:
+    longest = log.catalog().agg(F.expr("max(latest - earliest)")).first()[0]
+    return (longest or 0) // 2 + 1
+
+
+_trimmed: dict[tuple[str, str], LogTable] = {}
+
+
+def trimmed_log(spark: SparkSession, sf_dir: str) -> LogTable:
+    """The log published in three parts, trimmed by an eighth, its files joined."""
+    at = (spark.sparkContext.applicationId, sf_dir)
+    if at not in _trimmed:
+        log = LogTable(spark, fresh_path(spark, "log"))
+        records = event_records(spark, sf_dir)
+        # records without a time are in the last part
+        day = F.coalesce(F.dayofmonth("timestamp"), F.lit(31))
+        for part in (day <= 10, (day > 10) & (day <= 20), day > 20):
+            log.publish(records.where(part), ["timestamp", "event_id"])
+        log.trim(log.catalog().selectExpr("topic", "partition", "latest div 8 AS earliest"))
+        log.compact()
+        _trimmed[at] = log
+    return _trimmed[at]
 
 
 def catalog_of(spark: SparkSession, sf_dir: str) -> DataFrame:
