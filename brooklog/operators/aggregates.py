@@ -115,6 +115,26 @@ def session_windows(
     return sessions_from_cells(cells, gap, list(sums), keys)
 
 
+def closed_sessions(
+    stream: DataFrame, ts: str, gap: str, sums: dict[str, Column], keys: Sequence[str]
+) -> DataFrame:
+    """Sessions of a watermarked stream, each given out once, when no row can reach it any more.
+
+    Runs in append mode. A key's open sessions are its state, merged as rows come; a closed one
+    leaves it. Rows of one key and batch are joined up where they are before they are moved,
+    if ``spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition`` is set.
+    """
+    # Spark joins windows that touch, so rows exactly one gap apart are together
+    window = F.session_window(ts, gap).alias("_session")
+    found = stream.groupBy(*keys, window).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    return found.select(
+        *keys,
+        F.col("_session.start").alias("session_start"),
+        F.col("_session.end").alias("session_end"),
+        *sums,
+    )
+
+
 def accumulated(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """State over all input so far; in a stream, one changing row per key."""
     return df.groupBy(*keys).agg(*aggs)

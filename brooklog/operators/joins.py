@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -49,3 +49,40 @@ def interval_join(
     for name in [*keys, "_bucket"]:
         condition = condition & (F.col(name) == F.col(f"_r_{name}"))
     return a.join(b, condition).drop("_bucket", *[f"_r_{k}" for k in [*keys, "_bucket"]])
+
+
+def busy_keys(counts: DataFrame, keys: Sequence[str], rows: str, most: int) -> DataFrame:
+    """(keys, salts): keys of over ``most`` rows, and into how many parts to spread each."""
+    return counts.where(F.col(rows) > most).select(
+        *keys, F.ceil(F.col(rows) / most).cast("int").alias("salts")
+    )
+
+
+def salted_interval_join(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    within: str,
+    busy: DataFrame,
+    part_by: Column,
+) -> DataFrame:
+    """``interval_join`` whose left rows of busy keys are spread over several state partitions.
+
+    A streaming join keeps all rows of a key and bucket in one partition's state, which
+    adaptive execution does not split. ``busy`` has (keys, salts), from counts seen before
+    (``busy_keys``); its rows are few. A left row of such a key goes to one part,
+    by ``part_by``; right rows go to all of them, so each pair is met once, as before.
+    """
+    salts = F.coalesce("salts", F.lit(1))
+    a = left.join(busy, list(keys), "left").withColumn(
+        "_salt", F.pmod(F.xxhash64(part_by), salts).cast("int")
+    )
+    b = right.join(busy, list(keys), "left").withColumn(
+        "_salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    )
+    pairs = interval_join(
+        a.drop("salts"), b.drop("salts"), [*keys, "_salt"], left_ts, right_ts, within
+    )
+    return pairs.drop("_salt")

@@ -27,7 +27,18 @@ from brooklog.observe import (
 from brooklog.operators.ordered import number_rows
 from brooklog.plans.checkpoint import RANGE_COLUMNS
 from brooklog.schemas import TOPIC_PARTITION
-from brooklog.scratch import has_data, numbered_folders, read_if_there
+from brooklog.scratch import (
+    create_once,
+    delete_folder,
+    file_names,
+    has_data,
+    numbered_folders,
+    read_if_there,
+)
+
+
+#: Seconds in which Spark must have reported a query's last batch after it ended.
+TOLD_WITHIN_S = 120
 
 
 def event_time(stream: DataFrame, ts: str, delay: str) -> DataFrame:
@@ -87,7 +98,8 @@ def run_available(
             else:
                 query.awaitTermination()
         finally:
-            log.end_of(query.runId).wait(30)
+            if not log.end_of(query.runId).wait(TOLD_WITHIN_S):
+                raise RuntimeError("the end of the query was not reported: counts may be missing")
             query.all_progress = log.of(query.runId)
             if events is not None:
                 report(query, events)
@@ -133,28 +145,69 @@ class ChangedRows:
     """Sink for update mode: each batch appends the rows whose state changed.
 
     ``read`` gives the newest row per key. Batches stay small however large the
-    state is, and no window is held back until a watermark passes it.
+    state is, and no window is held back until a watermark passes it. Every
+    ``merge_every`` batches the changes are merged into a base, a row per key, and dropped:
+    what is kept and read is the state and a few batches, not all that ever changed.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, schema: str, keys: Sequence[str], merge_every: int = 10):
         self.path = path.rstrip("/")
+        self.schema = f"{schema}, batch_id BIGINT"
+        self.keys = list(keys)
+        self.merge_every = merge_every
 
-    def __call__(self, df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+    def _base(self, spark, up_to: int | None = None) -> int | None:
+        """The last batch in the newest base; its marker is made when it is whole."""
+        names = file_names(spark, f"{self.path}/merged")
+        found = [int(n) for n in names if n.isdigit()]
+        return max((n for n in found if up_to is None or n <= up_to), default=None)
 
-    def read(self, spark, schema: str, keys: Sequence[str]) -> DataFrame:
-        rows = spark.read.schema(f"{schema}, batch_id BIGINT").parquet(self.path)
-        rest = [c for c in rows.columns if c not in keys and c != "batch_id"]
+    def __call__(self, df: DataFrame, batch_id: int) -> None:
+        spark = df.sparkSession
+        base = self._base(spark)
+        if base is not None and batch_id <= base:
+            return  # a repeated batch that is in the base already
+        rows = df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        rows.write.mode("overwrite").parquet(f"{self.path}/changes/{batch_id}")
+        if (batch_id + 1) % self.merge_every == 0:
+            self.merge(spark, batch_id)
+
+    def merge(self, spark, batch_id: int) -> None:
+        """Make a base of all batches up to this one, and drop what it replaces."""
+        before = self._base(spark)
+        self._newest(spark).write.mode("overwrite").parquet(f"{self.path}/base/{batch_id}")
+        create_once(spark, f"{self.path}/merged/{batch_id}", "")
+        for name in file_names(spark, f"{self.path}/changes"):
+            if int(name) <= batch_id:
+                delete_folder(spark, f"{self.path}/changes/{name}")
+        if before is not None:
+            delete_folder(spark, f"{self.path}/base/{before}")
+            delete_folder(spark, f"{self.path}/merged/{before}")
+
+    def _newest(self, spark) -> DataFrame:
+        base = self._base(spark)
+        changes = [int(n) for n in file_names(spark, f"{self.path}/changes")]
+        folders = [f"{self.path}/changes/{n}" for n in sorted(changes) if base is None or n > base]
+        folders += [f"{self.path}/base/{base}"] if base is not None else []
+        if not folders:
+            return read_if_there(spark, f"{self.path}/none", self.schema)
+        rows = spark.read.schema(self.schema).parquet(*folders)
+        if len(folders) == 1:
+            return rows
+        rest = [c for c in rows.columns if c not in self.keys]
         newest = F.max_by(F.struct(*rest), "batch_id").alias("_newest")
-        return rows.groupBy(*keys).agg(newest).select(*keys, "_newest.*")
+        return rows.groupBy(*self.keys).agg(newest).select(*self.keys, "_newest.*")
+
+    def read(self, spark) -> DataFrame:
+        return self._newest(spark).drop("batch_id")
 
 
 class KeepFirst:
     """Sink that passes on each record once, however often and in whatever order it comes.
 
     It remembers the offset ranges that were passed on, a few rows per topic
-    partition, one folder per batch; a repeated batch starts from the folder before it.
-    No event time is needed, so no record is ever too late.
+    partition, one folder per batch; a repeated batch starts from the folder before it,
+    and older ones are dropped. No event time is needed, so no record is ever too late.
     """
 
     def __init__(self, sink: Callable[[DataFrame, int], object], home: str):
@@ -169,7 +222,8 @@ class KeepFirst:
         return read_if_there(spark, f"{self.path}/none", schemas.RANGES)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
-        before = self.covered(df.sparkSession, batch_id).selectExpr(
+        spark = df.sparkSession
+        before = self.covered(spark, batch_id).selectExpr(
             "topic AS _t", "partition AS _p", "from_offset", "until_offset"
         )
         seen = (
@@ -183,6 +237,20 @@ class KeepFirst:
         ranges = before.toDF(*RANGE_COLUMNS).unionByName(offset_runs(df))
         target = f"{self.path}/batch_id={batch_id}"
         joined_up(ranges).coalesce(1).write.mode("overwrite").parquet(target)
+        older = [n for n in numbered_folders(spark, self.path, "batch_id=") if n < batch_id]
+        for done in older[1:]:
+            delete_folder(spark, f"{self.path}/batch_id={done}")
+
+
+def keep_first_by_key(
+    stream: DataFrame, keys: Sequence[str], ts: str, delay: str
+) -> DataFrame:
+    """The first row of each key, for records that have no offsets.
+
+    A key is remembered for ``delay`` of event time; a copy that comes later than that behind
+    the newest row is dropped as late, which ``run_available`` reports or fails on.
+    """
+    return event_time(stream, ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
 def offset_runs(records: DataFrame) -> DataFrame:

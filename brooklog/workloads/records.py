@@ -5,14 +5,15 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import functions as F
 
-from brooklog.functions.time_partition import column_time, json_time, python_time
+from brooklog.functions.time_partition import column_time, json_time, series_time
 from brooklog.operators import records as ops
 from brooklog.operators.aggregates import batch_size as size_of
 from brooklog.operators.reconcile import reconcile as compare
+from brooklog.operators.reconcile import reconcile_log
 from brooklog.scratch import fresh_path
 from brooklog.sinks import files
 from brooklog.sources.text import read_lines
-from brooklog.workloads.tables import LOG_SQL, log_records, log_table, table
+from brooklog.workloads.tables import LOG_SQL, log_records, table
 
 
 def value_projection(spark, sf_dir):
@@ -31,11 +32,12 @@ def tag_from_message(spark, sf_dir):
 
 
 def tag_python_parser(spark, sf_dir):
-    def tens(message):
-        digits = "".join(c for c in message or "" if c.isdigit())
-        return f"{int(digits) // 10:02d}" if digits else None
+    def tens(messages):
+        digits = messages.fillna("").str.replace(r"\D", "", regex=True)
+        known = pd.to_numeric(digits.where(digits != ""), errors="coerce").astype("Int64") // 10
+        return known.astype("string").str.zfill(2).astype(object).where(known.notna(), None)
 
-    return ops.tag_time_partition(log_records(spark, sf_dir), python_time(tens))
+    return ops.tag_time_partition(log_records(spark, sf_dir), series_time(tens))
 
 
 def field_rewrite(spark, sf_dir):
@@ -127,6 +129,16 @@ def reconcile_equal(spark, sf_dir):
     return compare(sent, ops.values_of(log_records(spark, sf_dir)))
 
 
+def reconcile_digests(spark, sf_dir):
+    """The log against a copy that lost some records and has others twice, by digests."""
+    log = log_records(spark, sf_dir)
+    rare = (F.col("topic") == "topic_error") & (F.col("partition") == 1)
+    lossy = log.where(~(rare & (F.col("offset") % 5 == 0)))
+    twice = log.where((F.col("topic") == "topic_view") & (F.col("offset") == 3))
+    found = reconcile_log(log, lossy.unionByName(twice), ["value"], 64)
+    return found.select("topic", "partition", "offset", "value", "status", "copies")
+
+
 def sink_by_partition(spark, sf_dir):
     path = fresh_path(spark, "by-partition")
     files.write_by_partition(log_records(spark, sf_dir), path, in_order=True)
@@ -155,12 +167,11 @@ def sink_ordered_text(spark, sf_dir):
 
 
 def sink_append(spark, sf_dir):
-    """One append per topic to a single table of values."""
+    """The log's values in two appends to a single table of values."""
     path = fresh_path(spark, "collected")
     log = log_records(spark, sf_dir)
-    # a row per topic
-    for row in log_table(spark, sf_dir).catalog().select("topic").distinct().collect():
-        files.append_values(log.where(F.col("topic") == row.topic), path)
+    for half in (0, 1):
+        files.append_values(log.where(F.col("partition") % 2 == half), path)
     return spark.read.parquet(path).groupBy("value").agg(F.count(F.lit(1)).alias("copies"))
 
 
@@ -183,6 +194,7 @@ QUERIES = {
         word_count,
         reconcile,
         reconcile_equal,
+        reconcile_digests,
         sink_by_partition,
         sink_time_partitioned,
         sink_ordered_text,
@@ -246,6 +258,11 @@ FROM both_sides GROUP BY user_id, event_type, props HAVING sum(n) <> 0""",
     "reconcile_equal": f"""WITH {LOG_SQL}
 SELECT value, 'missing' AS status, CAST(1 AS BIGINT) AS copies FROM
   (SELECT value FROM log EXCEPT ALL SELECT props FROM events)""",
+    "reconcile_digests": f"""WITH {LOG_SQL}
+SELECT topic, "partition", "offset", value, 'missing' AS status, CAST(1 AS BIGINT) AS copies
+FROM log WHERE topic = 'topic_error' AND "partition" = 1 AND "offset" % 5 = 0
+UNION ALL SELECT topic, "partition", "offset", value, 'extra', 1
+FROM log WHERE topic = 'topic_view' AND "offset" = 3""",
     "sink_by_partition": f"""WITH {LOG_SQL}
 SELECT topic, "partition", {_SIZES} FROM log GROUP BY topic, "partition" """,
     "sink_time_partitioned": """

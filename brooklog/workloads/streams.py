@@ -8,24 +8,35 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from brooklog.functions.time_partition import column_time
-from brooklog.observe import all_progress, partition_summary, progress_metrics, record_metrics
+from brooklog.observe import EventTables, partition_summary, progress_metrics, record_metrics
 from brooklog.operators import aggregates as agg
-from brooklog.operators.joins import enrich, interval_join
+from brooklog.operators.joins import busy_keys, enrich, interval_join, salted_interval_join
 from brooklog.operators.records import merge, route, tag_time_partition
 from brooklog.plans.checkpoint import Ledger
 from brooklog.schemas import TAGGED
-from brooklog.scratch import fresh_path
+from brooklog.scratch import fresh_path, write_out
 from brooklog.sinks.files import BatchFolders
+from brooklog.sources.log_stream import stream_records
 from brooklog.sources.offset_ranges import capped_batches, stream_ranges
 from brooklog.streaming.runner import (
     ChangedRows,
     KeepFirst,
     event_time,
+    keep_first_by_key,
     run_available,
 )
 from brooklog.workloads import analytics
 from brooklog.workloads.records import _branches
-from brooklog.workloads.tables import LOG_SQL, log_stream, log_table, table, table_stream
+from brooklog.workloads.tables import (
+    CATALOG_SQL,
+    LOG_SQL,
+    half_cap,
+    log_stream,
+    log_table,
+    table,
+    table_stream,
+    trimmed_log,
+)
 
 SUMS_SCHEMA = "n BIGINT, cents BIGINT"
 
@@ -42,11 +53,15 @@ def _zone_free(df):
     return df
 
 
+#: Polling interval of streams that hand out one capped batch at a time.
+POLL = "10 milliseconds"
+
+
 def _changed(spark, stream, schema, keys):
     home = fresh_path(spark, "stream")
-    sink = ChangedRows(f"{home}/out")
+    sink = ChangedRows(f"{home}/out", schema, keys)
     run_available(stream, sink, f"{home}/state", "update", late_rows="fail")
-    return _zone_free(sink.read(spark, schema, keys))
+    return _zone_free(sink.read(spark))
 
 
 def _appended(spark, stream, schema):
@@ -77,16 +92,28 @@ def stream_window_sliding(spark, sf_dir):
 
 
 def stream_window_session(spark, sf_dir):
-    """The stream keeps cells, one gap wide; sessions are joined up on reading."""
-    cells = agg.session_cells(
-        _events(spark, sf_dir), "ts", "6 hours", analytics.sums(), ["user_id"]
-    )
-    schema = (
-        "user_id BIGINT, cell STRUCT<start: TIMESTAMP, end: TIMESTAMP>, "
-        f"first_ts TIMESTAMP, last_ts TIMESTAMP, {SUMS_SCHEMA}"
+    """Each session is given out once, when it is closed, and leaves the state.
+
+    The last ones are closed by a row of no user, far behind all others.
+    """
+    home = fresh_path(spark, "stream")
+    events = table_stream(spark, sf_dir, "events")
+    closing = events.sparkSession.range(1).select(
+        F.expr("TIMESTAMP_NTZ '9999-01-01 00:00:00'").alias("ts"),
+        F.lit(None).cast("bigint").alias("user_id"),
+        F.lit(0.0).alias("value"),
     )
-    newest = _changed(spark, cells, schema, ["user_id", "cell"])
-    return agg.sessions_from_cells(newest, "6 hours", ["n", "cents"], ["user_id"])
+    # the folder is empty at first: its row would end all sessions
+    closing.where("false").write.parquet(f"{home}/closing")
+    ends = spark.readStream.schema(closing.schema).parquet(f"{home}/closing")
+    both = event_time(events.select(*closing.columns).unionByName(ends), "ts", "1 hour")
+    sessions = agg.closed_sessions(both, "ts", "6 hours", analytics.sums(), ["user_id"])
+    sink = BatchFolders(f"{home}/out")
+    run_available(sessions, sink, f"{home}/state", late_rows="fail")
+    closing.write.mode("append").parquet(f"{home}/closing")
+    run_available(sessions, sink, f"{home}/state", late_rows="fail")
+    schema = f"user_id BIGINT, session_start TIMESTAMP, session_end TIMESTAMP, {SUMS_SCHEMA}"
+    return _zone_free(sink.read(spark, schema).drop("cycle_id"))
 
 
 def stream_accumulated_total(spark, sf_dir):
@@ -140,11 +167,30 @@ def stream_merge(spark, sf_dir):
     )
 
 
+def stream_click_to_purchase_salted(spark, sf_dir):
+    """The same pairs, with the state of busy users spread by the clicks they had."""
+    clicks, _ = analytics.click_and_purchase(_events(spark, sf_dir, "1 day"))
+    _, purchases = analytics.click_and_purchase(_events(spark, sf_dir, "1 day"))
+    counted, _ = analytics.click_and_purchase(table(spark, sf_dir, "events"))
+    counts = write_out(counted.groupBy("user_id").agg(F.count(F.lit(1)).alias("clicks")), "clicks")
+    usual = counts.agg(F.avg("clicks")).first()[0] or 0
+    busy = write_out(busy_keys(counts, ["user_id"], "clicks", int(usual) + 1), "busy")
+    pairs = salted_interval_join(
+        clicks, purchases, ["user_id"], "click_ts", "purchase_ts", "1 day", busy, F.col("click_id")
+    )
+    return _appended(
+        spark,
+        pairs,
+        "click_id BIGINT, user_id BIGINT, click_ts TIMESTAMP, purchase_id BIGINT, "
+        "purchase_ts TIMESTAMP",
+    )
+
+
 def stream_time_partitioned(spark, sf_dir):
     home = fresh_path(spark, "stream")
     tagged = tag_time_partition(log_stream(spark, sf_dir), column_time("timestamp"))
     sink = BatchFolders(f"{home}/out", ["topic", "time_partition"])
-    run_available(tagged, sink, f"{home}/state")
+    run_available(tagged, sink, f"{home}/state", every=POLL)
     return sink.read(spark, TAGGED).drop("cycle_id")
 
 
@@ -153,8 +199,29 @@ def stream_deduplicate(spark, sf_dir):
     twice = log_stream(spark, sf_dir).unionByName(log_stream(spark, sf_dir))
     home = fresh_path(spark, "stream")
     sink = BatchFolders(f"{home}/out")
-    query = run_available(twice, KeepFirst(sink, f"{home}/covered"), f"{home}/state")
-    _several_batches(query)
+    run_available(twice, KeepFirst(sink, f"{home}/covered"), f"{home}/state", every=POLL)
+    return partition_summary(
+        sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
+    )
+
+
+def stream_deduplicate_keyed(spark, sf_dir):
+    """Every event delivered twice without an offset, kept once by its id."""
+    events = table_stream(spark, sf_dir, "events").select("event_id", "event_type", "ts")
+    twice = events.unionByName(table_stream(spark, sf_dir, "events").select(*events.columns))
+    first = keep_first_by_key(twice, ["event_id"], "ts", "1 hour")
+    kept = _appended(spark, first, "event_id BIGINT, event_type STRING, ts TIMESTAMP")
+    return kept.groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("events"), F.countDistinct("event_id").alias("ids")
+    )
+
+
+def stream_records_summary(spark, sf_dir):
+    """The trimmed log, planned by its file index and read on the executors."""
+    log = trimmed_log(spark, sf_dir)
+    home = fresh_path(spark, "stream")
+    sink = BatchFolders(f"{home}/out")
+    run_available(stream_records(spark, log, half_cap(log)), sink, f"{home}/state", every=POLL)
     return partition_summary(
         sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
     )
@@ -165,42 +232,52 @@ def stream_ledger(spark, sf_dir):
     ledger = Ledger(spark, f"{home}/ledger", "events")
     log, ranges = _capped(spark, sf_dir)
     write = capped_batches(log, BatchFolders(f"{home}/out", ["topic"]), ledger)
-    _several_batches(run_available(ranges, write, f"{home}/state", every="10 milliseconds"))
+    run_available(ranges, write, f"{home}/state", every=POLL)
     return ledger.load()
 
 
+def stream_gap_errors(spark, sf_dir):
+    """Ranges planned before a trim, read after it: an error for each partition that lost records."""
+    log = trimmed_log(spark, sf_dir)
+    home = fresh_path(spark, "stream")
+    events = EventTables(spark, f"{home}/events", "late")
+    read = capped_batches(log, BatchFolders(f"{home}/out"), events=events)
+    ends = log.catalog().selectExpr("topic", "partition", "0L AS from_offset", "latest AS until_offset")
+    read(ends, 0)
+    errors = events.status_table().where("status = 'ERROR'")
+    part = lambda k: F.regexp_extract(
+        "message", r"in (.*)/(\d+): offsets (\d+) to (\d+)", k
+    )
+    return errors.select(
+        part(1).alias("topic"),
+        part(2).cast("int").alias("partition"),
+        part(3).cast("bigint").alias("missing_from"),
+        (part(4).cast("bigint") + 1).alias("missing_to"),
+    )
+
+
 def stream_metrics(spark, sf_dir):
     """Observed record and byte counts of the batches, added up."""
     home = fresh_path(spark, "stream")
     log = log_stream(spark, sf_dir).observe("read", *record_metrics("value"))
-    query = run_available(log, BatchFolders(f"{home}/out"), f"{home}/state")
-    _several_batches(query)
+    query = run_available(log, BatchFolders(f"{home}/out"), f"{home}/state", every=POLL)
     rows = spark.createDataFrame(
         progress_metrics(query), "batch_id BIGINT, stage STRING, metric STRING, value BIGINT"
     )
     return rows.groupBy("stage", "metric").agg(F.sum("value").alias("total"))
 
 
-def _several_batches(query):
-    if sum(p["numInputRows"] > 0 for p in all_progress(query)) < 2:
-        raise RuntimeError("the stream ran in a single batch")
-
-
 def _capped(spark, sf_dir):
     """The log's ranges in batches of at most half of the longest partition each."""
     log = log_table(spark, sf_dir)
-    cap = log.catalog().agg(F.expr("max(latest) div 2 + 1")).first()[0]
-    return log, stream_ranges(spark, log, cap)
+    return log, stream_ranges(spark, log, half_cap(log))
 
 
 def stream_capped(spark, sf_dir):
     log, ranges = _capped(spark, sf_dir)
     home = fresh_path(spark, "stream")
     sink = BatchFolders(f"{home}/out")
-    query = run_available(
-        ranges, capped_batches(log, sink), f"{home}/state", every="10 milliseconds"
-    )
-    _several_batches(query)
+    run_available(ranges, capped_batches(log, sink), f"{home}/state", every=POLL)
     out = sink.read(spark, "topic STRING, partition INT, offset BIGINT, value STRING")
     return partition_summary(out)
 
@@ -218,6 +295,10 @@ QUERIES = {
         stream_merge,
         stream_time_partitioned,
         stream_deduplicate,
+        stream_deduplicate_keyed,
+        stream_click_to_purchase_salted,
+        stream_records_summary,
+        stream_gap_errors,
         stream_ledger,
         stream_metrics,
         stream_capped,
@@ -239,6 +320,14 @@ def _oracles() -> dict[str, str]:
         "stream_merge": records.ORACLES["merge_streams"],
         "stream_time_partitioned": records.ORACLES["tag_time_partition"],
         "stream_deduplicate": log.ORACLES["backfill_scan"],
+        "stream_deduplicate_keyed": """
+SELECT event_type, count(*) AS events, count(DISTINCT event_id) AS ids
+FROM events GROUP BY event_type""",
+        "stream_click_to_purchase_salted": analytics.PAIRS_SQL,
+        "stream_records_summary": log.ORACLES["trimmed_scan"],
+        "stream_gap_errors": f"""WITH {CATALOG_SQL}
+SELECT topic, "partition", CAST(0 AS BIGINT) AS missing_from, latest // 8 AS missing_to
+FROM catalog WHERE latest // 8 > 0""",
         "stream_ledger": f"""WITH {LOG_SQL}
 SELECT topic, "partition", min("offset") AS from_offset, max("offset") + 1 AS until_offset
 FROM log GROUP BY topic, "partition" """,
