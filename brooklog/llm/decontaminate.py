@@ -11,9 +11,10 @@ shingles are looked up, so that none is missed. Every candidate is verified by t
 exact share of the item's shingles that the whole document has.
 
 Words are runs of ASCII letters (case does not matter), digits and non-ASCII
-characters; a shingle is five of them. Documents and items of fewer words, null
-and empty ones have no shingles and match nothing. Items that repeat both id and
-text count once; repeated documents each give their rows.
+characters; a shingle is five of them. An item of fewer words is one shingle of all its
+words, and a document that has them in a row contains it. Null texts and others without
+words match nothing. Items that repeat both id and text count once; repeated documents each give
+their rows.
 
 Items are sent to the tasks in blocks of bounded size; each block reads the
 documents once. Documents are not shuffled.
@@ -60,16 +61,22 @@ _FACTORS = np.random.default_rng(9).integers(0, 2**63, HASHES, dtype=np.uint64)
 ) + np.uint64(1)
 
 
-def shingles(block: Block, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all shingles in a block's texts, and where each text's start."""
-    data = LOWER_ASCII[block.data]
-    words = find_words(data, block.offsets, NOT_WORDS)
-    r = rolling(21)
-    hashes = r.runs(r.of_bytes(data), words.starts, words.ends)
-    starts, _ = window_starts(words.first, size)
-    found = r.runs(r.sums(hashes), starts, starts + size)
-    counts = np.maximum(np.diff(words.first) - size + 1, 0)
-    return found, np.concatenate([[0], np.cumsum(counts)])
+class Shingled:
+    """The words of a block's texts, as sums for hashes of any run of them."""
+
+    def __init__(self, block: Block):
+        data = LOWER_ASCII[block.data]
+        words = find_words(data, block.offsets, NOT_WORDS)
+        r = rolling(21)
+        self.first = words.first
+        self.sums = r.sums(r.runs(r.of_bytes(data), words.starts, words.ends))
+
+    def of(self, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of all runs of ``size`` words, and where each text's start."""
+        starts, _ = window_starts(self.first, size)
+        found = rolling(21).runs(self.sums, starts, starts + size)
+        counts = np.maximum(np.diff(self.first) - size + 1, 0)
+        return found, np.concatenate([[0], np.cumsum(counts)])
 
 
 @dataclass(frozen=True)
@@ -89,13 +96,24 @@ class Items:
     #: Shingles of the items of up to ``LEAST``, sorted, and the item of each.
     small: np.ndarray
     small_owner: np.ndarray
-
-
-def index_items(ids: list, sets: list[np.ndarray]) -> Items:
-    sizes = np.array([len(s) for s in sets])
+    #: The same for items of fewer words than a shingle, by number of words.
+    short: dict[int, tuple[np.ndarray, np.ndarray]]
+
+
+def index_items(ids: list, sets: list[np.ndarray], words: list[int]) -> Items:
+    """Index items by their shingles; ``words`` tells the length of those that are one."""
+    short = {}
+    words_of = np.array(words)
+    for size in range(1, SHINGLE):
+        own = np.flatnonzero(words_of == size)
+        if len(own):
+            keys = np.array([sets[i][0] for i in own], np.uint64)
+            order = np.argsort(keys, kind="stable")
+            short[size] = keys[order], own[order]
+    sizes = np.where(words_of < SHINGLE, 0, [len(s) for s in sets])
     levels = np.maximum(np.ceil(np.log2(np.maximum(sizes, 1) / LEAST)), 0).astype(int)
     partitions = []
-    few = np.flatnonzero(sizes <= LEAST)
+    few = np.flatnonzero((sizes > 0) & (sizes <= LEAST))
     small = np.concatenate([*(sets[i] for i in few), np.zeros(0, np.uint64)])
     small_owner = np.repeat(few, sizes[few])
     order = np.argsort(small, kind="stable")
@@ -111,7 +129,7 @@ def index_items(ids: list, sets: list[np.ndarray]) -> Items:
                 [own[o] for o in order],
             )
         )
-    return Items(ids, sets, partitions, small, small_owner)
+    return Items(ids, sets, partitions, small, small_owner, short)
 
 
 def _runs_of(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -122,28 +140,30 @@ def _runs_of(first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return first[:-1][text] + (np.arange(begin[-1]) - begin[:-1][text]) * size, begin
 
 
-def looked_up(found: np.ndarray, first: np.ndarray, items: Items) -> np.ndarray:
-    """Pairs (text, item) that share a shingle, for items of up to ``LEAST``."""
+def looked_up(
+    found: np.ndarray, first: np.ndarray, sought: np.ndarray, owner: np.ndarray
+) -> np.ndarray:
+    """Pairs (text, item) that share a shingle, for sorted shingles of items."""
     texts = len(first) - 1
-    if len(items.small) == 0 or len(found) == 0:
+    if len(sought) == 0 or len(found) == 0:
         return np.zeros(0, np.int64)
-    left = np.searchsorted(items.small, found, "left")
-    hits = np.flatnonzero(items.small[np.minimum(left, len(items.small) - 1)] == found)
+    left = np.searchsorted(sought, found, "left")
+    hits = np.flatnonzero(sought[np.minimum(left, len(sought) - 1)] == found)
     text = np.searchsorted(first, hits, "right") - 1
     # a shingle that a text repeats counts once
     own = np.unique(left[hits] * texts + text)
     left, text = own // texts, own % texts
-    many = np.searchsorted(items.small, items.small[left], "right") - left
+    many = np.searchsorted(sought, sought[left], "right") - left
     row = np.repeat(np.arange(len(own)), many)
     entry = left[row] + np.arange(len(row)) - (np.cumsum(many) - many)[row]
-    return text[row] + texts * items.small_owner[entry]
+    return text[row] + texts * owner[entry]
 
 
 def candidates(found: np.ndarray, first: np.ndarray, items: Items) -> np.ndarray:
     """Pairs (text, item) of which a window and the item share a minimum hash, or,
     for a small item, the text and the item a shingle."""
     texts = len(first) - 1
-    pairs = [looked_up(found, first, items)]
+    pairs = [looked_up(found, first, items.small, items.small_owner)]
     starts, begin = _runs_of(first, LEAST)
     if len(starts) == 0 or not items.partitions:
         return np.unique(pairs[0])
@@ -171,9 +191,13 @@ def candidates(found: np.ndarray, first: np.ndarray, items: Items) -> np.ndarray
 
 def matches(block: Block, items: Items, threshold: float):
     """(text, item, shared) for each item that a text of the block contains."""
-    found, first = shingles(block)
+    shingled = Shingled(block)
+    found, first = shingled.of()
     texts = len(first) - 1
     out = []
+    for size, (sought, owner) in items.short.items():
+        pairs = looked_up(*shingled.of(size), sought, owner)
+        out += [(int(p % texts), int(p // texts), 1) for p in np.unique(pairs)]
     own, sorted_text = None, -1
     pairs = candidates(found, first, items)
     for t, i in sorted((int(p % texts), int(p // texts)) for p in pairs):
@@ -191,34 +215,43 @@ def _item_sets(items: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column("text")):
-                found, first = shingles(block)
+                shingled = Shingled(block)
+                words = np.diff(shingled.first)
+                found, first = shingled.of()
                 sets = [np.unique(found[a:b]) for a, b in zip(first[:-1], first[1:])]
+                for i in np.flatnonzero((words > 0) & (words < SHINGLE)).tolist():
+                    whole = shingled.first[i : i + 2]
+                    sets[i] = rolling(21).runs(shingled.sums, whole[:1], whole[1:])
                 flat = np.concatenate([*sets, np.zeros(0, np.uint64)])
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column("item_id").slice(block.first, len(sets)).cast(pa.int64()),
+                        pa.array(words.astype(np.int64)),
                         ragged(signed(flat), [len(s) for s in sets], pa.int64()),
                     ],
-                    names=["item_id", "shingles"],
+                    names=["item_id", "words", "shingles"],
                 )
 
     rows = items.select("item_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    sets = rows.mapInArrow(run, "item_id long, shingles array<long>")
-    return sets.where(F.size("shingles") > 0).distinct().orderBy("item_id", "shingles")
+    sets = rows.mapInArrow(run, "item_id long, words long, shingles array<long>")
+    # what counts is whether an item is shorter than a shingle
+    sets = sets.withColumn("words", F.least("words", F.lit(SHINGLE)))
+    return sets.where(F.size("shingles") > 0).distinct().orderBy("item_id", "words", "shingles")
 
 
 def item_blocks(items: DataFrame, most: int = BLOCK_SHINGLES) -> Iterator[Items]:
     """Indexed items, ``most`` shingles at a time (a larger item is a block of its own)."""
-    ids, sets, total = [], [], 0
+    ids, sets, words, total = [], [], [], 0
     for row in _item_sets(items).toLocalIterator():
         if ids and total + len(row.shingles) > most:
-            yield index_items(ids, sets)
-            ids, sets, total = [], [], 0
+            yield index_items(ids, sets, words)
+            ids, sets, words, total = [], [], [], 0
         ids.append(row.item_id)
         sets.append(np.array(row.shingles, np.int64).view(np.uint64))
+        words.append(row.words)
         total += len(row.shingles)
     if ids:
-        yield index_items(ids, sets)
+        yield index_items(ids, sets, words)
 
 
 _FOUND = "doc_id long, item_id long, n_shared long, n_item long, containment double"
@@ -291,18 +324,24 @@ def without_items(docs: DataFrame, items: DataFrame, threshold: float = THRESHOL
 
 #: The same by exact containment in DuckDB, over queries ``{docs}`` and ``{items}``.
 CONTAINED_SQL = r"""
+WITH doc_words AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {docs}),
+item_words AS (
+  SELECT item_id, regexp_extract_all(
+           translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {items})
 SELECT d.doc_id, i.item_id, count(*) AS n_shared, any_value(i.n) AS n_item,
        count(*) / any_value(i.n) AS containment
 FROM (SELECT DISTINCT doc_id, unnest(list_transform(range(1, len(w) - 3),
-             lambda k: array_to_string(w[k:k + 4], ' '))) AS s
-      FROM (SELECT doc_id, regexp_extract_all(
-                     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {docs})) d
+             lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM doc_words) d
 JOIN (SELECT *, count(*) OVER (PARTITION BY item_id) AS n FROM (
       SELECT DISTINCT item_id, unnest(list_transform(range(1, len(w) - 3),
-             lambda k: array_to_string(w[k:k + 4], ' '))) AS s
-      FROM (SELECT item_id, regexp_extract_all(
-                     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-                     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM {items}))) i ON i.s = d.s
+             lambda k: array_to_string(w[k:k + 4], ' '))) AS s FROM item_words)) i ON i.s = d.s
 GROUP BY d.doc_id, i.item_id
-HAVING count(*) >= {threshold} * any_value(i.n)"""
+HAVING count(*) >= {threshold} * any_value(i.n)
+UNION ALL
+SELECT d.doc_id, i.item_id, 1, 1, 1.0
+FROM doc_words d JOIN (SELECT DISTINCT item_id, w FROM item_words WHERE len(w) BETWEEN 1 AND 4) i
+  ON contains(' ' || array_to_string(d.w, ' ') || ' ', ' ' || array_to_string(i.w, ' ') || ' ')"""

@@ -7,9 +7,11 @@ import math
 import random
 
 import brute
+import duckdb
 import numpy as np
 import pyarrow as pa
 import pytest
+from oracle import difference
 
 from brooklog.llm import (
     decontaminate,
@@ -255,9 +257,16 @@ def test_rules_on_odd_rows(spark, odd, none):
 # --- decontamination -----------------------------------------------------------
 
 
-def grams(text: str):
+def grams(text: str, size: int = 5):
     own = [bytes(w) for w in _words(text)]
-    return {tuple(own[i : i + 5]) for i in range(len(own) - 4)}
+    return {tuple(own[i : i + size]) for i in range(len(own) - size + 1)}
+
+
+def contains(body: str, item: str) -> bool:
+    """An item of fewer than five words is one shingle."""
+    n = min(len(_words(item)), 5)
+    sought = grams(item, n) if n else set()
+    return bool(sought) and 10 * len(sought & grams(body, n)) >= 8 * len(sought)
 
 
 def _words(text: str):
@@ -270,25 +279,22 @@ def test_items_inside_documents(spark):
     rng = random.Random(4)
     vocabulary = [f"w{i}" for i in range(3000)]
     items = [
-        (i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([4, 5, 8, 20, 60, 200]))))
+        (i, " ".join(rng.choice(vocabulary) for _ in range(rng.choice([2, 3, 4, 5, 8, 20, 60, 200]))))
         for i in range(40)
-    ]
+    ] + [(40, ""), (41, "W5")]
     rows = []
     for d in range(120):
         own = [rng.choice(vocabulary) for _ in range(rng.choice([3, 50, 400, 6000]))]
         for _ in range(rng.choice([0, 0, 1, 3])):
             passage = rng.choice(items)[1].upper().split()
-            if rng.random() < 0.5:
+            if passage and rng.random() < 0.5:
                 passage[rng.randrange(len(passage))] = "other"
             at = rng.randrange(len(own))
             own[at:at] = passage
         rows.append((d, ", ".join(own)))
     want = set()
     for i, text in items:
-        sought = grams(text)
-        for d, body in rows:
-            if sought and 10 * len(sought & grams(body)) >= 8 * len(sought):
-                want.add((d, i))
+        want |= {(d, i) for d, body in rows if contains(body, text)}
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     bench = spark.createDataFrame(items, "item_id long, text string")
     got = {(r.doc_id, r.item_id) for r in decontaminate.contained_items(docs, bench).collect()}
@@ -313,22 +319,36 @@ def test_no_small_item_is_missed(size):
     block = next(decontaminate.blocks(pa.array([whole]), 1 << 30))
     sets = []
     for text in texts:
-        own, _ = decontaminate.shingles(next(decontaminate.blocks(pa.array([text]))))
+        own, _ = decontaminate.Shingled(next(decontaminate.blocks(pa.array([text])))).of()
         sets.append(np.unique(own))
-    items = decontaminate.index_items(list(range(len(texts))), sets)
+    items = decontaminate.index_items(list(range(len(texts))), sets, [size] * len(texts))
     found = decontaminate.matches(block, items, decontaminate.THRESHOLD)
     assert [i for _, i, _ in found] == list(range(len(texts)))
 
 
+def test_short_items_agree_with_sql(spark):
+    docs = [(1, "Yes, it is."), (2, "it was; yes it IS so"), (3, "it is not"), (4, None), (5, "is it")]
+    items = [(1, "It is"), (2, "yes"), (3, "is not"), (4, "it is it is it"), (5, ""), (6, None), (1, "is it")]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    items = spark.createDataFrame(items, "item_id long, text string")
+    con = duckdb.connect()
+    con.register("docs", docs.toArrow())
+    con.register("items", items.toArrow())
+    sql = decontaminate.CONTAINED_SQL.format(docs="docs", items="items", threshold=0.8)
+    got = decontaminate.contained_items(docs, items)
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(1, 1), (1, 2), (2, 1), (2, 2), (3, 1), (3, 3), (5, 1)]
+    assert difference(got, con, sql) is None
+
+
 def test_items_and_odd_rows(spark, odd, none):
     items = spark.createDataFrame(
-        [(1, None), (2, "four words are few"), (3, "repeated row of exactly these eight"), (3, "repeated row of exactly these eight")],
+        [(1, None), (2, "four words are few"), (4, "ONE"), (5, " ... "), (3, "repeated row of exactly these eight"), (3, "repeated row of exactly these eight")],
         "item_id long, text string",
     )
     found = decontaminate.contained_items(odd, items).collect()
-    assert [(r.doc_id, r.item_id, r.containment) for r in found] == [(9, 3, 1.0)] * 2
+    assert sorted((r.doc_id, r.item_id, r.containment) for r in found) == [(6, 4, 1.0)] + [(9, 3, 1.0)] * 2
     clean = decontaminate.without_items(odd, items)
-    assert clean.columns == odd.columns and clean.count() == odd.count() - 2
+    assert clean.columns == odd.columns and clean.count() == odd.count() - 3
     assert decontaminate.contained_items(odd, items.limit(0)).count() == 0
     assert decontaminate.without_items(odd, items.limit(0)).count() == odd.count()
     assert decontaminate.contained_items(none, items).count() == 0
