@@ -49,7 +49,7 @@ from brooklog.llm.blocks import (
     window_starts,
 )
 from brooklog.llm.graph import components
-from brooklog.llm.repeats import LAST, keyed, shuffles_dropped
+from brooklog.llm.repeats import LAST, identity, keyed, shuffles_dropped
 from brooklog.llm.rows import packed, unpacked
 from brooklog.scratch import drop_path, fresh_path, write_out
 
@@ -396,10 +396,7 @@ def one_of_each(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) ->
         found.where("n = 0").select("doc", "tag", F.lit(True).alias("empty")).distinct()
     )
     stay = write_out(stay, "stay")
-    text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
-    rows = packed(docs).withColumns(
-        {"doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)), "tag": F.crc32(text)}
-    ).join(stay, ["doc", "tag"])
+    rows = packed(docs).select("*", *identity()).join(stay, ["doc", "tag"])
     # of rows that repeat doc_id and text one stays, unless they have no shingles
     rows = rows.withColumn(
         "row", F.when(F.col("empty"), F.monotonically_increasing_id()).otherwise(F.lit(-1))

@@ -2,21 +2,22 @@
 
 Two lines are alike if their words are equal, or if both have at least
 ``MIN_EDIT_WORDS`` words and one word inserted, deleted or replaced turns one
-into the other. A line is removed if an alike line comes earlier (smaller doc_id,
-or same document, earlier line), judged on the input.
+into the other: five words, since one change then leaves a similarity of 0.8. A line is
+removed if an alike line comes earlier (smaller doc_id, or same document, earlier line),
+judged on the input.
 
 Equal lines meet by hash. For the rest each line emits its deletion neighbourhood:
 a key of all its words, and for each word a key of the others. Lines that share a
 key meet at the key's earliest line: a full line with any, two shortened lines if
 the same place is missing. That takes one minimum per key and no pairs. Found
-sources are verified word by word. One edit leaves one half of a line as it was,
-so only lines that share a half with another emit their neighbourhood.
+sources are verified word by word. One edit leaves three of four equal parts of a line as
+they were, two of them as seen from its ends, so only lines that share three parts with another
+emit their neighbourhood.
 
 Lines are parts of the text between ``\\n``; words are runs of characters other than
-[\\x20\\x09-\\x0D]. Lines of fewer than ``MIN_WORDS`` words, among them blank ones,
-always stay. Null and empty texts are one blank line. Rows that repeat doc_id and
-text are one document, which does not remove its own lines. A null doc_id comes
-last. Columns other than doc_id and text, whatever their names, stay as they are.
+[\\x20\\x09-\\x0D]. Lines without words always stay. Null and empty texts are one blank line.
+Rows that repeat doc_id and text are one document, which does not remove its own lines. A null
+doc_id comes last. Columns other than doc_id and text, whatever their names, stay as they are.
 """
 
 from __future__ import annotations
@@ -24,54 +25,66 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from brooklog.llm.repeats import LAST, shuffles_dropped
+from brooklog.llm.repeats import identity, shuffles_dropped
 from brooklog.llm.rows import only, packed, unpacked
 from brooklog.scratch import write_out
 
-MIN_WORDS = 5
-MIN_EDIT_WORDS = 10
-_SEPARATOR = r"[\x20\x09-\x0D]+"
+#: Least words of a line that may go, and of one that may go for an alike one.
+MIN_WORDS = 1
+MIN_EDIT_WORDS = 5
+#: Words of a part, largest first, up to a line of 2**20 words; lines of one more word may have
+#: the same, so that a line and one with a word less share one.
+_PARTS = sorted({1 << k for k in range(19)} | {3 << k for k in range(17)}, reverse=True)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
     text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-        F.crc32(text.cast("binary")).alias("tag"),
-        F.split(text, "\n").alias("lines"),
-    )
+    return docs.select(*identity(), F.split(text, "\n").alias("lines"))
 
 
 def _words(line: Column) -> Column:
-    return F.filter(F.split(line, _SEPARATOR), lambda w: w != "")
+    """Splits at single spaces, which takes no regular expression; the other separators are
+    rare, and replaced first."""
+    for other in "\t\v\f\r":
+        line = F.replace(line, F.lit(other), F.lit(" "))
+    return F.array_remove(F.split(line, " "), "")
+
 
+def _part_keys(least: int) -> tuple[Column, Column, Column]:
+    """Keys of three of a line's four parts, for each part that one edit may be in, and the two
+    sizes of parts, ``p`` and ``q``.
 
-def _half_keys(least: int) -> Column:
-    """Keys of the halves that one edit may leave intact, for the shorter of two lines."""
+    Parts have as many words as a quarter of the line, rounded down to a size in ``_PARTS``;
+    a line that is the shortest of its size also has the next smaller one.
+    """
+    size = "".join(f" WHEN n >= {4 * p} THEN {p}" for p in _PARTS)
+    less = "".join(f" WHEN n > {4 * p} THEN {p}" for p in _PARTS)
 
-    def halves(m: str) -> str:
-        return (
-            f"xxhash64({m}, 'first', slice(w, 1, int({m} div 2))), "
-            f"xxhash64({m}, 'last', slice(w, n - int({m} - {m} div 2) + 1, int({m} - {m} div 2)))"
+    def keys(p: str) -> str:
+        return ", ".join(
+            f"xxhash64({p}, {j}, slice(w, 1, {j} * {p}), slice(w, n - {3 - j} * {p} + 1, {3 - j} * {p}))"
+            for j in range(4)
         )
 
-    return F.expr(
-        f"""CASE WHEN n > {least} THEN array({halves('n')}, {halves('(n - 1)')})
-                 WHEN n = {least} THEN array({halves('n')})
-                 ELSE cast(array() AS array<bigint>) END"""
+    found = F.expr(
+        f"""CASE WHEN n < {least} THEN cast(array() AS array<bigint>)
+                 WHEN n > {least} AND p <> q THEN array({keys('p')}, {keys('q')})
+                 ELSE array({keys('p')}) END"""
     )
+    return found, F.expr(f"CASE{size} ELSE 0 END"), F.expr(f"CASE{less} ELSE 0 END")
 
 
 def hashed_lines(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
-    """A row without text for each line that may go: place, hash of its words, half keys."""
+    """A row without text for each line that may go: place, hash of its words, part keys."""
     lines = _keyed(docs).select("doc", "tag", F.posexplode("lines").alias("line", "text"))
     lines = lines.select("doc", "tag", "line", _words(F.col("text")).alias("w"))
-    lines = only(lines.withColumn("n", F.size("w")), F.col("n") >= min_words)
-    return lines.select(
+    lines = only(lines.withColumn("n", F.size("w")), F.col("n") >= max(min_words, 1))
+    keys, size, less = _part_keys(min_edit)
+    return lines.withColumns({"p": size, "q": less}).select(
         "doc", "tag", "line", "n",
         F.xxhash64("w").alias("h1"),
         F.xxhash64(F.lit("second"), "w").alias("h2"),
-        _half_keys(min_edit).alias("halves"),
+        keys.alias("parts"),
     )
 
 
@@ -124,10 +137,10 @@ def _one_edit(x: str, y: str) -> str:
 
 def _near(docs: DataFrame, distinct: DataFrame, min_edit: int) -> DataFrame:
     """(h1, h2) of distinct lines that an earlier line differs from by one edit."""
-    keys = distinct.select("h1", "h2", F.explode("halves").alias("half"))
-    shared = keys.groupBy("half").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("half")
-    shared = write_out(shared, "halves")
-    chosen = keys.join(shared, "half", "left_semi").select("h1", "h2").distinct()
+    keys = distinct.select("h1", "h2", F.explode("parts").alias("part"))
+    shared = keys.groupBy("part").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("part")
+    shared = write_out(shared, "parts")
+    chosen = keys.join(shared, "part", "left_semi").select("h1", "h2").distinct()
     chosen = distinct.join(chosen, ["h1", "h2"], "left_semi").select("h1", "h2", "at")
     places = chosen.groupBy("at.doc", "at.tag").agg(
         F.collect_list(F.struct("h1", "h2", F.col("at.line").alias("line"))).alias("chosen")
@@ -177,7 +190,7 @@ def removed_lines(
     distinct = lines.groupBy("h1", "h2").agg(
         F.min(_at()).alias("at"),
         F.count(F.lit(1)).alias("c"),
-        F.first("halves").alias("halves"),
+        F.first("parts").alias("parts"),
     )
     distinct = write_out(distinct, "distinct")
     near = _near(docs, distinct, min_edit).withColumn("near", F.lit(True))
@@ -204,12 +217,7 @@ def _with_left(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
     """``packed`` documents with ``left`` (the text), ``n_lines`` and ``n_removed``."""
     with shuffles_dropped(docs.sparkSession):
         removed = removed_lines(docs, min_words, min_edit)
-    rows = packed(docs).withColumns(
-        {
-            "doc": F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)),
-            "tag": F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")),
-        }
-    )
+    rows = packed(docs).select("*", *identity())
     # the struct holds the text already; it is shuffled once
     rows = rows.drop("text").join(removed, ["doc", "tag"], "left")
     text = F.col("_all").getField("text")
@@ -257,7 +265,7 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 #: The same in DuckDB, over a query ``{docs}`` with distinct doc_id. Of alike lines with
-#: different words and ten or more, either the first words are equal or the last.
+#: different words, either the first words are equal or the last.
 KEPT_SQL = r"""
 split AS (SELECT doc_id, coalesce(text, '') AS text, string_split(coalesce(text, ''), chr(10)) AS ls
           FROM {docs}),
@@ -293,6 +301,6 @@ kept AS (
 
 REPORT_SQL = (
     "WITH "
-    + KEPT_SQL.format(docs="documents", min_words=MIN_WORDS, min_edit=MIN_EDIT_WORDS)
+    + KEPT_SQL.format(docs="documents", min_words=1, min_edit=5)
     + " SELECT doc_id, n_lines, n_removed, sha256(kept) AS kept_sha256 FROM kept"
 )

@@ -15,7 +15,6 @@ occurrence, so neither is a copy of the other.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -64,14 +63,15 @@ class Shape:
         return self.length - self.gram + 1
 
 
+def identity() -> tuple[Column, Column]:
+    """doc, which orders the rows, and tag, a 64-bit hash that tells texts of one doc apart."""
+    doc = F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc")
+    return doc, F.xxhash64(F.coalesce(F.col("text"), F.lit(""))).alias("tag")
+
+
 def keyed(docs: DataFrame) -> DataFrame:
-    """(doc, tag, text): doc orders the rows, (doc, tag) tells texts apart."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    return docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-        F.crc32(text.cast("binary")).alias("tag"),
-        text.alias("text"),
-    )
+    """(doc, tag, text): see ``identity``."""
+    return docs.select(*identity(), F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
@@ -139,26 +139,19 @@ def segments(docs: DataFrame, shape: Shape) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["anchor", "content", "doc", "tag", "at", "windows", "lead"]
         for batch in batches:
-            ids, column = batch.column("doc").to_numpy(), batch.column("text")
-            for block in blocks(column):
+            ids, tags = batch.column("doc").to_numpy(), batch.column("tag").to_numpy()
+            for block in blocks(batch.column("text")):
                 symbols = symbols_of(block.data, block.offsets, shape.unit)
                 found = segments_of(symbols, shape)
                 if found is None:
                     continue
                 text, begin, count, lead, anchor, content = found
-                tags = np.array(
-                    [
-                        zlib.crc32(block.data[a:b])
-                        for a, b in zip(block.offsets[:-1], block.offsets[1:])
-                    ],
-                    np.int64,
-                )
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(signed(anchor)),
                         pa.array(signed(content)),
                         pa.array(ids[block.first + text]),
-                        pa.array(tags[text]),
+                        pa.array(tags[block.first + text]),
                         pa.array((begin - symbols.first[text]).astype(np.int32)),
                         pa.array(count.astype(np.int16)),
                         pa.array(lead.astype(np.int16)),
@@ -166,10 +159,7 @@ def segments(docs: DataFrame, shape: Shape) -> DataFrame:
                     names=names,
                 )
 
-    rows = docs.select(
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text")
-    )
-    return rows.mapInArrow(run, SEGMENTS)
+    return keyed(docs).mapInArrow(run, SEGMENTS)
 
 
 def position(at: Column | str = "at") -> Column:
@@ -238,12 +228,7 @@ def remove_spans(
         F.collect_list(F.col("start").cast("long")).alias("starts"),
         F.collect_list(F.col("size").cast("long")).alias("sizes"),
     )
-    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    texts = texts.select(
-        "*",
-        F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"),
-        F.crc32(F.col("text").cast("binary")).alias("tag"),
-    )
+    texts = docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *identity())
     joined = texts.join(per_text, ["doc", "tag"], "left").select(
         "doc_id", "text", "starts", "sizes"
     )

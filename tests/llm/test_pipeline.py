@@ -7,10 +7,10 @@ import os
 import brute
 import pytest
 from oracle import difference, duck
-from test_scan import MODEL, grams
+from test_scan import MODEL, contains
 
 import corpus_pipeline
-from brooklog.llm import line_dedup, quality, queries, sentencepiece_scan
+from brooklog.llm import quality, queries, sentencepiece_scan
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -52,7 +52,7 @@ def brute_pipeline(documents, items, con):
     verdicts = con.execute(quality.REPORT_SQL).fetchdf()
     kept = set(verdicts[verdicts["kept"]]["doc_id"])
     rows = {d: t for d, t in documents if d in kept}
-    gone = brute.removed_lines(rows.items(), line_dedup.MIN_WORDS, line_dedup.MIN_EDIT_WORDS)
+    gone = brute.removed_lines(rows.items(), 1, 5)
     for d, lines in gone.items():
         if lines:
             rows[d] = "\n".join(x for i, x in enumerate(rows[d].split("\n")) if i not in lines)
@@ -60,12 +60,7 @@ def brute_pipeline(documents, items, con):
                 del rows[d]
     roots = brute.components(rows.items(), corpus_pipeline.PERCENT, corpus_pipeline.SHINGLE)
     rows = {d: t for d, t in rows.items() if roots[d][1] == d}
-    sought = [grams(t) for t in items]
-    return {
-        d: t
-        for d, t in rows.items()
-        if not any(s and 10 * len(s & grams(t)) >= 8 * len(s) for s in sought)
-    }
+    return {d: t for d, t in rows.items() if not any(contains(t, item) for item in items)}
 
 
 def test_pipeline_against_brute_force(spark, con):
