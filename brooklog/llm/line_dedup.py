@@ -11,8 +11,8 @@ a key of all its words, and for each word a key of the others. Lines that share
 key meet at the key's earliest line: a full line with any, two shortened lines if
 the same place is missing. That takes one minimum per key and no pairs. Found
 sources are verified word by word. One edit leaves three of four equal parts of a line as
-they were, two of them as seen from its ends, so only lines that share three parts with another
-emit their neighbourhood.
+they were, as seen from its ends, so only lines that share three parts with another emit their
+neighbourhood.
 
 Lines are parts of the text between ``\\n``; words are runs of characters other than
 [\\x20\\x09-\\x0D]. Lines without words always stay. Null and empty texts are one blank line.
@@ -32,9 +32,6 @@ from brooklog.scratch import write_out
 #: Least words of a line that may go, and of one that may go for an alike one.
 MIN_WORDS = 1
 MIN_EDIT_WORDS = 5
-#: Words of a part, largest first, up to a line of 2**20 words; lines of one more word may have
-#: the same, so that a line and one with a word less share one.
-_PARTS = sorted({1 << k for k in range(19)} | {3 << k for k in range(17)}, reverse=True)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -50,41 +47,50 @@ def _words(line: Column) -> Column:
     return F.array_remove(F.split(line, " "), "")
 
 
-def _part_keys(least: int) -> tuple[Column, Column, Column]:
-    """Keys of three of a line's four parts, for each part that one edit may be in, and the two
-    sizes of parts, ``p`` and ``q``.
+def _plain(line: Column) -> Column:
+    """The words of a line with one space between them; most lines are that already."""
+    rare = F.contains(line, F.lit("  ")) | line.startswith(" ") | line.endswith(" ")
+    for other in "\t\v\f\r":
+        rare = rare | F.contains(line, F.lit(other))
+    return F.when(rare, F.array_join(_words(line), " ")).otherwise(line)
 
-    Parts have as many words as a quarter of the line, rounded down to a size in ``_PARTS``;
-    a line that is the shortest of its size also has the next smaller one.
-    """
-    size = "".join(f" WHEN n >= {4 * p} THEN {p}" for p in _PARTS)
-    less = "".join(f" WHEN n > {4 * p} THEN {p}" for p in _PARTS)
-
-    def keys(p: str) -> str:
-        return ", ".join(
-            f"xxhash64({p}, {j}, slice(w, 1, {j} * {p}), slice(w, n - {3 - j} * {p} + 1, {3 - j} * {p}))"
-            for j in range(4)
-        )
-
-    found = F.expr(
-        f"""CASE WHEN n < {least} THEN cast(array() AS array<bigint>)
-                 WHEN n > {least} AND p <> q THEN array({keys('p')}, {keys('q')})
-                 ELSE array({keys('p')}) END"""
-    )
-    return found, F.expr(f"CASE{size} ELSE 0 END"), F.expr(f"CASE{less} ELSE 0 END")
+
+def _part_size(n: str) -> str:
+    """SQL: the largest of 1, 2, 3, 4, 6, 8, 12, … that is no more than a quarter of ``n``."""
+    quarter = f"({n} div 4)"
+    power = f"shiftleft(1, length(bin({quarter})) - 1)"
+    half = f"({power} div 2)"
+    return f"CAST(IF({quarter} >= {power} + {half}, {power} + {half}, {power}) AS INT)"
 
 
 def hashed_lines(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
-    """A row without text for each line that may go: place, hash of its words, part keys."""
+    """A row without text for each line that may go: place, hashes of its words, part keys.
+
+    A part has as many words as ``_part_size`` tells. Keys are of three parts each, for
+    each of the four that one edit may be in. A line that is the shortest of its size has a second
+    row (``size`` 1) with the keys that a line with a word less has.
+    """
     lines = _keyed(docs).select("doc", "tag", F.posexplode("lines").alias("line", "text"))
-    lines = lines.select("doc", "tag", "line", _words(F.col("text")).alias("w"))
-    lines = only(lines.withColumn("n", F.size("w")), F.col("n") >= max(min_words, 1))
-    keys, size, less = _part_keys(min_edit)
-    return lines.withColumns({"p": size, "q": less}).select(
-        "doc", "tag", "line", "n",
-        F.xxhash64("w").alias("h1"),
-        F.xxhash64(F.lit("second"), "w").alias("h2"),
-        keys.alias("parts"),
+    lines = lines.select("doc", "tag", "line", _plain(F.col("text")).alias("s"))
+    spaces = F.octet_length("s") - F.octet_length(F.replace("s", F.lit(" "), F.lit("")))
+    lines = lines.withColumn("n", F.when(F.col("s") != "", spaces + 1).otherwise(0))
+    lines = only(lines, F.col("n") >= max(min_words, 1))
+    sizes = F.expr(
+        f"""CASE WHEN n < {max(min_edit, 4)} THEN array(0)
+                 WHEN n > {max(min_edit, 4)} AND {_part_size('n')} <> {_part_size('(n - 1)')}
+                 THEN array({_part_size('n')}, {_part_size('(n - 1)')})
+                 ELSE array({_part_size('n')}) END"""
+    )
+    lines = lines.select("*", F.posexplode(sizes).alias("size", "p"))
+    keys = ", ".join(
+        f"xxhash64(p, {j}, substring_index(s, ' ', {j} * p), substring_index(s, ' ', {j - 3} * p))"
+        for j in range(4)
+    )
+    return lines.select(
+        "doc", "tag", "line", "n", "size",
+        F.xxhash64("s").alias("h1"),
+        F.xxhash64(F.lit("second"), "s").alias("h2"),
+        F.expr(f"IF(p > 0, array({keys}), cast(array() AS array<bigint>))").alias("parts"),
     )
 
 
@@ -145,6 +151,8 @@ def _near(docs: DataFrame, distinct: DataFrame, min_edit: int) -> DataFrame:
     places = chosen.groupBy("at.doc", "at.tag").agg(
         F.collect_list(F.struct("h1", "h2", F.col("at.line").alias("line"))).alias("chosen")
     )
+    # (the test is always true; it lets Spark filter the texts by these keys at run time)
+    places = write_out(places, "places").where(F.size("chosen") > 0)
     # rows that repeat a document give the same lines again
     texts = _keyed(docs).join(places, ["doc", "tag"]).dropDuplicates(["doc", "tag"])
     words = texts.select("doc", "tag", "lines", F.explode("chosen").alias("c")).select(
@@ -156,6 +164,11 @@ def _near(docs: DataFrame, distinct: DataFrame, min_edit: int) -> DataFrame:
     words = write_out(words, "words")
     variants = write_out(_neighbourhood(words, min_edit), "variants")
     variants = variants.where(F.col("size") >= min_edit - 1)
+    # nearly all keys are of one line; the others are few enough to filter by
+    key = ["k1", "k2", "size"]
+    shared = write_out(variants.groupBy(*key).agg(F.count(F.lit(1)).alias("c")).where("c > 1"), "shared")
+    variants = variants.join(shared.where("c > 1").drop("c"), key, "left_semi")
+    variants = write_out(variants, "variants")
     by_place = variants.groupBy("k1", "k2", "size", "gone").agg(F.min("at").alias("first"))
     by_place = write_out(by_place, "places")
     by_key = by_place.groupBy("k1", "k2", "size").agg(
@@ -187,12 +200,14 @@ def removed_lines(
 ) -> DataFrame:
     """(doc, tag, removed): the numbers of each text's removed lines."""
     lines = write_out(hashed_lines(docs, min_words, min_edit), "lines")
+    parts = [F.first(F.when(F.col("size") == k, F.col("parts")), ignorenulls=True) for k in (0, 1)]
     distinct = lines.groupBy("h1", "h2").agg(
         F.min(_at()).alias("at"),
-        F.count(F.lit(1)).alias("c"),
-        F.first("parts").alias("parts"),
+        F.count_if(F.col("size") == 0).alias("c"),
+        F.concat(parts[0], F.coalesce(parts[1], F.array().cast("array<bigint>"))).alias("parts"),
     )
     distinct = write_out(distinct, "distinct")
+    lines = lines.where("size = 0")
     near = _near(docs, distinct, min_edit).withColumn("near", F.lit(True))
     marked = distinct.select("h1", "h2", "at", "c").join(near, ["h1", "h2"], "left")
     marked = marked.withColumn("near", F.coalesce("near", F.lit(False)))
@@ -219,7 +234,8 @@ def _with_left(docs: DataFrame, min_words: int, min_edit: int) -> DataFrame:
         removed = removed_lines(docs, min_words, min_edit)
     rows = packed(docs).select("*", *identity())
     # the struct holds the text already; it is shuffled once
-    rows = rows.drop("text").join(removed, ["doc", "tag"], "left")
+    # the removed numbers of a partition's texts fit in memory, and the texts need no order
+    rows = rows.drop("text").join(removed.hint("shuffle_hash"), ["doc", "tag"], "left")
     text = F.col("_all").getField("text")
     rows = rows.withColumn("lines", F.split(F.coalesce(text, F.lit("")), "\n"))
     some = F.col("removed").isNotNull()
