@@ -189,24 +189,17 @@ def _shingles(texts: DataFrame, size: int) -> DataFrame:
 
 
 def _distances(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Pairs (a, b) with ``shared`` and ``joint``, the sizes of intersection and union.
+    """Pairs (a, b) with ``shared`` and ``joint``, the sizes of intersection and union."""
+    shared = F.size(F.array_intersect("x", "y")).cast("long")
+    found = _both(pairs, sets).select("a", "b", shared.alias("shared"), F.expr("size(x) + size(y)").alias("n"))
+    return found.select("a", "b", "shared", (F.col("n") - F.col("shared")).alias("joint"))
 
-    ``extra`` holds the shingles of b that a lacks.
-    """
+
+def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """Pairs (a, b) with their sets x and y."""
     left = sets.selectExpr("id AS a", "shingles AS x")
     right = sets.selectExpr("id AS b", "shingles AS y")
-    shared = F.size(F.array_intersect("x", "y")).cast("long")
-    found = pairs.join(left, "a").join(right, "b")
-    found = found.select(
-        "a",
-        "b",
-        shared.alias("shared"),
-        (F.size("x") + F.size("y")).alias("both"),
-        F.array_except("y", "x").alias("extra"),
-    )
-    return found.select(
-        "a", "b", "shared", (F.col("both") - F.col("shared")).alias("joint"), "extra"
-    )
+    return pairs.join(left, "a").join(right, "b")
 
 
 def _late_pairs(
@@ -214,8 +207,8 @@ def _late_pairs(
     spokes: DataFrame,
     roots: DataFrame,
     ends: DataFrame,
+    sets: DataFrame,
     percent: int,
-    held_at: str,
 ) -> DataFrame:
     """Pairs (a, b) in regions of several components that may still be linked.
 
@@ -230,7 +223,6 @@ def _late_pairs(
     named = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "region", "id", "pivot", F.coalesce("root", "id").alias("root")
     )
-    named = write_out(named, "named")
     open_ = (
         named.groupBy("region")
         .agg(F.min("root").alias("r"), F.max("root").alias("s"))
@@ -238,18 +230,14 @@ def _late_pairs(
         .select("region")
     )
     open_ = write_out(open_, "open")
+    # all others are done
+    named = write_out(named.join(open_, "region", "left_semi"), "named")
     homes = named.where("id = pivot").select("region", F.col("root").alias("home"))
-    away = spokes.selectExpr("a AS pivot", "b AS id", "shared", "extra").join(ends, "id")
+    away = spokes.selectExpr("a AS pivot", "b AS id", "shared").join(ends, "id")
     away = away.join(ends.selectExpr("id AS pivot", "n AS size"), "pivot").selectExpr(
-        "pivot", "id", "n", "size", "n - shared AS added", "size - shared AS missing", "extra"
-    )
-    away = write_out(away, "away")
-    rest = (
-        named.where("id <> pivot")
-        .join(open_, "region", "left_semi")
-        .join(homes.join(open_, "region", "left_semi"), "region")
-        .join(away.drop("extra"), ["pivot", "id"])
+        "pivot", "id", "n", "size", "n - shared AS added", "size - shared AS missing"
     )
+    rest = named.where("id <> pivot").join(homes, "region").join(away, ["pivot", "id"])
     rest = write_out(rest, "rest")
 
     # first kind: the sums allow it; the least sums of a region rule out most sets
@@ -272,12 +260,28 @@ def _late_pairs(
     )
 
     # second kind: they share a shingle that the pivot lacks
-    held = rest.select("pivot", "id", "root", "home", "added", "missing", "size").distinct()
-    held = held.join(away.select("pivot", "id", "extra"), ["pivot", "id"]).select(
-        "pivot", "id", "root", "home", "added", "missing", "size",
-        F.explode("extra").alias("shingle"),
+    seen = rest.select("pivot", "id", "root", "home", "added", "missing", "size").distinct()
+    seen = write_out(seen, "seen")
+    pairs = seen.select(F.col("pivot").alias("a"), F.col("id").alias("b"))
+    extra = F.array_except("y", "x").alias("extra")
+    extra_at = fresh_path(rest.sparkSession, "extra")
+    extras = _both(pairs, sets).select(F.col("a").alias("pivot"), F.col("b").alias("id"), extra)
+    extras = write_out(extras, "extra", extra_at)
+    # most are of one set only, and many of no set that is still apart
+    parted = seen.select("pivot", "id", (F.col("root") != F.col("home")).alias("far"))
+    shared = (
+        extras.join(parted, ["pivot", "id"])
+        .select("pivot", "far", F.explode("extra").alias("shingle"))
+        .groupBy("pivot", "shingle")
+        .agg(F.count(F.lit(1)).alias("c"), F.max("far").alias("far"))
+        .where("c > 1 AND far")
+        .select("pivot", "shingle")
     )
-    held = write_out(held, "held", held_at)
+    shared = write_out(shared, "shared")
+    held = extras.select("pivot", "id", F.explode("extra").alias("shingle"))
+    held = write_out(held.join(shared, ["pivot", "shingle"], "left_semi"), "held")
+    drop_path(rest.sparkSession, extra_at)
+    held = held.join(seen, ["pivot", "id"])
     one = held.where("root <> home").selectExpr(
         "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "size"
     )
@@ -310,24 +314,24 @@ def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, siz
     # regions of at least two sets
     rows = spark.read.schema("id long, signatures array<long>").parquet(cells)
     rows = rows.select("id", F.explode("signatures").alias("region"))
-    regions = (
-        rows.groupBy("region")
-        .agg(F.min("id").alias("first"), F.max("id").alias("last"))
-        .where("first <> last")
-        .select("region")
-    )
-    regions = write_out(regions, "regions")
-    members = write_out(rows.join(regions, "region", "left_semi").distinct(), "members")
+    regions = rows.groupBy("region").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("region")
+    regions_at, first_at = fresh_path(spark, "regions"), fresh_path(spark, "members")
+    regions = write_out(regions, "regions", regions_at)
+    members = rows.join(regions, "region", "left_semi").distinct()
+    members = write_out(members, "members", first_at)
     drop_path(spark, cells)
+    drop_path(spark, regions_at)
     # the set that shares most parts with others is the pivot: the least changed copy
-    sizes = write_out(members.groupBy("region").agg(F.count(F.lit(1)).alias("size")), "sizes")
+    sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
+    sizes = write_out(sizes.where("size > 1"), "sizes")
     shares = members.join(sizes, "region").groupBy("id").agg(F.sum("size").alias("shares"))
     shares = write_out(shares, "shares")
     pivots = members.join(shares, "id").groupBy("region").agg(
         F.max(F.struct("shares", "id"))["id"].alias("pivot")
     )
-    pivots = write_out(pivots, "pivots")
+    pivots = write_out(pivots.join(sizes, "region", "left_semi"), "pivots")
     members = write_out(members.join(pivots, "region"), "members")
+    drop_path(spark, first_at)
 
     spokes = members.where("id <> pivot").selectExpr("pivot AS a", "id AS b").distinct()
     spokes = write_out(spokes, "spokes")
@@ -347,11 +351,9 @@ def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, siz
     links = spokes.where(near).select("a", "b")
     roots = components(links)
 
-    held = fresh_path(spark, "held")
-    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), percent, held)
+    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), sets, percent)
     pairs = write_out(pairs, "pairs")
-    drop_path(spark, held)
-    late = write_out(_distances(pairs, sets).drop("extra"), "late").where(near).select("a", "b")
+    late = write_out(_distances(pairs, sets), "late").where(near).select("a", "b")
     drop_path(spark, whole)
     if late.isEmpty():
         return roots
