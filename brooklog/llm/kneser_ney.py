@@ -46,6 +46,8 @@ SHARD_BYTES = 1 << 23
 ID_BITS = 20
 #: Tokens handled at once; a longer text is handled alone.
 TOKENS = 1 << 20
+#: Texts sent to a Python process at once.
+_TEXTS_AT_ONCE = 2000
 #: Ids that are no words.
 START, END, UNKNOWN, WORDS = 0, 1, 2, 3
 _SEED = 71
@@ -421,28 +423,26 @@ class Lookup:
         self.model = model
         self.pairs, self.ids = arrays.Maps(model.at("pairs")), arrays.Maps(model.at("ids"))
 
-    def by_id(self, ids: np.ndarray, name: str) -> np.ndarray:
-        out = np.zeros(len(ids))
-        shards = ids >> ID_BITS
-        for shard in np.unique(shards).tolist():
-            own = self.ids.array(f"{name}-{shard}", np.float64)
-            if len(own):
-                mine = shards == shard
-                out[mine] = own[ids[mine] & ((1 << ID_BITS) - 1)]
+    def by_id(self, ids: np.ndarray, *names: str) -> list[np.ndarray]:
+        out = [np.zeros(len(ids)) for _ in names]
+        shards, places = ids >> ID_BITS, ids & ((1 << ID_BITS) - 1)
+        for shard in np.flatnonzero(np.bincount(shards)).tolist():
+            mine = np.flatnonzero(shards == shard)
+            for values, name in zip(out, names):
+                own = self.ids.array(f"{name}-{shard}", np.float64)
+                if len(own):
+                    values[mine] = own[places[mine]]
         return out
 
-    def words(self, ids: np.ndarray) -> np.ndarray:
-        model = self.model
-        ended = self.by_id(ids, "ended")
-        return model.discounts[0].less(ended) / max(model.pairs, 1) + model.rest / (model.kinds + 1)
-
     def of_pairs(self, keys: np.ndarray) -> np.ndarray:
         """p(w | v) for sorted keys of (v, w)."""
+        model = self.model
         both = arrays.unmix(keys)
         v, w = (both >> np.uint64(32)).astype(np.int64), (both & np.uint64(0xFFFFFFFF)).astype(np.int64)
-        below = self.words(w)
-        total, freed = self.by_id(v, "total"), self.by_id(v, "freed")
-        own = self.model.discounts[1].less(self.pairs.counts(keys, self.model.bits))
+        (ended,) = self.by_id(w, "ended")
+        total, freed = self.by_id(v, "total", "freed")
+        below = model.discounts[0].less(ended) / max(model.pairs, 1) + model.rest / (model.kinds + 1)
+        own = model.discounts[1].less(self.pairs.counts(keys, model.bits))
         return np.where(total > 0, own / np.maximum(total, 1) + freed * below, below)
 
 
@@ -500,7 +500,7 @@ def score(docs: DataFrame) -> DataFrame:
         held_out_row(F.col("doc_id")).alias("held_out"),
         F.coalesce(F.col("text"), F.lit("")).alias("text"),
     )
-    with shuffles_dropped(spark):
+    with shuffles_dropped(spark, {"spark.sql.execution.arrow.maxRecordsPerBatch": str(_TEXTS_AT_ONCE)}):
         folder = fresh_path(spark, "language-model")
         model = _vocabulary(rows.drop("row", "doc_id"), folder, _bits(rows))
         at = fresh_path(spark, "encoded")

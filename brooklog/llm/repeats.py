@@ -40,10 +40,11 @@ _SETTINGS = {
 
 
 @contextmanager
-def shuffles_dropped(spark: SparkSession):
-    """Run the writes inside with ``_SETTINGS``."""
-    before = {name: spark.conf.get(name) for name in _SETTINGS}
-    for name, value in _SETTINGS.items():
+def shuffles_dropped(spark: SparkSession, more: dict[str, str] | None = None):
+    """Run the writes inside with ``_SETTINGS``, and with ``more``."""
+    settings = _SETTINGS | (more or {})
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
         spark.conf.set(name, value)
     try:
         yield
