@@ -1,6 +1,6 @@
 """Exact join of documents by the Jaccard similarity of their word shingles.
 
-A metric-space join, in three steps over the distinct sets of shingles:
+A metric-space join, in four steps over the distinct sets of shingles:
 
 1. *Regions.* Almost all documents are at distance 1 of each other, so documents
    as pivots tell nothing apart. The first pivots are therefore parts of the
@@ -13,11 +13,13 @@ A metric-space join, in three steps over the distinct sets of shingles:
    it is worked out exactly, and those within the radius are linked. Regions
    whose sets are by now connected are done, which are nearly all: a group of
    copies costs one comparison a member and region, not one a pair.
-3. *Recursion.* What is left, sets of several components in one region, is
-   joined by how it differs from the pivot, which cuts these differences, a few
-   shingles each, into regions of their own: two sets are compared if they share a
-   shingle that the pivot lacks, or if the numbers of shingles by which they differ
-   from the pivot are within the window that the triangle inequality leaves for sets
+3. *Recursion.* What is left are regions with sets of several components. Large ones get
+   a second pivot and are divided into the two pivots' Voronoi cells; sets whose distances
+   to the pivots are within the triangle inequality's window go to both, and cells are divided
+   again (``_voronoi``).
+4. *Leaves.* Sets of one cell are joined by how they differ from its pivot: two are compared if
+   they share a shingle that the pivot lacks, or if the numbers of shingles by which they
+   differ from the pivot are within the window that the triangle inequality leaves for sets
    without such a shingle. Pairs that are connected already are not compared.
 
 Distances come from whole sets of 64-bit shingle hashes. Words are runs of bytes
@@ -202,6 +204,71 @@ def _both(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b")
 
 
+#: Sets of several components that a region may hold undivided.
+LEAF = 64
+
+
+def _voronoi(rest: DataFrame, sets: DataFrame, percent: int) -> tuple[DataFrame, list[DataFrame]]:
+    """``rest`` with large regions divided, and the pairs that were compared on the way.
+
+    A region gets a second pivot, the set farthest from the first, whose distances to all
+    others are worked out. Each set then goes to the nearer pivot's cell, and also to the other's
+    if its distances differ by no more than twice the radius: of two sets within the radius, the
+    second is in the cell that is the first one's own. Cells are divided again
+    until they are small, or until pivots no longer tell their sets apart: a
+    region whose cells are hardly smaller stays whole.
+    """
+    window = 2 * (100 - percent) / 100 + 1e-9
+    columns = ["region", "id", "pivot", "root", "home", "n", "size", "added", "missing"]
+    rest, compared = rest.select(*columns, F.lit(False).alias("whole")), []
+    to_first = F.expr("1 - (n - added) / (size + added)")
+    while True:
+        rest = write_out(rest, "rest")
+        large = rest.where("NOT whole").groupBy("region").agg(
+            F.count(F.lit(1)).alias("m"),
+            F.max(F.struct(to_first.alias("d"), F.col("id"), F.col("root"), F.col("n")))
+            .alias("second"),
+        )
+        large = write_out(large.where(F.col("m") > LEAF), "large")
+        if large.isEmpty():
+            return rest.drop("whole"), compared
+        members = rest.join(large, "region").where("id <> second.id")
+        pairs = members.select(F.col("second.id").alias("a"), F.col("id").alias("b")).distinct()
+        # the second pivot and the first were compared before
+        pairs = write_out(_distances(pairs, sets), "compared")
+        compared.append(pairs)
+        told = members.withColumn("q", F.col("second.id")).join(
+            pairs.withColumnsRenamed({"a": "q", "b": "id"}), ["q", "id"]
+        )
+        told = told.withColumns({"d1": to_first, "d2": F.expr("1 - shared / joint")})
+        told = told.withColumns(
+            {"one": F.col("d1") - F.col("d2") <= window, "two": F.col("d2") - F.col("d1") <= window}
+        )
+        told = write_out(told, "told")
+        good = told.groupBy("region", "m").agg(
+            F.count_if("one").alias("ones"), F.count_if("two").alias("twos")
+        )
+        good = good.where("ones + twos <= 1.25 * m AND greatest(ones, twos) <= 0.75 * m")
+        good = write_out(good.select("region"), "good")
+        cells = told.join(good, "region", "left_semi")
+        first = cells.where("one").withColumn("region", F.xxhash64("region", "pivot"))
+        second = cells.where("two").selectExpr(
+            "xxhash64(region, q) AS region", "id", "q AS pivot", "root", "second.root AS home", "n",
+            "second.n AS size", "n - shared AS added", "second.n - shared AS missing", "whole",
+        )
+        kept = rest.join(large.join(good, "region", "left_semi"), "region", "left_anti")
+        kept = kept.join(
+            large.join(good, "region", "left_anti").select("region", F.lit(True).alias("stays")),
+            "region",
+            "left",
+        ).withColumn("whole", F.col("whole") | F.coalesce("stays", F.lit(False)))
+        rest = (
+            kept.select(*columns, "whole")
+            .unionByName(first.select(*columns, "whole"))
+            .unionByName(second)
+        )
+
+
 def _late_pairs(
     members: DataFrame,
     spokes: DataFrame,
@@ -209,8 +276,9 @@ def _late_pairs(
     ends: DataFrame,
     sets: DataFrame,
     percent: int,
-) -> DataFrame:
-    """Pairs (a, b) in regions of several components that may still be linked.
+) -> tuple[DataFrame, list[DataFrame]]:
+    """Pairs (a, b) in regions of several components that may still be linked, and tables of
+    pairs that were compared to divide the regions.
 
     Seen from the pivot a set has ``added`` shingles that the pivot lacks and misses
     ``missing`` of the pivot's. Two sets differ in all of their added shingles but the
@@ -238,7 +306,7 @@ def _late_pairs(
         "pivot", "id", "n", "size", "n - shared AS added", "size - shared AS missing"
     )
     rest = named.where("id <> pivot").join(homes, "region").join(away, ["pivot", "id"])
-    rest = write_out(rest, "rest")
+    rest, compared = _voronoi(rest, sets, percent)
 
     # first kind: the sums allow it; the least sums of a region rule out most sets
     bounds = rest.groupBy("region").agg(
@@ -300,7 +368,7 @@ def _late_pairs(
         .where(f"{far} * (d + e - 2 * s + abs(m - o)) <= {sizes}")
     )
     both = by_sums.select("a", "b").unionByName(by_shingle.select("a", "b"))
-    return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct()
+    return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), compared
 
 
 def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, size: int) -> DataFrame:
@@ -351,10 +419,13 @@ def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, siz
     links = spokes.where(near).select("a", "b")
     roots = components(links)
 
-    pairs = _late_pairs(members, spokes, roots, ends.select("id", "n"), sets, percent)
+    pairs, compared = _late_pairs(members, spokes, roots, ends.select("id", "n"), sets, percent)
     pairs = write_out(pairs, "pairs")
-    late = write_out(_distances(pairs, sets), "late").where(near).select("a", "b")
+    late = write_out(_distances(pairs, sets), "late")
     drop_path(spark, whole)
+    for more in compared:
+        late = late.unionByName(more)
+    late = late.where(near).select("a", "b")
     if late.isEmpty():
         return roots
     return components(links.unionByName(late))

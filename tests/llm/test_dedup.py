@@ -55,6 +55,49 @@ def test_bytes_that_repeat_go(spark, limits):
     } == brute.drop_repeats(rows, suffix_dedup.LENGTH, "bytes")
 
 
+@pytest.mark.parametrize("length", [100, 300])
+def test_longer_strings_than_a_byte_can_count(spark, length):
+    rng = random.Random(9)
+    shared = "".join(rng.choice("abcd ") for _ in range(900))
+    rows = [(d, f"{d}" * 5 + shared[40 * d : 40 * d + 520] + f"{d}" * 5) for d in range(8)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = suffix_dedup.drop_repeats(df, length).collect()
+    assert {r.doc_id: tuple(r[1:5]) for r in got} == brute.drop_repeats(rows, length, "bytes")
+    members = [t[k : k + 400].encode() for _, t in rows for k in (0, 60)]
+    offsets = np.cumsum([0, *map(len, members)])
+    who, start, cls = suffix_dedup.equal_strings(np.frombuffer(b"".join(members), np.uint8), offsets, 300)
+    strings = {}
+    for m, at, c in zip(who.tolist(), start.tolist(), cls.tolist()):
+        strings.setdefault(c, set()).add(members[m][at : at + 300])
+    assert all(len(x) == 1 for x in strings.values())
+    assert len(strings) == len(set().union(*strings.values()))
+
+
+@pytest.mark.parametrize("leaf", [1, 3, 1 << 20])
+def test_regions_are_divided_and_lose_no_link(spark, monkeypatch, leaf):
+    """Families of near copies that share their first half with all others."""
+    monkeypatch.setattr(jaccard_join, "LEAF", leaf)
+    rng = random.Random(7)
+    common = [f"c{i}" for i in range(30)]
+    rows = []
+    for family in range(6):
+        own = [f"f{family}w{i}" for i in range(30)]
+        for _ in range(8):
+            words = common + own
+            for _ in range(rng.choice([0, 1, 1, 2, 3])):
+                words[rng.randrange(30, 60)] = f"x{rng.randrange(1000)}"
+            rows.append((len(rows), " ".join(words)))
+    divided = []
+    whole = jaccard_join._voronoi
+    monkeypatch.setattr(
+        jaccard_join, "_voronoi", lambda *a: divided.append(whole(*a)) or divided[-1]
+    )
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.report(df, 80, 2).collect()}
+    assert got == brute.components(rows, 80, 2)
+    assert bool(divided[0][1]) == (leaf < 1 << 20)
+
+
 def test_maximal_repeats_name_their_source(spark):
     one = " ".join(f"a{i}" for i in range(50))
     two = " ".join(["b"] + [f"a{i}" for i in range(10, 40)] + ["c"])
