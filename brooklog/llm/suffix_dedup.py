@@ -64,10 +64,13 @@ def collection_bwt(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
     codes = data + np.uint8(1)
     n = len(offsets) - 1
     sizes = np.diff(offsets)
+    # a common prefix is no longer than a string, and one more marks none
+    kind = np.min_scalar_type(int(sizes.max(initial=0)) + 1)
+    none = kind.type(np.iinfo(kind).max)
     before = np.zeros(n, np.uint8)
     some = sizes > 0
     before[some] = codes[offsets[1:][some] - 1]
-    common = np.zeros(n, np.uint8)
+    common = np.zeros(n, kind)
     active = np.flatnonzero(some)
     place = active.copy()
     done = 0
@@ -87,13 +90,13 @@ def collection_bwt(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
         at = np.flatnonzero(touched)
         same = (at > ends) & (before[order[at]] == before[order[at - 1]])
         at = at[same]
-        values = np.zeros(0, np.uint8)
+        values = np.zeros(0, kind)
         if len(at):
             edges = np.empty(2 * len(at), np.int64)
             edges[0::2] = order[at - 1] + 1
             edges[1::2] = order[at] + 1
-            padded = np.append(common, np.uint8(255))
-            values = np.minimum.reduceat(padded, edges)[0::2] + np.uint8(1)
+            padded = np.append(common, none)
+            values = np.minimum.reduceat(padded, edges)[0::2] + kind.type(1)
         target = n + mine - ends
         old = np.ones(len(before) + len(mine), bool)
         old[target] = False
@@ -104,7 +107,7 @@ def collection_bwt(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, n
         grown = np.empty(len(old), np.uint8)
         grown[old] = before
         grown[target] = following
-        shared = np.zeros(len(old), np.uint8)
+        shared = np.zeros(len(old), kind)
         shared[old] = common
         shared[n + at - ends] = values
         before, common = grown, shared
