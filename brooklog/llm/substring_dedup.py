@@ -4,8 +4,8 @@ Texts are joined on winnowed anchors (``repeats``). Anchors that occur in
 segments of one kind only need no extension. All others are extended by their
 neighbouring words to the left and to the right, all occurrences at once: two
 windows are the same if anchor plus left context and anchor plus right context
-are, and the earliest of them is the source of the others. Neighbouring windows
-with one source form a maximal repeat.
+are, and the earliest of them is the source of the others. Neighbouring windows whose sources
+are neighbours, too, are joined into maximal repeats, and the words of these go.
 
 Nulls and empty texts have no words and lose none. Texts shorter than a window
 are left alone. A text may repeat itself. Ties, repeated rows and null ids are
@@ -19,7 +19,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from brooklog.llm.blocks import blocks, find_words, signed
@@ -105,43 +105,50 @@ def repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFram
     )
 
 
-def maximal_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
-    """Passages of at least ``length`` words that occur earlier, as long as possible.
+def joined_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """(doc, tag, start, size, source_doc, source_tag, shift): maximal repeats, in words.
 
-    Returns (doc_id, start, end, source_doc_id, source_start) in words: a run of
-    windows whose earliest occurrences also follow each other is one passage.
+    Runs of windows of a text whose sources follow each other, too, are one passage: the match
+    of text and source, extended to both sides as far as the source stays the earliest. It
+    ends where the words differ, or where an earlier source takes over.
     """
     runs = repeats(docs, length, gram).select(
-        "doc", "tag", "at", "windows", "source",
+        "doc", "tag", "at", (F.col("at") + F.col("windows")).alias("end"),
+        F.col("source.doc").alias("source_doc"), F.col("source.tag").alias("source_tag"),
         (F.col("source.at") - F.col("at")).alias("shift"),
     )
-    steps = runs.select("*", F.explode(F.expr("sequence(0, windows - 1)")).alias("k"))
-    group = ["doc", "tag", "source.doc", "source.tag", "shift"]
-    steps = steps.selectExpr(
-        "doc", "tag", "at + k AS at", "source.doc AS source_doc", "source.tag AS source_tag", "shift"
-    )
     group = ["doc", "tag", "source_doc", "source_tag", "shift"]
-    order = F.row_number().over(_by(group, "at"))
-    islands = steps.distinct().withColumn("island", F.col("at") - order)
-    out = islands.groupBy(*group, "island").agg(
-        F.min("at").alias("start"), (F.max("at") + length).alias("end")
+    in_order = Window.partitionBy(*group).orderBy("at", "end")
+    before = F.max("end").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    opens = F.coalesce(F.col("at") > before, F.lit(True)).cast("int")
+    so_far = in_order.rowsBetween(Window.unboundedPreceding, 0)
+    return (
+        runs.withColumn("opens", opens)
+        .withColumn("passage", F.sum("opens").over(so_far))
+        .groupBy(*group, "passage")
+        .agg(
+            F.min("at").alias("start"),
+            (F.max("end") - F.min("at") + length - 1).cast("int").alias("size"),
+        )
+        .drop("passage")
     )
+
+
+def maximal_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
+    """Passages of at least ``length`` words that occur earlier, as long as possible.
+
+    Returns (doc_id, start, end, source_doc_id, source_start) in words: see ``joined_repeats``.
+    """
     back = lambda c: F.when(F.col(c) != LAST, F.col(c))
-    return out.select(
+    return joined_repeats(docs, length, gram).select(
         back("doc").alias("doc_id"),
         "start",
-        "end",
+        (F.col("start") + F.col("size")).alias("end"),
         back("source_doc").alias("source_doc_id"),
         (F.col("start") + F.col("shift")).alias("source_start"),
     )
 
 
-def _by(keys: list[str], order: str):
-    from pyspark.sql import Window
-
-    return Window.partitionBy(*keys).orderBy(order)
-
-
 _KEPT = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept string"
 
 
@@ -188,11 +195,7 @@ def drop_repeats(
     left, joined by spaces) is left out if ``texts`` is false.
     """
     with shuffles_dropped(docs.sparkSession):
-        spans = write_out(
-            repeats(docs, length, gram).selectExpr(
-                "doc", "tag", "at AS start", f"windows + {length - 1} AS size"
-            ),
-            "spans",
-        )
+        spans = joined_repeats(docs, length, gram).select("doc", "tag", "start", "size")
+        spans = write_out(spans, "spans")
     schema = _KEPT if texts else _KEPT.rpartition(",")[0]
     return remove_spans(docs, spans, _cut(length, texts), schema)
