@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from brooklog.llm.blocks import blocks, find_words, mix, rolling, signed, window_starts
-from brooklog.scratch import write_out
+from brooklog.scratch import drop_path, fresh_path, write_out
 
 #: Stands for a null doc_id in comparisons.
 LAST = (1 << 63) - 1
@@ -173,11 +173,15 @@ def repeated_segments(docs: DataFrame, shape: Shape) -> DataFrame:
     Anchors are counted before their rows are shuffled, so a hot one is one row
     per task; the join that keeps their rows can be split by Spark.
     """
-    found = segments(docs, shape)
+    spark = docs.sparkSession
+    at = fresh_path(spark, "found")
+    found = write_out(segments(docs, shape), "found", at)
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # a written table: a join straight behind an aggregation could not be split
     again = write_out(again.select("anchor"), "again")
-    return write_out(found.join(again, "anchor", "left_semi"), "segments")
+    kept = write_out(found.join(again, "anchor", "left_semi"), "segments")
+    drop_path(spark, at)
+    return kept
 
 
 def settle(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
