@@ -52,14 +52,24 @@ def choose(key: Column, weights: Sequence[float], seed: str = SEED) -> Column:
 def assign(
     df: DataFrame, key: str, weights: Sequence[float], name: str = "shard", seed: str = SEED
 ) -> DataFrame:
-    """Add the shard of each row, 0 to ``len(weights) - 1``, as an int. No shuffle."""
+    """Add the shard of each row, 0 to ``len(weights) - 1``, as an int. No shuffle.
+
+    A column called ``name`` is replaced; all others stay, whatever their names.
+    """
     return df.withColumn(name, choose(F.col(key), weights, seed)["shard"].cast("int"))
 
 
 def with_slots(df: DataFrame, order: Sequence[str], shard: str = "shard") -> DataFrame:
-    """Add ``slot``: 0, 1, 2, ... in each shard."""
-    rows = df.withColumn("_row", F.monotonically_increasing_id())
-    return number_rows(rows, [shard], [*order, "_row"], "slot").drop("_row")
+    """Add ``slot``: 0, 1, 2, ... in each shard. A column of that name is replaced."""
+    kept = [f"`{c}`" for c in df.columns if c != "slot"]
+    rows = df.select(
+        F.struct(*kept).alias("all"),
+        F.col(f"`{shard}`").alias("shard"),
+        *[F.col(f"`{c}`").alias(f"by{i}") for i, c in enumerate(order)],
+        F.monotonically_increasing_id().alias("row"),
+    )
+    by = [f"by{i}" for i in range(len(order))]
+    return number_rows(rows, ["shard"], [*by, "row"], "slot").select("all.*", "slot")
 
 
 def plan(docs: DataFrame, shards: int) -> DataFrame:

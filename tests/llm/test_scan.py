@@ -219,6 +219,20 @@ def test_shards_of_odd_rows(spark, odd, none):
     assert sharding.plan(none, 3).count() == 0
 
 
+def test_slots_beside_columns_of_any_name(spark):
+    names = ["key", "shard", "slot", "all", "row", "by0", "_row", "_slice", "_place", "_base", "_first", "_b_shard"]
+    rows = [(i, *[f"{n}{i}" for n in names[1:]]) for i in range(50)]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n}` {'long' if n == 'key' else 'string'}" for n in names))
+    assigned = sharding.assign(df, "key", [1.0] * 3)
+    found = sharding.with_slots(assigned, ["key"])
+    assert sorted(found.columns) == sorted(names)
+    shards = {}
+    for r in sorted(found.collect(), key=lambda r: r.key):
+        assert r.slot == len(shards.setdefault(r.shard, []))
+        shards[r.shard].append(r.key)
+        assert all(r[n] == f"{n}{r.key}" for n in names[3:])
+
+
 # --- quality -----------------------------------------------------------------
 
 
