@@ -488,9 +488,17 @@ def _split(docs: DataFrame, raw, chunk: int) -> DataFrame:
                         )
 
     schema = "rid long, doc_id long, crc long, k int, size int, body string"
+    chunks = docs.select(F.sum(F.ceil(F.length("text") / chunk))).first()[0] or 0
+    spread = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     rows = docs.withColumn("rid", F.monotonically_increasing_id())
     rows = rows.select("rid", "doc_id", "crc", "text").mapInArrow(run, schema)
-    return write_out(rows.repartition("rid", "k"), "chunks")
+    # a number, as few bytes would be joined into one task, whatever work they are
+    tasks = max(1, min(chunks, max(spread, chunks // _CHUNKS_OF_TASK)))
+    return write_out(rows.repartition(tasks, "rid", "k"), "chunks")
+
+
+#: Chunks that one task works on, where there are more than tasks.
+_CHUNKS_OF_TASK = 64
 
 
 def _codes(body) -> np.ndarray:
@@ -541,28 +549,29 @@ def _in_chunks(docs: DataFrame, raw, chunk: int) -> DataFrame:
                 )
 
     def pick(table: pa.Table) -> pa.Table:
-        pieces = _model(raw.value)
+        """The end state of each chunk on the best path, from the last chunk back."""
         table = table.sort_by("k")
-        came, ids = table.column("came"), table.column("ids")
-        state, out = 0, []
-        for i in range(table.num_rows - 1, -1, -1):
-            out.append(ids[i].values[state].values)
-            state = came[i][state].as_py()
-        whole = pa.concat_arrays(out[::-1])
+        came = table.column("came").combine_chunks()
+        came = came.flatten().to_numpy().reshape(table.num_rows, -1)
+        states = np.zeros(table.num_rows, np.int32)
+        for i in range(table.num_rows - 1, 0, -1):
+            states[i - 1] = came[i, states[i]]
         return pa.table(
-            {
-                "doc_id": table.column("doc_id").slice(0, 1),
-                "crc": table.column("crc").slice(0, 1),
-                "ids": pa.array([whole.to_numpy()], pa.list_(pa.int32())),
-                "round_trip": pa.array(
-                    [
-                        zlib.crc32(pieces.texts(whole.to_numpy(), np.array([len(whole)]))[0])
-                        == table.column("crc")[0].as_py()
-                    ]
-                ),
-            }
+            {"rid": table.column("rid"), "k": table.column("k"), "state": pa.array(states)}
         )
 
+    def checked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces = _model(raw.value)
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1)
+                ids = row.column("ids").flatten().to_numpy()
+                text = pieces.texts(ids, np.array([len(ids)]))[0]
+                same = zlib.crc32(text) == row.column("crc")[0].as_py()
+                names = ["doc_id", "crc", "ids"]
+                columns = [*[row.column(n) for n in names], pa.array([same])]
+                yield pa.RecordBatch.from_arrays(columns, names=[*names, "round_trip"])
+
     sums = (
         parts.mapInArrow(matrices, "rid long, k int, matrix array<long>")
         .groupBy("rid")
@@ -572,7 +581,19 @@ def _in_chunks(docs: DataFrame, raw, chunk: int) -> DataFrame:
     traced = parts.join(sums, ["rid", "k"]).mapInArrow(
         traces, "rid long, doc_id long, crc long, k int, came array<int>, ids array<array<int>>"
     )
-    return traced.groupBy("rid").applyInArrow(pick, _ENCODED)
+    traced = write_out(traced, "traced")
+    # a few numbers a chunk tell the path; the ids of other end states go no further
+    states = traced.select("rid", "k", "came").groupBy("rid").applyInArrow(
+        pick, "rid long, k int, state int"
+    )
+    chosen = traced.join(write_out(states, "states"), ["rid", "k"]).select(
+        "rid", "doc_id", "crc", "k", F.get("ids", F.col("state")).alias("ids")
+    )
+    in_order = F.array_sort(F.collect_list(F.struct("k", "ids")))
+    whole = chosen.groupBy("rid", "doc_id", "crc").agg(
+        F.flatten(in_order.getField("ids")).alias("ids")
+    )
+    return whole.select("doc_id", "crc", "ids").mapInArrow(checked, _ENCODED)
 
 
 _ENCODED = "doc_id long, crc long, ids array<int>, round_trip boolean"
