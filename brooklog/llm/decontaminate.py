@@ -16,8 +16,9 @@ words, and a document that has them in a row contains it. Null texts and others
 words match nothing. Items that repeat both id and text count once; repeated documents each give
 their rows.
 
-Items are sent to the tasks in blocks of bounded size; each block reads the
-documents once. Documents are not shuffled.
+Items are sent to the tasks in blocks of ``BLOCK_SHINGLES`` shingles (a larger item is a block of
+its own): 8 MB of shingles and 1 KB of minimum hashes for each item, at most 120 MB, where all
+items have nine shingles. Each block reads the documents once. Documents are not shuffled.
 """
 
 from __future__ import annotations

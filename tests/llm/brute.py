@@ -226,3 +226,38 @@ def hard_negatives(rows, is_anchor):
             for rank, (s, negative, _) in enumerate(sorted(fits)[:10], 1):
                 out.append((a, positive, rank, negative, -p, -s))
     return sorted(out)
+
+
+def license_words(text: str | None) -> list[bytes]:
+    lower = re.sub(rb"[A-Z]", lambda m: m[0].lower(), (text or "").encode())
+    return re.findall(rb"[0-9a-z\x80-\xff]+", lower)
+
+
+def aligned(template: list[bytes], own: list[bytes]) -> int:
+    """Matched words of a best alignment of a template anywhere in a text."""
+    best = [(0, 0)] * (len(own) + 1)  # score, matches
+    for i, word in enumerate(template):
+        row = [(best[0][0] - 1, best[0][1])]
+        for j, other in enumerate(own):
+            score, matched = best[j]
+            both = (score + 2, matched + 1) if word == other else (score - 1, matched)
+            row.append(max(both, (best[j + 1][0] - 1, best[j + 1][1]), (row[j][0] - 1, row[j][1])))
+        best = row
+    return max(best)[1]
+
+
+def licenses_of(rows, templates, coverage: float):
+    """Pairs (doc_id, template) found by aligning whole texts, without an index.
+
+    Templates of which a text has too few words, in any order, are left out first.
+    """
+    found = set()
+    sought = [(name, license_words(text)) for name, text in templates]
+    for doc, text in rows:
+        own = license_words(text)
+        counts = Counter(own)
+        for name, words_ in sought:
+            most = sum((counts & Counter(words_)).values())
+            if words_ and most >= coverage * len(words_) and aligned(words_, own) >= coverage * len(words_):
+                found.add((doc, name))
+    return found
