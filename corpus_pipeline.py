@@ -16,35 +16,43 @@ from brooklog.scratch import write_out
 #: Words of a shingle, and the least similarity in hundredths, of near duplicates.
 SHINGLE = 5
 PERCENT = 80
-#: Least words of a repeated line that goes. With one, nothing of an exact copy is left.
-LINE_WORDS = 1
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass all quality rules."""
+    """Documents that pass all quality rules.
+
+    Null and empty texts have too few words; repeated rows are judged alike.
+    """
     return quality.keep(docs)
 
 
 def deduplicate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without lines that came earlier, if any word is left."""
-    return line_dedup.without_repeats(docs, min_words=LINE_WORDS)
+    """Documents without lines that came earlier, if any word is left.
+
+    A text without repeated lines, null too, stays as it is. Of rows that repeat doc_id and text
+    none removes lines of another; a null doc_id comes last.
+    """
+    return line_dedup.without_repeats(docs)
 
 
 def join_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is linked by similar shingle sets."""
+    """The document with the smallest doc_id of each group that is linked by similar shingle sets.
+
+    Of rows that repeat doc_id and text one stays. Texts without words, null or not, all stay.
+    """
     workers_find_package(spark)
     return jaccard_join.one_of_each(docs, PERCENT, SHINGLE)
 
 
 def remove_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that contain no benchmark item."""
+    """Documents that contain no benchmark item; null and empty texts contain none."""
     workers_find_package(spark)
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.without_items(docs, items)
 
 
 def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Piece ids of each document, and whether they decode to its text."""
+    """Piece ids of each row's text, none for null and empty ones, and whether they decode to it."""
     workers_find_package(spark)
     return sentencepiece_scan.report(docs, f"{TOKENIZERS}/piece_bpe_32k.model")
 
