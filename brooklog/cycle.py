@@ -34,7 +34,7 @@ from brooklog.observe import (
 from brooklog.plans import ranges as plans
 from brooklog.plans.checkpoint import Ledger, disconnected, merge_checkpoint
 from brooklog.schemas import TOPIC_PARTITION
-from brooklog.scratch import write_out
+from brooklog.scratch import drop_path, fresh_path, write_out
 from brooklog.sinks.segments import Written
 from brooklog.sources.log_table import select_topics
 
@@ -45,6 +45,9 @@ class Source(Protocol):
     def scan(self, ranges: DataFrame) -> DataFrame: ...
 
 
+#: Cycles after which the ledger forgets old ones.
+EXPIRE_EVERY = 100
+
 Sink = Callable[[DataFrame, int], DataFrame | Written | None]
 
 
@@ -93,6 +96,7 @@ class LogCycle:
         self.ledger = Ledger(spark, f"{home}/ledger", name)
         self.events = EventTables(spark, f"{home}/events", name)
         self.last_flush_ms = 0
+        self._plan_at: str | None = None
 
     def run_once(self) -> CycleOutcome:
         """Run one cycle. Failures are reported in the events, not raised."""
@@ -100,9 +104,14 @@ class LogCycle:
         self._module = CHECKPOINT
         try:
             self._run(outcome)
+            if outcome.committed and outcome.cycle_id % EXPIRE_EVERY == 0:
+                self.ledger.expire()
         except Exception as failure:
             outcome.failed_at = self._module
             self.events.error(outcome.cycle_id, self._module, failure)
+        if self._plan_at:
+            drop_path(self.spark, self._plan_at)
+            self._plan_at = None
         self.events.status(outcome.cycle_id, CORE, observe.ENDED)
         try:
             self.events.flush()
@@ -121,9 +130,9 @@ class LogCycle:
         self._module = READER
         catalog = self.topics(self.source.catalog())
         # the log may grow while the cycle runs, so the plan is fixed here
-        plan = write_out(
-            plans.plan_with_context(catalog, checkpoint, self.max_records, self.on_gap), "plan"
-        )
+        plan = plans.plan_with_context(catalog, checkpoint, self.max_records, self.on_gap)
+        self._plan_at = fresh_path(self.spark, "plan")
+        plan = write_out(plan, "plan", self._plan_at)
         ranges = plan.where("until_offset > from_offset")
         # offsets a gap made the plan skip count as passed
         delta = ranges.select(
