@@ -291,8 +291,10 @@ def _late_pairs(
     named = members.join(roots.withColumnRenamed("node", "id"), "id", "left").select(
         "region", "id", "pivot", F.coalesce("root", "id").alias("root")
     )
+    # pairs with the pivot have been compared; what else there is has to be of several components
     open_ = (
-        named.groupBy("region")
+        named.where("id <> pivot")
+        .groupBy("region")
         .agg(F.min("root").alias("r"), F.max("root").alias("s"))
         .where("r <> s")
         .select("region")

@@ -146,7 +146,8 @@ def test_each_stage_on_odd_rows(spark, odd, none, tmp_path):
 
     kept = after("quality_rules")
     assert set(kept) <= set(whole) and not [d for d, _ in kept if d in (3, 4, 5, 6)]
-    assert [d for d, _ in kept if d in (7, 8)] == [7, 8]
+    told = [r.doc_id for r in quality.report(odd).collect() if r.kept]
+    assert sorted(str(d) for d, _ in kept) == sorted(map(str, told))
     left = after("line_dedup")
     # 2 and 8 are copies of 1 and 7, and the text without an id differs from 1 by a word
     assert [d for d, _ in left] == [1, 10, 3, 4, 5, 6, 7, 9, 9, 9, None]
