@@ -175,7 +175,11 @@ def repeated_segments(docs: DataFrame, shape: Shape) -> DataFrame:
     """
     spark = docs.sparkSession
     at = fresh_path(spark, "found")
-    found = write_out(segments(docs, shape), "found", at)
+    found = segments(docs, shape)
+    # grams of bytes are so many that it costs less to write their segments than to hash them
+    # twice; for words it is the other way round
+    if shape.unit == "bytes":
+        found = write_out(found, "found", at)
     again = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     # a written table: a join straight behind an aggregation could not be split
     again = write_out(again.select("anchor"), "again")
