@@ -8,7 +8,8 @@ A metric-space join, in four steps over the distinct sets of shingles:
    that two sets within the radius differ in fewer parts than there are, and
    agree in at least one that is not empty. All sets with the same part form a
    region, the part's cell at distance 0. The window of sizes that the radius
-   allows replicates a set to the next smaller class.
+   allows replicates a set to the next smaller class. Sets whose regions with others are
+   fewer than the parts in which linked sets agree are done (``_agreeing``).
 2. *Pivots.* In each region one set is the pivot; the distance of all others to
    it is worked out exactly, and those within the radius are linked. Regions
    whose sets are by now connected are done, which are nearly all: a group of
@@ -58,6 +59,8 @@ from brooklog.scratch import drop_path, fresh_path, write_out
 SHINGLE = 4
 #: Least similarity, in hundredths.
 PERCENT = 85
+#: Size classes by number; a set is in the regions of one of each.
+KINDS = ("even", "odd")
 
 
 def shingle_sets(block: Block, size: int = SHINGLE) -> list[np.ndarray]:
@@ -108,14 +111,15 @@ class Classes:
             spare = 1 + int(np.ceil(empty + 3 * np.sqrt(empty)))
         return differ + 1 + spare, differ
 
-    def signatures(self, own: np.ndarray) -> np.ndarray:
-        """One hash for each part that can show a link of this set."""
+    def signatures(self, own: np.ndarray) -> list[tuple[np.ndarray, int]]:
+        """By ``KINDS``: one hash for each part that can show a link of this set, and how many of
+        them a linked set has at least."""
         n = len(own)
+        out = [(own[:0], 1) for _ in KINDS]
         if n == 0:
-            return own
+            return out
         i = self.of(n)
         sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(mix(own))])
-        out = []
         for scheme in (i, i - 1):
             if scheme < 0 or n * self.percent > 100 * self.tops[scheme]:
                 continue
@@ -126,18 +130,18 @@ class Classes:
             number = np.arange(parts, dtype=np.uint64) + np.uint64(scheme << 32)
             found = mix(mix(number) ^ (sums[cut[1:]] - sums[cut[:-1]]))
             filled = cut[1:] > cut[:-1]
+            empty, agree = parts - int(filled.sum()), parts - differ
             # with few empty parts, some part that agrees is not empty
-            if parts - int(filled.sum()) < parts - differ:
-                found = found[filled]
-            out.append(found)
-        return np.concatenate(out)
+            out[scheme % 2] = (found[filled], agree - empty) if empty < agree else (found, 1)
+        return out
 
 
-_SETS = "doc long, tag long, n long, id long, signatures array<long>"
+_SETS = "doc long, tag long, n long, id long"
+_SETS += "".join(f", needs_{kind} int, signatures_{kind} array<long>" for kind in KINDS)
 
 
 def sets_of(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
-    """Per document: size and hash of its set, and its signatures."""
+    """Per document: size and hash of its set, and its signatures of each kind."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         classes = Classes(percent)
@@ -148,21 +152,20 @@ def sets_of(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> Dat
                 sizes = np.array([len(s) for s in sets], np.int64)
                 whole = np.array([mix(s).sum(dtype=np.uint64) for s in sets], np.uint64)
                 ids = mix(whole ^ (sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)))
-                found = [classes.signatures(s) for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc")[rows],
-                        batch.column("tag")[rows],
-                        pa.array(sizes),
-                        pa.array(signed(ids)),
-                        ragged(
-                            signed(np.concatenate([*found, np.zeros(0, np.uint64)])),
-                            [len(f) for f in found],
-                            pa.int64(),
-                        ),
-                    ],
-                    names=["doc", "tag", "n", "id", "signatures"],
-                )
+                columns = {
+                    "doc": batch.column("doc")[rows],
+                    "tag": batch.column("tag")[rows],
+                    "n": pa.array(sizes),
+                    "id": pa.array(signed(ids)),
+                }
+                for kind, found in zip(KINDS, zip(*[classes.signatures(s) for s in sets])):
+                    columns[f"needs_{kind}"] = pa.array([need for _, need in found], pa.int32())
+                    columns[f"signatures_{kind}"] = ragged(
+                        signed(np.concatenate([f for f, _ in found])),
+                        [len(f) for f, _ in found],
+                        pa.int64(),
+                    )
+                yield pa.RecordBatch.from_arrays([*columns.values()], names=[*columns])
 
     return keyed(docs).mapInArrow(run, _SETS)
 
@@ -373,6 +376,26 @@ def _late_pairs(
     return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), compared
 
 
+def _agreeing(rows: DataFrame, needs: DataFrame, path: str) -> None:
+    """Write distinct (id, region) of the regions that sets have in common with others, of sets
+    that have as many of them as linked ones have.
+
+    Passages that documents share make them agree in a part or two; such pairs grow with the
+    square of the documents, and are no links.
+    """
+    # dealt once, for both sides of the join (Spark would deal them anew for a semi-join)
+    rows = rows.repartition("region")
+    several = rows.groupBy("region").agg(F.min("id").alias("a"), F.max("id").alias("b"))
+    several = several.where("a <> b").select("region")
+    at = fresh_path(rows.sparkSession, "several")
+    shared = write_out(rows.join(several, "region").distinct(), "several", at)
+    enough = shared.groupBy("id").agg(F.count(F.lit(1)).alias("c"))
+    enough = enough.join(needs.groupBy("id").agg(F.max("needs").alias("needs")), "id")
+    found = shared.join(enough.where("c >= needs").select("id"), "id", "left_semi")
+    write_out(found.select("id", "region"), "agreeing", path)
+    drop_path(rows.sparkSession, at)
+
+
 def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, size: int) -> DataFrame:
     """(node, root): components of the sets in ``found`` that are linked with another.
 
@@ -381,16 +404,13 @@ def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, siz
     """
     spark = docs.sparkSession
     near = F.col("shared") * 100 >= F.col("joint") * percent
-    # regions of at least two sets
-    rows = spark.read.schema("id long, signatures array<long>").parquet(cells)
-    rows = rows.select("id", F.explode("signatures").alias("region"))
-    regions = rows.groupBy("region").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("region")
-    regions_at, first_at = fresh_path(spark, "regions"), fresh_path(spark, "members")
-    regions = write_out(regions, "regions", regions_at)
-    members = rows.join(regions, "region", "left_semi").distinct()
-    members = write_out(members, "members", first_at)
+    first_at = {kind: fresh_path(spark, "agreeing") for kind in KINDS}
+    for kind, path in first_at.items():
+        rows = spark.read.schema(f"id long, signatures_{kind} array<long>").parquet(cells)
+        rows = rows.select("id", F.explode(f"signatures_{kind}").alias("region"))
+        _agreeing(rows, found.select("id", F.col(f"needs_{kind}").alias("needs")), path)
     drop_path(spark, cells)
-    drop_path(spark, regions_at)
+    members = spark.read.schema("id long, region long").parquet(*first_at.values())
     # the set that shares most parts with others is the pivot: the least changed copy
     sizes = members.groupBy("region").agg(F.count(F.lit(1)).alias("size"))
     sizes = write_out(sizes.where("size > 1"), "sizes")
@@ -401,7 +421,8 @@ def linked_sets(docs: DataFrame, found: DataFrame, cells: str, percent: int, siz
     )
     pivots = write_out(pivots.join(sizes, "region", "left_semi"), "pivots")
     members = write_out(members.join(pivots, "region"), "members")
-    drop_path(spark, first_at)
+    for path in first_at.values():
+        drop_path(spark, path)
 
     spokes = members.where("id <> pivot").selectExpr("pivot AS a", "id AS b").distinct()
     spokes = write_out(spokes, "spokes")
@@ -438,7 +459,7 @@ def join(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFr
     with shuffles_dropped(docs.sparkSession):
         cells = fresh_path(docs.sparkSession, "signatures")
         found = write_out(sets_of(docs, percent, size), "signatures", cells)
-        found = write_out(found.drop("signatures"), "found")
+        found = write_out(found.drop(*[f"signatures_{kind}" for kind in KINDS]), "found")
         roots = linked_sets(docs, found, cells, percent, size)
         named = (
             found.join(roots.withColumnRenamed("node", "id"), "id", "left")

@@ -169,6 +169,26 @@ def test_unlike_sets_with_common_parts_are_compared_in_bands(spark):
     assert got == {d: root for d, (_, root) in brute.components(rows, 85, 4).items()}
 
 
+def test_sets_that_only_share_passages_are_not_compared(spark, monkeypatch):
+    shared = [f"s{i}" for i in range(50)]
+    rows = [(d, " ".join([*(f"d{d}x{i}" for i in range(130)), *shared])) for d in range(40)]
+    rows += [(100, rows[0][1]), (101, rows[1][1] + " end")]
+    written = {}
+
+    def noted(df, label, *path):
+        out = write_out(df, label, *path)
+        written[label] = out.count()
+        return out
+
+    write_out = jaccard_join.write_out
+    monkeypatch.setattr(jaccard_join, "write_out", noted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.report(df).collect()
+    assert {r.doc_id: r.component_id for r in got} == {d: {100: 0, 101: 1}.get(d, d) for d, _ in rows}
+    # the two that are linked, and hardly any of the others
+    assert 2 <= written["sets"] <= 5
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80)], "a long, b long")
     got = {r.node: r.root for r in graph.components(links).collect()}
