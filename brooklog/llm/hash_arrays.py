@@ -31,7 +31,10 @@ def unmix(h: np.ndarray) -> np.ndarray:
 
 def pair_key(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """One hash for two 32-bit numbers; ``unmix`` gives them back."""
-    return mix((a.astype(np.uint64) << np.uint64(32)) | b.astype(np.uint64))
+    both = a.astype(np.uint64)
+    both <<= np.uint64(32)
+    both |= b
+    return mix(both)
 
 
 def _local(path: str) -> str | None:
@@ -91,9 +94,27 @@ def heads_of(sorted_keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate([[True], sorted_keys[1:] != sorted_keys[:-1]]))
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """An order that sorts 64-bit keys.
+
+    Their upper bits are sorted with the places in the lower ones, which takes half the time of
+    ``argsort``; keys that only differ in the bits left out are put in order after that.
+    """
+    low = np.uint64(max(len(keys) - 1, 1).bit_length())
+    places = np.arange(len(keys), dtype=np.uint64)
+    whole = int(keys.max(initial=0)).bit_length() + int(low) <= 64
+    packed = ((keys if whole else keys >> low) << low) | places
+    packed.sort()
+    order = (packed & ((np.uint64(1) << low) - np.uint64(1))).astype(np.int64)
+    found = keys[order]
+    if not whole and (found[1:] < found[:-1]).any():
+        order = order[np.argsort(found, kind="stable")]
+    return order
+
+
 def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct keys, a place where each stands, and for all keys which it is."""
-    order = np.argsort(keys)
+    order = order_of(keys)
     heads = heads_of(keys[order])
     back = np.empty(len(keys), np.int64)
     back[order] = np.repeat(np.arange(len(heads)), np.diff(heads, append=len(keys)))
@@ -102,7 +123,7 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def summed(keys: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     """Sorted distinct keys, and the sums of each of ``values`` over equal keys."""
-    order = np.argsort(keys)
+    order = order_of(keys)
     keys = keys[order]
     heads = heads_of(keys)
     return keys[heads], *[

@@ -59,10 +59,17 @@ def held_out_row(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
+def _planes(values: np.ndarray) -> bytes:
+    size = values.itemsize
+    planes, data = np.empty((size, len(values)), np.uint8), values.view(np.uint8)
+    for i in range(size):
+        planes[i] = data[i::size]
+    return planes.tobytes()
+
+
 def _row(shard: int, keys, *values, tally=()) -> dict:
     """A row of ``_PARTIAL``; arrays as byte planes, which compress where they are sorted."""
-    planes = [np.ascontiguousarray(v) for v in (keys, *values)]
-    packed = [v.view(np.uint8).reshape(len(v), v.itemsize).T.tobytes() for v in planes]
+    packed = [_planes(np.ascontiguousarray(v)) for v in (keys, *values)]
     packed += [None] * (5 - len(packed))
     return dict(zip(("keys", "a", "b", "c", "d"), packed), shard=shard, tally=list(tally))
 
@@ -75,7 +82,10 @@ def _batch(rows: list[dict]) -> pa.Table:
 def _plain(packed: bytes, kind) -> np.ndarray:
     size = np.dtype(kind).itemsize
     planes = np.frombuffer(packed, np.uint8).reshape(size, -1)
-    return np.ascontiguousarray(planes.T).view(kind).ravel()
+    data = np.empty(planes.shape[::-1], np.uint8)
+    for i in range(size):
+        data[:, i] = planes[i]
+    return data.view(kind).ravel()
 
 
 def _all(table: pa.Table, name: str, kind=np.uint64) -> np.ndarray:
@@ -248,17 +258,24 @@ class Triples:
     """Every token of some texts with the two before it; the first ones stand behind START."""
 
     def __init__(self, ids: np.ndarray, offsets: np.ndarray):
-        starts = offsets[:-1]
-        self.last = ids
-        self.before, self.first = np.empty_like(ids), np.empty_like(ids)
-        self.before[1:], self.first[2:] = ids[:-1], ids[:-2]
-        self.before[starts] = self.first[starts] = START
-        self.first[starts[np.diff(offsets) > 1] + 1] = START
+        self.last, self.starts = ids, offsets[:-1]
+        self.before = self._shifted(ids)
+
+    def _shifted(self, ids: np.ndarray) -> np.ndarray:
+        out = np.empty_like(ids)
+        out[1:] = ids[:-1]
+        out[self.starts] = START
+        return out
 
     def pairs(self, by: str) -> np.ndarray:
         if by == "suffix":
             return arrays.pair_key(self.before, self.last)
-        return arrays.pair_key(self.first, self.before)
+        return arrays.pair_key(self._shifted(self.before), self.before)
+
+    def contexts(self, at: np.ndarray) -> np.ndarray:
+        """Keys of the two tokens before each of these."""
+        before = self.before[at]
+        return arrays.pair_key(np.where(before == START, before, self.before[at - 1]), before)
 
 
 def triple_key(context: np.ndarray, last: np.ndarray) -> np.ndarray:
@@ -289,9 +306,9 @@ def _distinct(texts: DataFrame, by: str, part: int, bits: int) -> DataFrame:
                 pairs, last = pairs[own], found.last[own]
                 context = pairs
                 if by == "suffix":
-                    context = arrays.pair_key(found.first[own], found.before[own])
+                    context = found.contexts(own)
                 keys = triple_key(context, last)
-                order = np.argsort(keys)
+                order = arrays.order_of(keys)
                 keys = keys[order]
                 heads = arrays.heads_of(keys)
                 counts = np.diff(heads, append=len(keys)).astype(np.uint32)
@@ -310,7 +327,7 @@ def _merged(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct trigrams of a shard: (keys, pairs, counts)."""
     keys, pairs = _all(table, "keys"), _all(table, "a")
     counts = _all(table, "b", np.uint32).astype(np.uint64)
-    order = np.argsort(keys)
+    order = arrays.order_of(keys)
     keys = keys[order]
     heads = arrays.heads_of(keys)
     return keys[heads], pairs[order[heads]], np.add.reduceat(counts[order], heads)

@@ -12,7 +12,7 @@ from oracle import difference, duck
 from pyspark.sql import functions as F
 from test_dedup import passages
 
-from brooklog.llm import hard_negatives, kneser_ney, queries, runs
+from brooklog.llm import hard_negatives, hash_arrays, kneser_ney, queries, runs
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -47,6 +47,27 @@ def test_scores_of_odd_rows(spark, odd, none):
     assert [tuple(r) for r in kneser_ney.score(alone).collect()] == [(3, True, 3, 0, 0, 0.0, 0.0)]
 
 
+def test_orders_and_planes_of_keys():
+    rng = np.random.default_rng(7)
+    keys = rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
+    for own in (
+        keys,
+        keys % np.uint64(50),
+        (keys >> np.uint64(40)) + np.uint64(3 << 62),  # differ in the bits left out
+        np.concatenate([keys, keys, keys ^ np.uint64(1)]),
+        keys[:1],
+        keys[:0],
+    ):
+        order = hash_arrays.order_of(own)
+        assert sorted(order.tolist()) == list(range(len(own)))
+        assert (own[order] == np.sort(own)).all()
+        for kind in (np.uint64, np.uint32):
+            values = own.astype(kind)
+            packed = kneser_ney._planes(values)
+            assert packed[: len(own)] == (values & kind(255)).astype(np.uint8).tobytes()
+            assert (kneser_ney._plain(packed, kind) == values).all()
+
+
 def periodic(seed: int, documents: int):
     """Texts of few or many words with periodic stretches, some of them twice."""
     rng = random.Random(seed)
