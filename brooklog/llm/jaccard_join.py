@@ -19,9 +19,10 @@ A metric-space join, in four steps over the distinct sets of shingles:
    to the pivots are within the triangle inequality's window go to both, and cells are divided
    again (``_voronoi``).
 4. *Leaves.* Sets of one cell are joined by how they differ from its pivot: two are compared if
-   they share a shingle that the pivot lacks, or if the numbers of shingles by which they
-   differ from the pivot are within the window that the triangle inequality leaves for sets
-   without such a shingle. Pairs that are connected already are not compared.
+   they share one of the rarest shingles that the pivot lacks (``_late_pairs``), or if the
+   numbers of shingles by which they differ from the pivot are within the window that the
+   triangle inequality leaves for sets without such a shingle. Pairs that are connected
+   already are not compared.
 
 Distances come from whole sets of 64-bit shingle hashes. Words are runs of bytes
 other than [\\x20\\x09-\\x0D], with A-Z in lower case; a text of fewer than four
@@ -287,7 +288,8 @@ def _late_pairs(
     ``missing`` of the pivot's. Two sets differ in all of their added shingles but the
     ones they share, and in at least as many missing ones as their numbers differ. So
     a linked pair either shares added shingles, so many that what is left is allowed, or
-    has sums that the radius allows.
+    has sums that the radius allows. How many it shares at least follows from either set alone,
+    so that only their rarest have to meet: passages that many hold make no pairs.
     At least one of the two is outside the pivot's component.
     """
     near, far = 100 - percent, 100 + percent  # linked: far * differing <= near * (sizes)
@@ -348,29 +350,40 @@ def _late_pairs(
         .groupBy("pivot", "shingle")
         .agg(F.count(F.lit(1)).alias("c"), F.max("far").alias("far"))
         .where("c > 1 AND far")
-        .select("pivot", "shingle")
+        .select("pivot", "shingle", "c")
     )
     shared = write_out(shared, "shared")
     held = extras.select("pivot", "id", F.explode("extra").alias("shingle"))
-    held = write_out(held.join(shared, ["pivot", "shingle"], "left_semi"), "held")
+    held = held.join(shared, ["pivot", "shingle"]).groupBy("pivot", "id").agg(
+        F.sort_array(F.collect_list(F.struct("c", "shingle")))["shingle"].alias("held")
+    )
+    # sets are linked if, besides the pivot's, they share ``least`` of the held shingles: among
+    # the rarest of either, of which there are so many less one that it need not share, is one
+    held = held.join(seen, ["pivot", "id"]).withColumns(
+        {
+            "h": F.size("held"),
+            "least": F.expr(
+                f"greatest(1, ({percent} * added - {near} * (size - missing) + 99) div 100)"
+            ),
+        }
+    )
+    held = held.where("least <= h").select(
+        "pivot", "id", "root", "home", "added", "missing", "size", "h",
+        F.posexplode(F.expr("slice(held, 1, CAST(h - least + 1 AS INT))")).alias("i", "shingle"),
+    )
+    held = write_out(held, "held")
     drop_path(rest.sparkSession, extra_at)
-    held = held.join(seen, ["pivot", "id"])
     one = held.where("root <> home").selectExpr(
-        "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "size"
+        "pivot", "shingle", "id AS a", "root AS p", "added AS d", "missing AS m", "size", "h", "i"
     )
     two = held.selectExpr(
-        "pivot", "shingle", "id AS b", "root AS q", "added AS e", "missing AS o"
+        "pivot", "shingle", "id AS b", "root AS q", "added AS e", "missing AS o", "h AS l", "i AS j"
     )
-    sizes = f"{near} * (2 * size + d + e - m - o)"
-    by_shingle = (
-        one.join(two, ["pivot", "shingle"])
-        .where(f"p <> q AND {far} * (abs(d - e) + abs(m - o)) <= {sizes}")
-        .groupBy("pivot", "a", "b")
-        .agg(
-            F.count(F.lit(1)).alias("s"),
-            *[F.min(c).alias(c) for c in ("d", "e", "m", "o", "size")],
-        )
-        .where(f"{far} * (d + e - 2 * s + abs(m - o)) <= {sizes}")
+    # they share no more than there are up to this shingle in one and after it in one
+    most = "(least(i, j) + least(h - i, l - j))"
+    by_shingle = one.join(two, ["pivot", "shingle"]).where(
+        f"p <> q AND {far} * (d + e - 2 * {most} + abs(m - o))"
+        f" <= {near} * (2 * size + d + e - m - o)"
     )
     both = by_sums.select("a", "b").unionByName(by_shingle.select("a", "b"))
     return both.selectExpr("least(a, b) AS a", "greatest(a, b) AS b").distinct(), compared

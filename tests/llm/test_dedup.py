@@ -189,6 +189,35 @@ def test_sets_that_only_share_passages_are_not_compared(spark, monkeypatch):
     assert 2 <= written["sets"] <= 5
 
 
+def test_apart_sets_are_not_compared_by_each_common_shingle(spark, monkeypatch):
+    """Sets near one pivot share a passage that it lacks, which is too little for a link."""
+    rng = random.Random(5)
+    common, passages = [f"c{i}" for i in range(60)], [[f"{p}{i}" for i in range(18)] for p in "pq"]
+    rows = []
+    for d in range(40):
+        own = [f"d{d}x{i}" for i in range(22)]
+        rows.append((d, " ".join(common + passages[d % 2] + own)))
+    for d in range(0, 40, 5):
+        words = rows[d][1].split()
+        for _ in range(3):
+            words[rng.randrange(60, 100)] = f"e{rng.randrange(1000)}"
+        rows.append((100 + d, " ".join(words)))
+    written = {}
+
+    def noted(df, label, *path):
+        out = write_out(df, label, *path)
+        written[label] = out.count()
+        return out
+
+    write_out = jaccard_join.write_out
+    monkeypatch.setattr(jaccard_join, "write_out", noted)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.report(df, 80, 2).collect()}
+    assert got == brute.components(rows, 80, 2)
+    # they share far more shingles with each other, each with all that hold the passage
+    assert written["shared"] > 15 and written["held"] < 3 * written["shared"]
+
+
 def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(90, 80)], "a long, b long")
     got = {r.node: r.root for r in graph.components(links).collect()}
