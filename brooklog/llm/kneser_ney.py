@@ -14,8 +14,10 @@ Counting never brings an n-gram's occurrences together before they are summed: e
 block of texts sends one entry for a distinct trigram, as packed arrays by shard of the
 trigram's hash; the shards' sums go on by shard of the shorter n-gram. So a frequent word, pair
 or copied text weighs as much as any other in a task. Shards are stored as sorted hash
-arrays (``hash_arrays``). The trigram level, the largest, is built, used to score and dropped in
-``PARTS`` slices of contexts; the levels below stay until the scores are written.
+arrays (``hash_arrays``). What the shards of pairs hold of each word is summed by range of ids,
+more ranges the more shards there are, one batch of rows after the other. The trigram level, the
+largest, is built, used to score and dropped in ``PARTS`` slices of contexts; the levels below
+stay until the scores are written.
 
 Null texts and empty ones have one token, the end. Rows that repeat a doc_id are separate
 texts, in training and in the result. A null doc_id has no remainder and is learnt from.
@@ -42,8 +44,10 @@ PART_BITS = 2
 PARTS = 1 << PART_BITS
 #: Bytes of text whose n-grams make about one shard.
 SHARD_BYTES = 1 << 23
-#: Ids of one file of word statistics.
+#: Ids of one file of word statistics, at most and at least, and shards of pairs for a file.
 ID_BITS = 20
+LEAST_ID_BITS = 8
+FILE_BITS = 3
 #: Tokens handled at once; a longer text is handled alone.
 TOKENS = 1 << 20
 #: Texts sent to a Python process at once.
@@ -134,6 +138,7 @@ class Model:
     texts: int
     tokens: int
     kinds: int  # distinct tokens
+    id_bits: int = ID_BITS  # of an id, its place in a file of word statistics
     discounts: tuple[Discounts, Discounts, Discounts] = (Discounts(),) * 3
     pairs: int = 0  # different pairs: the sum of all words' counts
     rest: float = 1.0  # what words leave to the uniform part
@@ -147,6 +152,15 @@ def _bits(docs: DataFrame) -> int:
     return max(PART_BITS + 1, int(np.ceil(np.log2(max(size / SHARD_BYTES, 1)))))
 
 
+def _id_bits(ids: int, bits: int) -> int:
+    """Each shard of pairs sends rows to all files; with a file for every few shards, none gets more.
+
+    Only small vocabularies of large corpora meet in files of the least size.
+    """
+    files = 1 << max(bits - FILE_BITS, 0)
+    return min(ID_BITS, max(LEAST_ID_BITS, ((ids - 1) // files).bit_length()))
+
+
 def _vocabulary(docs: DataFrame, folder: str, bits: int) -> Model:
     """Count the words of the training texts."""
 
@@ -188,7 +202,8 @@ def _vocabulary(docs: DataFrame, folder: str, bits: int) -> Model:
         raise ValueError("more than 2**32 different words: their ids don't fit")
     bases = tuple(np.cumsum([0, *n[:-1]]).tolist())
     tokens = sum(r.tokens for r in sizes.values()) + texts
-    return Model(folder, bits, bases, texts, tokens, sum(n) + (texts > 0))
+    id_bits = _id_bits(sum(n) + WORDS, bits)
+    return Model(folder, bits, bases, texts, tokens, sum(n) + (texts > 0), id_bits)
 
 
 _TEXTS = "n_tokens long, n_known long, base_score double, ids binary"
@@ -349,7 +364,7 @@ def _lower(texts: DataFrame, model: Model, part: int) -> DataFrame:
 
     A pair counts the different words before it, or its occurrences at the start of a text.
     """
-    bits, folder = model.bits, model.at("pairs")
+    bits, folder, id_bits = model.bits, model.at("pairs"), np.uint64(model.id_bits)
 
     def by_suffix(table: pa.Table) -> pa.Table:
         _, pairs, counts = _merged(table)
@@ -374,8 +389,10 @@ def _lower(texts: DataFrame, model: Model, part: int) -> DataFrame:
         sums = arrays.summed(both >> np.uint64(32), counts, *[s.astype(np.uint64) for s in steps])
         words, times = np.unique(both & np.uint64(0xFFFFFFFF), return_counts=True)
         for side, (ids, *values) in ((_CONTEXT, sums), (_ENDED, (words, times.astype(np.uint64)))):
-            for group, cut in _groups(ids >> np.uint64(ID_BITS)):
-                rows.append(_row(group, ids[cut], *[v[cut] for v in values], tally=[side]))
+            # ids and numbers of pairs fit in 32 bits, occurrences need not
+            small = [ids.astype(np.uint32), values[0], *[v.astype(np.uint32) for v in values[1:]]]
+            for group, cut in _groups(ids >> id_bits):
+                rows.append(_row(group, *[v[cut] for v in small], tally=[side]))
         return _batch(rows)
 
     found = _distinct(texts, "suffix", part, bits).groupBy("shard").applyInArrow(by_suffix, _PARTIAL)
@@ -384,16 +401,17 @@ def _lower(texts: DataFrame, model: Model, part: int) -> DataFrame:
 
 def _words(sums: DataFrame, model: Model, pairs: Discounts) -> DataFrame:
     """Write the statistics of words by id: as a context, and as the end of pairs."""
-    folder = model.at("ids")
+    folder, id_bits = model.at("ids"), model.id_bits
 
-    def dense(table: pa.Table) -> pa.Table:
-        shard = table.column("shard")[0].as_py()
-        out = np.zeros((5, 1 << ID_BITS), np.uint64)
-        for row in table.to_pylist():
-            at = (_plain(row["keys"], np.uint64) & np.uint64((1 << ID_BITS) - 1)).astype(np.int64)
-            sums = out[4:] if row["tally"] == [_ENDED] else out[:4]
-            for own, name in zip(sums, ("a", "b", "c", "d")):
-                own[at] += _plain(row[name], np.uint64)
+    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = np.zeros((5, 1 << id_bits), np.uint64)
+        for batch in batches:
+            for row in batch.to_pylist():
+                shard = row["shard"]
+                at = _plain(row["keys"], np.uint32) & np.uint32((1 << id_bits) - 1)
+                sums = out[4:] if row["tally"] == [_ENDED] else out[:4]
+                for own, name in zip(sums, ("a", "b", "c", "d")):
+                    own[at] += _plain(row[name], np.uint64 if name == "a" else np.uint32)
         total, n1, n2, n3, ended = out
         arrays.put(folder, f"total-{shard}", total.astype(np.float64))
         freed = pairs.freed(n1, n2, n3) / np.maximum(total, 1)
@@ -401,7 +419,7 @@ def _words(sums: DataFrame, model: Model, pairs: Discounts) -> DataFrame:
         arrays.put(folder, f"ended-{shard}", ended.astype(np.float64))
         counts = [int((ended == 1).sum()), int((ended == 2).sum()), int((ended > 2).sum())]
         found = [int(ended.sum()), *counts, *_tally(ended)]
-        return pa.table({"n": pa.array([found], pa.list_(pa.int64()))})
+        yield pa.RecordBatch.from_pydict({"n": pa.array([found], pa.list_(pa.int64()))})
 
     return sums.where(f"shard <> {_TALLY}").groupBy("shard").applyInArrow(dense, "n array<long>")
 
@@ -442,13 +460,15 @@ class Lookup:
 
     def by_id(self, ids: np.ndarray, *names: str) -> list[np.ndarray]:
         out = [np.zeros(len(ids)) for _ in names]
-        shards, places = ids >> ID_BITS, ids & ((1 << ID_BITS) - 1)
-        for shard in np.flatnonzero(np.bincount(shards)).tolist():
-            mine = np.flatnonzero(shards == shard)
+        order, bits = arrays.order_of(ids.astype(np.uint64)), self.model.id_bits
+        ids = ids[order]
+        places = ids & ((1 << bits) - 1)
+        for shard, cut in _groups(ids >> bits):
+            mine, at = order[cut], places[cut]
             for values, name in zip(out, names):
                 own = self.ids.array(f"{name}-{shard}", np.float64)
                 if len(own):
-                    values[mine] = own[places[mine]]
+                    values[mine] = own[at]
         return out
 
     def of_pairs(self, keys: np.ndarray) -> np.ndarray:
@@ -532,7 +552,7 @@ def score(docs: DataFrame) -> DataFrame:
         for r in every.where(f"shard = {_TALLY}").select("tally").collect():
             tallies[r.tally[0]] += r.tally[1:]  # a row for each shard of pairs
         pairs, triples = Discounts.of(tallies[2].tolist()), Discounts.of(tallies[3].tolist())
-        found = [r.n for r in _words(every, model, pairs).collect()]  # a row for 2**20 words
+        found = [r.n for r in _words(every, model, pairs).collect()]  # a row for each file
         total, n1, n2, n3, *tally = np.sum([[0] * 8, *found], axis=0).tolist()
         words = Discounts.of(tally)
         rest = words.freed(n1, n2, n3) / total if total else 1.0

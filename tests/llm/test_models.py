@@ -47,6 +47,27 @@ def test_scores_of_odd_rows(spark, odd, none):
     assert [tuple(r) for r in kneser_ney.score(alone).collect()] == [(3, True, 3, 0, 0, 0.0, 0.0)]
 
 
+def test_sums_of_words_are_spread_over_files(spark, monkeypatch):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(3000)]
+    rows = [(d, " ".join(rng.choices(words, k=60))) for d in range(300)]
+    sizes, plain = [], kneser_ney._words
+
+    def seen(sums, model, pairs):
+        sent = sums.where("shard >= 0").groupBy("shard").agg(F.sum(F.octet_length("keys")).alias("n"))
+        sizes.extend(r.n for r in sent.collect())
+        return plain(sums, model, pairs)
+
+    monkeypatch.setattr(kneser_ney, "_words", seen)
+    monkeypatch.setattr(kneser_ney, "SHARD_BYTES", 1 << 11)  # 64 shards
+    monkeypatch.setattr(kneser_ney, "_TEXTS_AT_ONCE", 7)  # a file's rows come in many batches
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert rounded(kneser_ney.score(df).collect()) == rounded(brute.kneser_ney(rows))
+    assert max(sizes) <= sum(sizes) / 4
+    for ids, bits in ((3_600_000, 7), (17_000_000, 11), (50_000_000, 14)):
+        assert (1 << bits) / -(-ids // (1 << kneser_ney._id_bits(ids, bits))) <= 16
+
+
 def test_orders_and_planes_of_keys():
     rng = np.random.default_rng(7)
     keys = rng.integers(0, 1 << 64, 5000, dtype=np.uint64)
