@@ -460,11 +460,12 @@ class Lookup:
 
     def by_id(self, ids: np.ndarray, *names: str) -> list[np.ndarray]:
         out = [np.zeros(len(ids)) for _ in names]
-        order, bits = arrays.order_of(ids.astype(np.uint64)), self.model.id_bits
-        ids = ids[order]
-        places = ids & ((1 << bits) - 1)
-        for shard, cut in _groups(ids >> bits):
-            mine, at = order[cut], places[cut]
+        shards, places = ids >> self.model.id_bits, ids & ((1 << self.model.id_bits) - 1)
+        # numbers of files mostly fit in 16 bits, which numpy sorts in linear time
+        order = np.argsort(shards.astype(np.min_scalar_type(shards.max(initial=0))), kind="stable")
+        for shard, cut in _groups(shards[order]):
+            mine = order[cut]
+            at = places[mine]
             for values, name in zip(out, names):
                 own = self.ids.array(f"{name}-{shard}", np.float64)
                 if len(own):
